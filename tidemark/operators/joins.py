@@ -1,0 +1,33 @@
+"""Join helpers with an explicit size policy.
+
+Batch plans leave the strategy to Spark: a side whose *estimated* size is
+under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast at planning time,
+and with AQE a side whose *measured* shuffle output turns out small is
+converted to a broadcast at run time; everything else stays a sort-merge
+join, with AQE splitting skewed partitions.  So a bridge or dimension derived
+from a huge fact table is never broadcast on faith.
+
+``bounded_broadcast`` is for the one place where that machinery is not
+available: the static side of a stream-static join (AQE does not re-plan
+micro-batches).  It proves the row bound with a capped count first.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default upper bound of rows we are willing to ship to every task.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows.  Reads at most
+    ``max_rows + 1`` rows, so the check is bounded even on a huge input."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else
+    ``df`` unchanged (Spark then shuffles both sides)."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
