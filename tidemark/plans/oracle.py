@@ -122,8 +122,8 @@ FRAG = {
     SELECT ticker, year, month, monthly_return_pct FROM monthly
     WHERE monthly_return_pct IS NOT NULL)""",
     "trades": """trades AS (
-    SELECT event_type AS symbol, value AS price, epoch_ms(ts) AS timestamp_ms,
-           1.0 AS volume, ts AS event_time, event_id
+    SELECT event_type AS symbol, value AS price, epoch_us(ts) // 1000 AS timestamp_ms,
+           CAST(1.0 AS DOUBLE) AS volume, ts AS event_time, event_id
     FROM events)""",
     "valid_trades": """valid_trades AS (
     SELECT * FROM trades WHERE price IS NOT NULL AND price > 0)""",
