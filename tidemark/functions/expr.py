@@ -79,7 +79,7 @@ def safe_cast(value: ColumnOrName, to: DataType | str) -> Column:
 
 def safe_date(value: ColumnOrName, fmt: str = "dd-MM-yyyy") -> Column:
     """Parse a date string; NULL for anything that does not parse."""
-    return F.try_to_date(_c(value), F.lit(fmt))
+    return F.try_to_date(_c(value), fmt)
 
 
 def calendar_parts(df: DataFrame, date: str = "trade_date") -> DataFrame:
