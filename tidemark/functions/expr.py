@@ -100,6 +100,19 @@ def epoch_ms_to_ntz(ms: ColumnOrName) -> Column:
     return F.timestamp_add("MILLISECOND", _c(ms), epoch)
 
 
+def ntz_to_instant(ts: ColumnOrName) -> Column:
+    """TIMESTAMP_NTZ read as UTC wall clock -> TIMESTAMP (an instant), exactly and
+    independent of the session time zone."""
+    epoch = F.lit("1970-01-01 00:00:00").try_cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, _c(ts)))
+
+
+def instant_to_ntz(ts: ColumnOrName) -> Column:
+    """TIMESTAMP (an instant) -> TIMESTAMP_NTZ holding its UTC wall clock."""
+    epoch = F.lit("1970-01-01 00:00:00").try_cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)), epoch)
+
+
 def ntz_to_epoch_ms(ts: ColumnOrName) -> Column:
     """TIMESTAMP_NTZ (UTC wall clock) -> epoch milliseconds."""
     epoch = F.lit("1970-01-01 00:00:00").try_cast("timestamp_ntz")

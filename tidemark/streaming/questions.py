@@ -16,15 +16,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expr import direction, pct_above, pct_below, range_position
+from pyspark.sql.types import TimestampNTZType
+
+from tidemark.functions.expr import (
+    direction, instant_to_ntz, ntz_to_instant, pct_above, pct_below, range_position,
+)
 from tidemark.operators.joins import bounded_broadcast
 from tidemark.operators.quality import apply_rules, trade_rules
 
 
+def _is_ntz(df: DataFrame) -> bool:
+    return isinstance(df.schema["event_time"].dataType, TimestampNTZType)
+
+
 def valid_trades(trades: DataFrame, delay: str | None) -> DataFrame:
-    """Watermark (streams only) then keep trades with a positive price."""
-    if delay and trades.isStreaming:
-        trades = trades.withWatermark("event_time", delay)
+    """Watermark (streams only) then keep trades with a positive price.
+
+    Watermarks need an instant (TIMESTAMP); a TIMESTAMP_NTZ event time (UTC
+    wall clock) is converted exactly for the stream and the window bounds are
+    converted back, so stream and batch results carry the same type.
+    """
+    if trades.isStreaming:
+        if _is_ntz(trades):
+            trades = trades.withColumn("event_time", ntz_to_instant("event_time")) \
+                           .withColumn("_ntz", F.lit(True))
+        if delay:
+            trades = trades.withWatermark("event_time", delay)
     return apply_rules(trades, trade_rules())
 
 
@@ -33,8 +50,13 @@ def _bounds(width: str):
     return w.alias("window")
 
 
-def _window_cols():
-    return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
+def _window_cols(src: DataFrame):
+    """window.start/end as window_start/window_end, back in NTZ where the
+    input event time was NTZ."""
+    start, end = F.col("window.start"), F.col("window.end")
+    if src.isStreaming and "_ntz" in src.columns:
+        start, end = instant_to_ntz(start), instant_to_ntz(end)
+    return [start.alias("window_start"), end.alias("window_end")]
 
 
 def _static(df: DataFrame, max_rows: int | None) -> DataFrame:
@@ -46,13 +68,14 @@ def price_volatility(trades: DataFrame, width: str = "10 minutes",
     """SQ1: per window and symbol the mean and sample stddev of the price, the
     trade count and the coefficient of variation (%); single-trade windows
     (stddev NULL) are dropped."""
-    agg = (valid_trades(trades, delay)
+    src = valid_trades(trades, delay)
+    agg = (src
            .groupBy(_bounds(width), "symbol")
            .agg(F.avg("price").alias("avg_price"),
                 F.stddev_samp("price").alias("stddev_price"),
                 F.count("price").alias("trade_count")))
     return agg.filter(F.col("stddev_price").isNotNull()).select(
-        *_window_cols(), "symbol",
+        *_window_cols(src), "symbol",
         F.round("avg_price", 4).alias("avg_price"),
         F.round("stddev_price", 4).alias("stddev_price"),
         F.round(F.col("stddev_price") / F.col("avg_price") * 100, 4).alias("volatility_coeff"),
@@ -77,14 +100,15 @@ def market_sentiment(trades: DataFrame, snapshot: DataFrame, width: str = "1 min
     """
     listings = (snapshot.select("symbol", "prev_close", F.explode("exchange").alias("exchange"))
                 .filter(F.col("prev_close").isNotNull() & (F.col("prev_close") > 0)))
-    t = valid_trades(trades, delay).join(_static(listings, static_max_rows), "symbol")
+    src = valid_trades(trades, delay)
+    t = src.join(_static(listings, static_max_rows), "symbol")
     side = direction("price", F.col("prev_close"))
     agg = (t.groupBy(_bounds(width), "exchange")
            .agg(F.count_if(side == "up").alias("rising_count"),
                 F.count_if(side == "down").alias("falling_count")))
     moved = F.col("rising_count") + F.col("falling_count")
     return agg.filter(moved > 0).select(
-        *_window_cols(), "exchange", "rising_count", "falling_count",
+        *_window_cols(src), "exchange", "rising_count", "falling_count",
         F.round(F.col("rising_count") / moved, 4).alias("sentiment_ratio"))
 
 
@@ -94,9 +118,9 @@ def trade_frequency(trades: DataFrame, baseline: float | DataFrame = 10, factor:
     baseline.  ``baseline`` is a constant trades-per-window, or a frame
     (symbol, baseline) of per-symbol baselines; symbols missing from it are
     not flagged (NULL)."""
-    agg = (valid_trades(trades, delay).groupBy(_bounds(width), "symbol")
-           .agg(F.count("price").alias("trade_count")))
-    out = agg.select(*_window_cols(), "symbol", "trade_count")
+    src = valid_trades(trades, delay)
+    agg = src.groupBy(_bounds(width), "symbol").agg(F.count("price").alias("trade_count"))
+    out = agg.select(*_window_cols(src), "symbol", "trade_count")
     if isinstance(baseline, DataFrame):
         out = out.join(baseline.select("symbol", F.col("baseline").alias("_base")), "symbol",
                        "left")
@@ -117,13 +141,13 @@ def price_vs_range(trades: DataFrame, baselines: DataFrame, width: str = "5 minu
     """SQ4: mean price per window and symbol against the symbol's recent
     high/low: percent below the high, above the low, and near_high /
     near_low / neutral on the rounded percentages."""
-    agg = (valid_trades(trades, delay).groupBy(_bounds(width), "symbol")
-           .agg(F.avg("price").alias("current_price")))
+    src = valid_trades(trades, delay)
+    agg = src.groupBy(_bounds(width), "symbol").agg(F.avg("price").alias("current_price"))
     j = agg.join(_static(valid_extremes(baselines), static_max_rows), "symbol")
     j = j.withColumns({"pct_from_high": pct_below("max_7d_high", "current_price"),
                        "pct_from_low": pct_above("current_price", "min_7d_low")})
     return j.select(
-        *_window_cols(), "symbol",
+        *_window_cols(src), "symbol",
         F.round("current_price", 4).alias("current_price"),
         F.round("max_7d_high", 4).alias("max_7d_high"),
         F.round("min_7d_low", 4).alias("min_7d_low"),
@@ -137,13 +161,13 @@ def vs_prev_close(trades: DataFrame, snapshot: DataFrame, width: str = "1 minute
     """SQ5: mean price per window and symbol against the previous close:
     deviation (%) rounded to 4 places and its direction (on the rounded
     value)."""
-    agg = (valid_trades(trades, delay).groupBy(_bounds(width), "symbol")
-           .agg(F.avg("price").alias("current_price")))
+    src = valid_trades(trades, delay)
+    agg = src.groupBy(_bounds(width), "symbol").agg(F.avg("price").alias("current_price"))
     j = agg.join(_static(snapshot_prev_close(snapshot), static_max_rows), "symbol")
     dev = F.round((F.col("current_price") - F.col("prev_close")) / F.col("prev_close") * 100, 4)
     j = j.withColumn("deviation_pct", dev)
     return j.select(
-        *_window_cols(), "symbol",
+        *_window_cols(src), "symbol",
         F.round("current_price", 4).alias("current_price"),
         F.round("prev_close", 4).alias("prev_close"),
         "deviation_pct",
