@@ -102,37 +102,56 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Order, value: str,
 
 
 def vs_group_mean(df: DataFrame, keys: Sequence[str], value: str, mean_name: str,
-                  diff_name: str | None = None) -> DataFrame:
+                  diff_name: str | None = None, method: str = "join") -> DataFrame:
     """Add the mean of ``value`` over the whole group, and optionally the
-    difference value - mean."""
-    mean = F.avg(value).over(spec(keys))
-    out = df.withColumn(mean_name, mean)
+    difference value - mean.
+
+    method="join" (default): a grouped mean (map-side partial aggregation, so
+    only one partial row per group and task is shuffled) joined back on the
+    keys; the join is broadcast when the group count is small (AQE measures
+    it), otherwise both sides are shuffled.  The rows themselves are never
+    shuffled for a small group count.
+    method="window": AVG() OVER (PARTITION BY keys), one shuffle of all rows.
+    """
+    keys = list(keys)
+    if method == "window":
+        out = df.withColumn(mean_name, F.avg(value).over(spec(keys)))
+    elif method == "join":
+        means = df.groupBy(*keys).agg(F.avg(value).alias(mean_name))
+        out = df.join(means, keys)
+    else:
+        raise ValueError("method must be 'join' or 'window'")
     if diff_name:
         out = out.withColumn(diff_name, F.col(value) - F.col(mean_name))
     return out
 
 
 def streaks(df: DataFrame, keys: Sequence[str], order: Sequence[str], predicate: Column,
-            min_len: int, index: Column | None = None,
+            min_len: int, index: Column | None = None, require_adjacent: bool = False,
             independent_bounds: bool = False) -> DataFrame:
     """Runs of consecutive rows (per key, in ``order``) on which ``predicate``
     holds, at least ``min_len`` rows long.
 
     Output: keys, ``start_<c>``/``end_<c>`` for each order column, ``length``.
-    A streak breaks when the predicate flips; with ``index`` (an integer
-    period number such as year * 12 + month) it also breaks on a gap in it.
-    Bounds are the first and last row of the run (``independent_bounds=True``
-    takes min and max of each order column separately instead).
+    A streak breaks when the predicate flips; with ``require_adjacent`` it
+    also breaks on a gap in ``index`` (an integer period number increasing
+    with ``order``, such as year * 12 + month).  Bounds are the first and last
+    row of the run (``independent_bounds=True`` takes min and max of each
+    order column separately instead).
 
     One Exchange: the streak aggregate groups by (keys, streak id), which the
-    window's hash partitioning on ``keys`` already satisfies.
+    window's hash partitioning on ``keys`` already satisfies.  With an
+    ``index`` the bounds are min_by/max_by on it, which keeps the aggregate a
+    hash aggregate (a struct-valued min/max needs a sort-based one).
     """
     keys, order = list(keys), list(order)
+    if require_adjacent and index is None:
+        raise ValueError("require_adjacent needs an index column")
     flag = F.when(predicate, 1).otherwise(0)
     w = spec(keys, order)
     prev_flag = F.lag(F.col("_flag"), 1).over(w)
     changed = prev_flag.isNull() | (F.col("_flag") != prev_flag)
-    if index is not None:
+    if require_adjacent:
         changed = changed | ((F.col("_idx") - F.lag(F.col("_idx"), 1).over(w)) != 1)
     run_w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     staged = (df.withColumn("_flag", flag)
@@ -142,13 +161,16 @@ def streaks(df: DataFrame, keys: Sequence[str], order: Sequence[str], predicate:
     if independent_bounds:
         bounds = ([F.min(c).alias(f"start_{c}") for c in order]
                   + [F.max(c).alias(f"end_{c}") for c in order])
+    elif index is not None:
+        bounds = ([F.min_by(c, "_idx").alias(f"start_{c}") for c in order]
+                  + [F.max_by(c, "_idx").alias(f"end_{c}") for c in order])
     else:
         pos = F.struct(*[F.col(c) for c in order])
         bounds = [F.min(pos).alias("_first"), F.max(pos).alias("_last")]
     grouped = (staged.groupBy(*keys, "_streak")
                .agg(*bounds, F.count(F.lit(1)).alias("length"), F.min("_flag").alias("_all"))
                .filter((F.col("_all") == 1) & (F.col("length") >= min_len)))
-    if not independent_bounds:
+    if not independent_bounds and index is None:
         grouped = grouped.select(
             "*", *[F.col(f"_first.{c}").alias(f"start_{c}") for c in order],
             *[F.col(f"_last.{c}").alias(f"end_{c}") for c in order])

@@ -209,9 +209,9 @@ def positive_streaks(monthly: DataFrame, min_len: int = 6, independent_bounds: b
     """
     base = monthly.filter(F.col("monthly_return_pct").isNotNull()).select(
         "ticker", "year", "month", "monthly_return_pct")
-    index = F.col("year") * 12 + F.col("month") if require_adjacent else None
     runs = streaks(base, ["ticker"], ["year", "month"], F.col("monthly_return_pct") > 0,
-                   min_len, index=index, independent_bounds=independent_bounds)
+                   min_len, index=F.col("year") * 12 + F.col("month"),
+                   require_adjacent=require_adjacent, independent_bounds=independent_bounds)
     return runs.select(
         "ticker",
         F.col("start_year").alias("streak_start_year"),
