@@ -14,7 +14,7 @@ from tidemark.sources.stream import (
     decode_trades, flatten_trade_envelopes, trade_payloads, trade_stream,
 )
 from tidemark.streaming import questions as sq
-from tidemark.streaming.runner import start_append, start_upsert
+from tidemark.streaming.runner import start_append, start_per_batch, start_upsert
 from tidemark.streaming.sinks import read_latest_windows, upsert_windows
 
 KEYS = ["window_start", "window_end", "symbol"]
@@ -187,3 +187,24 @@ def test_snapshot_edge_cases(spark):
     assert sq.vs_prev_close(trades, empty).count() == 0          # no snapshot at all
     got = sq.vs_prev_close(trades, snap).orderBy("symbol").collect()
     assert [(r.symbol, r.direction) for r in got] == [("A", "up"), ("B", "down")]
+
+
+def test_per_batch_scope_rereads_static_side(spark, sf_small, feed, tmp_path):
+    """Micro-batch scope: each batch is answered alone against a static side
+    resolved per batch; a window split across batches appears per batch."""
+    folder, batch = feed
+    quotes = fixtures.daily_quotes(spark, sf_small)
+    calls = []
+
+    def snapshot():
+        calls.append(1)
+        return layers.latest_snapshot(quotes)
+
+    out, ckpt = str(tmp_path / "pb-out"), str(tmp_path / "pb-ckpt")
+    qy = start_per_batch(stream_of(spark, folder, files_per_batch=10), sq.vs_prev_close,
+                         snapshot, out, ckpt)
+    qy.awaitTermination(300)
+    assert qy.exception() is None and len(calls) >= 3   # 30 daily files, 10 per batch
+    got = read_latest_windows(spark, out)
+    # 1-minute windows never span two daily files, so the result equals the batch twin
+    assert sorted_rows(got) == sorted_rows(sq.vs_prev_close(batch, layers.latest_snapshot(quotes)))

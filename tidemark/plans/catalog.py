@@ -216,6 +216,11 @@ def _q05(L: Layers):
     return q.cumulative_rank(L.monthly)
 
 
+@register("q05_compound")
+def _q05c(L: Layers):
+    return q.cumulative_rank(L.monthly, compound=True)
+
+
 @register("q06_outperformance")
 def _q06(L: Layers):
     return q.outperformance_rate(L.yearly, L.bridge, L.dim)
@@ -277,6 +282,15 @@ def _win_lag_default(L: Layers):
                         default="is_positive", name="prev_is_positive")
 
 
+@register("win_row_number")
+def _win_row_number(L: Layers):
+    df = L.silver.select("ticker", "year", "month", "trade_date")
+    df = win.rank_in_group(df, ["ticker", "year", "month"], [F.col("trade_date").asc()],
+                           method="row_number", name="rn_asc")
+    return win.rank_in_group(df, ["ticker", "year", "month"], [F.col("trade_date").desc()],
+                             method="row_number", name="rn_desc")
+
+
 @register("win_lead")
 def _win_lead(L: Layers):
     return win.lag_lead(L.silver.select("ticker", "trade_date", "daily_change_pct"),
@@ -400,6 +414,11 @@ def _sq3d(L: Layers):
     return sq.trade_frequency(L.trades)
 
 
+@register("sq3_symbol_baseline")
+def _sq3b(L: Layers):
+    return sq.trade_frequency(L.trades, baseline=sq.window_count_baseline(L.trades), factor=1.5)
+
+
 @register("sq4_price_vs_range")
 def _sq4(L: Layers):
     return sq.price_vs_range(L.trades, L.baselines)

@@ -323,6 +323,18 @@ FROM (SELECT *, sum(monthly_return_pct) OVER (
                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_return_pct
       FROM mret) c""")
 
+SQL["q05_compound"] = with_(["mret"], """
+SELECT ticker, year, month,
+       round(monthly_return_pct, 4) AS monthly_return_pct,
+       round(cumulative_return_pct, 4) AS cumulative_return_pct,
+       CAST(rank() OVER (PARTITION BY year, month ORDER BY cumulative_return_pct DESC)
+            AS INTEGER) AS cumulative_rank
+FROM (SELECT *, (exp(sum(ln(1 + monthly_return_pct / 100)) OVER (
+                    PARTITION BY ticker, year ORDER BY month
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) - 1) * 100
+                    AS cumulative_return_pct
+      FROM mret) c""")
+
 SQL["q06_outperformance"] = with_(["yearly", "bridge", "dim"], f"""
 SELECT ticker, exchange_id, exchange_name, years_outperformed, total_years,
        CAST(round(years_outperformed * 100.0 / total_years, 2) AS DOUBLE)
@@ -419,6 +431,14 @@ SELECT *, lag(is_positive, 1, is_positive) OVER (PARTITION BY ticker ORDER BY ye
 FROM (SELECT *, CASE WHEN monthly_return_pct > 0 THEN 1 ELSE 0 END AS is_positive
       FROM mret) x""")
 
+SQL["win_row_number"] = with_(["silver"], """
+SELECT ticker, year, month, trade_date,
+       CAST(row_number() OVER (PARTITION BY ticker, year, month ORDER BY trade_date)
+            AS INTEGER) AS rn_asc,
+       CAST(row_number() OVER (PARTITION BY ticker, year, month ORDER BY trade_date DESC)
+            AS INTEGER) AS rn_desc
+FROM silver""")
+
 SQL["win_lead"] = with_(["silver"], """
 SELECT ticker, trade_date, daily_change_pct,
        lead(daily_change_pct) OVER (PARTITION BY ticker ORDER BY trade_date) AS next_change_pct
@@ -543,6 +563,16 @@ FROM valid_trades GROUP BY 1, 2, symbol""")
 SQL["sq3_trade_frequency"] = _sq3(2.0)
 SQL["sq3_default_baseline"] = _sq3(20.0)
 
+SQL["sq3_symbol_baseline"] = with_(["valid_trades"], f"""
+SELECT w.window_start, w.window_end, w.symbol, w.trade_count,
+       w.trade_count > b.baseline * 1.5 AS is_high_frequency
+FROM (SELECT {_bucket('10 minutes')}, symbol, count(price) AS trade_count
+      FROM valid_trades GROUP BY 1, 2, symbol) w
+LEFT JOIN (SELECT symbol, avg(n) AS baseline
+           FROM (SELECT symbol, count(price) AS n FROM valid_trades
+                 GROUP BY time_bucket(INTERVAL '10 minutes', event_time), symbol) x
+           GROUP BY symbol) b ON w.symbol = b.symbol""")
+
 SQL["sq4_price_vs_range"] = with_(["valid_trades", "baselines"], f"""
 SELECT window_start, window_end, symbol,
        round(current_price, 4) AS current_price,

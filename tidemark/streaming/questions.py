@@ -21,7 +21,7 @@ from pyspark.sql.types import TimestampNTZType
 from tidemark.functions.expr import (
     direction, instant_to_ntz, ntz_to_instant, pct_above, pct_below, range_position,
 )
-from tidemark.operators.joins import bounded_broadcast
+from tidemark.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 from tidemark.operators.quality import apply_rules, trade_rules
 
 
@@ -59,10 +59,30 @@ def _window_cols(src: DataFrame):
     return [start.alias("window_start"), end.alias("window_end")]
 
 
-def _static(df: DataFrame, max_rows: int | None) -> DataFrame:
+def _static(df: DataFrame, max_rows: int | None, src: DataFrame) -> DataFrame:
+    """The static side of an enrichment join.
+
+    Batch: left to Spark (AQE broadcasts it once its measured size is small,
+    otherwise shuffles both sides and splits skewed partitions).  Stream: AQE
+    does not re-plan micro-batches, so the static side is broadcast after a
+    bounded row-count check (``max_rows``, default BROADCAST_MAX_ROWS); above
+    the bound it is joined by shuffle.
+    """
+    if src.isStreaming and max_rows is None:
+        max_rows = BROADCAST_MAX_ROWS
     return bounded_broadcast(df, max_rows) if max_rows else df
 
 
+def window_count_baseline(trades: DataFrame, width: str = "10 minutes") -> DataFrame:
+    """Per-symbol baseline for ``trade_frequency``: the mean number of trades
+    per ``width`` window over the given (historical) trades.  Two hash
+    aggregates, both partial before their shuffle."""
+    per_window = (apply_rules(trades, trade_rules())
+                  .groupBy(F.window("event_time", width).alias("w"), "symbol")
+                  .agg(F.count("price").alias("n")))
+    return per_window.groupBy("symbol").agg(F.avg("n").alias("baseline"))
+
+
 def price_volatility(trades: DataFrame, width: str = "10 minutes",
                      delay: str | None = "5 minutes") -> DataFrame:
     """SQ1: per window and symbol the mean and sample stddev of the price, the
@@ -101,7 +121,7 @@ def market_sentiment(trades: DataFrame, snapshot: DataFrame, width: str = "1 min
     listings = (snapshot.select("symbol", "prev_close", F.explode("exchange").alias("exchange"))
                 .filter(F.col("prev_close").isNotNull() & (F.col("prev_close") > 0)))
     src = valid_trades(trades, delay)
-    t = src.join(_static(listings, static_max_rows), "symbol")
+    t = src.join(_static(listings, static_max_rows, src), "symbol")
     side = direction("price", F.col("prev_close"))
     agg = (t.groupBy(_bounds(width), "exchange")
            .agg(F.count_if(side == "up").alias("rising_count"),
@@ -122,8 +142,8 @@ def trade_frequency(trades: DataFrame, baseline: float | DataFrame = 10, factor:
     agg = src.groupBy(_bounds(width), "symbol").agg(F.count("price").alias("trade_count"))
     out = agg.select(*_window_cols(src), "symbol", "trade_count")
     if isinstance(baseline, DataFrame):
-        out = out.join(baseline.select("symbol", F.col("baseline").alias("_base")), "symbol",
-                       "left")
+        base = _static(baseline.select("symbol", F.col("baseline").alias("_base")), None, src)
+        out = out.join(base, "symbol", "left")
         flag = F.col("trade_count") > F.col("_base") * factor
         return out.withColumn("is_high_frequency", flag).drop("_base")
     return out.withColumn("is_high_frequency", F.col("trade_count") > F.lit(baseline * factor))
@@ -143,7 +163,7 @@ def price_vs_range(trades: DataFrame, baselines: DataFrame, width: str = "5 minu
     near_low / neutral on the rounded percentages."""
     src = valid_trades(trades, delay)
     agg = src.groupBy(_bounds(width), "symbol").agg(F.avg("price").alias("current_price"))
-    j = agg.join(_static(valid_extremes(baselines), static_max_rows), "symbol")
+    j = agg.join(_static(valid_extremes(baselines), static_max_rows, src), "symbol")
     j = j.withColumns({"pct_from_high": pct_below("max_7d_high", "current_price"),
                        "pct_from_low": pct_above("current_price", "min_7d_low")})
     return j.select(
@@ -163,7 +183,7 @@ def vs_prev_close(trades: DataFrame, snapshot: DataFrame, width: str = "1 minute
     value)."""
     src = valid_trades(trades, delay)
     agg = src.groupBy(_bounds(width), "symbol").agg(F.avg("price").alias("current_price"))
-    j = agg.join(_static(snapshot_prev_close(snapshot), static_max_rows), "symbol")
+    j = agg.join(_static(snapshot_prev_close(snapshot), static_max_rows, src), "symbol")
     dev = F.round((F.col("current_price") - F.col("prev_close")) / F.col("prev_close") * 100, 4)
     j = j.withColumn("deviation_pct", dev)
     return j.select(

@@ -6,6 +6,8 @@ a cluster); nothing defaults to a machine-local temp folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -39,3 +41,27 @@ def start_append(result: DataFrame, path: str, checkpoint: str, trigger: str | N
     if name:
         writer = writer.queryName(name)
     return _trigger(writer, trigger).start()
+
+
+def start_per_batch(trades: DataFrame, question: Callable[[DataFrame, DataFrame], DataFrame],
+                    static: Callable[[], DataFrame], path: str, checkpoint: str,
+                    trigger: str | None = None, name: str | None = None) -> StreamingQuery:
+    """Run a question on each micro-batch on its own, with the static side
+    resolved again for every batch.
+
+    This is the micro-batch scope: windows are aggregated within a batch
+    only (a window that spans two batches is written twice, each time
+    partially), and a refreshed snapshot is picked up without a restart.
+    ``question(batch_trades, static_frame)`` must be a batch question such as
+    ``vs_prev_close``; results go through the idempotent batch-folder sink.
+    """
+    write = upsert_windows(path)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(question(batch, static()), batch_id)
+
+    writer = (trades.writeStream.outputMode("append").foreachBatch(run)
+              .option("checkpointLocation", checkpoint))
+    if name:
+        writer = writer.queryName(name)
+    return _trigger(writer, trigger).start()
