@@ -11,10 +11,10 @@ from __future__ import annotations
 import json
 import os
 import re
-import tempfile
+import uuid
 
 from tidemark.plans.lake import Lake, build_steps, question_frames, timed
-from tidemark.session import local_session
+from tidemark.session import local_session, scratch_path
 from tidemark.sources import fixtures
 
 
@@ -22,7 +22,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="tidemark-bench")
-    root = tempfile.mkdtemp(prefix="tidemark-bench-")
+    root = scratch_path(spark, f"bench-lake-{uuid.uuid4().hex[:8]}")
     lake = Lake(spark, root)
 
     # warm-up: JVM, code generation and file listing outside the timings
