@@ -2,6 +2,10 @@
 batch questions and the five stream questions (batch form) from the written
 layers.  Prints one JSON line.
 
+Before timing, the same steps run once, untimed, on the smallest fixture
+(sf0.001) so JVM start-up, JIT and code generation are not charged to the
+first timed step.
+
     BENCH_SF_DIR  input tables       (default /root/testdata/sf0.1)
     BENCH_CPUS    local[N] threads   (default 8)
 """
@@ -18,16 +22,7 @@ from tidemark.session import local_session, scratch_path
 from tidemark.sources import fixtures
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="tidemark-bench")
-    root = scratch_path(spark, f"bench-lake-{uuid.uuid4().hex[:8]}")
-    lake = Lake(spark, root)
-
-    # warm-up: JVM, code generation and file listing outside the timings
-    fixtures.table(spark, sf_dir, "region").count()
-
+def run_all(spark, lake: Lake, sf_dir: str) -> dict[str, float]:
     timings: dict[str, float] = {}
     for name, action in build_steps(
             lake,
@@ -35,11 +30,26 @@ def main() -> None:
             dim=lambda: fixtures.exchange_dim(spark, sf_dir),
             quotes=lambda: fixtures.daily_quotes(spark, sf_dir)):
         timings[f"build_{name}"] = round(timed(action), 3)
-
     trades = fixtures.trades(spark, sf_dir)
     for name, frame in question_frames(lake, trades).items():
         timings[name] = round(timed(lambda: frame().write.format("noop").mode("overwrite")
                                     .save()), 3)
+    return timings
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="tidemark-bench")
+    root = scratch_path(spark, f"bench-lake-{uuid.uuid4().hex[:8]}")
+    lake = Lake(spark, root)
+
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir):
+        run_all(spark, Lake(spark, scratch_path(spark, f"bench-warm-{uuid.uuid4().hex[:8]}")),
+                warm_dir)
+
+    timings = run_all(spark, lake, sf_dir)
 
     match = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({

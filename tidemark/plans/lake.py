@@ -22,17 +22,23 @@ from tidemark.plans import layers, questions as q
 from tidemark.sources.sinks import write_layer
 from tidemark.streaming import questions as sq
 
-# layer name -> (partition columns, columns whose hash spreads a partition)
+# layer name -> (partition columns, cluster rows by them before writing,
+#                columns whose hash spreads one partition value over tasks)
+# The raw bars are the one layer whose size follows the input volume and
+# their partition column has only a handful of values: clustering would
+# funnel the whole layer through that many tasks, so every task writes its
+# own files instead.  The derived layers hold one row per ticker and period,
+# so clustering them gives one file per partition folder.
 LAYOUT = {
-    "bars": (["exchange_id"], ["ticker"]),
-    "exchange_dim": ([], []),
-    "ticker_exchanges": ([], []),
-    "stock_prices": (["year", "month"], ["ticker"]),
-    "daily_stock_metrics": (["year"], ["ticker"]),
-    "monthly_stock_performance": (["year", "month"], ["ticker"]),
-    "yearly_stock_performance": (["year"], ["ticker"]),
-    "streaming_daily_quotes": (["quote_date"], ["symbol"]),
-    "streaming_7d_aggregates": ([], []),
+    "bars": (["exchange_id"], False, []),
+    "exchange_dim": ([], False, []),
+    "ticker_exchanges": ([], False, []),
+    "stock_prices": (["year", "month"], True, ["ticker"]),
+    "daily_stock_metrics": (["year"], True, ["ticker"]),
+    "monthly_stock_performance": (["year", "month"], True, ["ticker"]),
+    "yearly_stock_performance": (["year"], True, ["ticker"]),
+    "streaming_daily_quotes": (["quote_date"], True, ["symbol"]),
+    "streaming_7d_aggregates": ([], False, []),
 }
 
 
@@ -47,8 +53,8 @@ class Lake:
         return f"{self.root}/{name}"
 
     def write(self, name: str, df: DataFrame) -> None:
-        parts, spread = LAYOUT[name]
-        write_layer(df, self.path(name), partition_by=parts, spread_by=spread,
+        parts, cluster, spread = LAYOUT[name]
+        write_layer(df, self.path(name), partition_by=parts, cluster=cluster, spread_by=spread,
                     files_per_partition=self.files_per_partition)
 
     def read(self, name: str) -> DataFrame:

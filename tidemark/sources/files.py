@@ -72,11 +72,12 @@ def read_bars_csv(spark: SparkSession, root: str, exchanges: Sequence[str] | Non
 def bars_from_bronze(bronze: DataFrame, dim: DataFrame) -> DataFrame:
     """Bronze rows -> the bar model (trade_date, *_price, exchange_id).
 
-    The exchange id comes from a join with the (literal, few-row) dimension;
-    an unknown folder name gets a NULL id, as the code mapping did.
+    The exchange id comes from a join with the dimension (a literal of a few
+    rows, which Spark broadcasts by its size estimate; no hint, so a large
+    dimension would be shuffled instead); an unknown folder name gets a NULL
+    id, as the code mapping did.
     """
-    return (bronze.join(F.broadcast(dim), F.col("source_exchange") == F.col("exchange_name"),
-                        "left")
+    return (bronze.join(dim, F.col("source_exchange") == F.col("exchange_name"), "left")
             .select("ticker", F.col("date").alias("trade_date"),
                     F.col("open").alias("open_price"), F.col("high").alias("high_price"),
                     F.col("low").alias("low_price"), F.col("close").alias("close_price"),

@@ -15,20 +15,24 @@ from tidemark.schemas import LAYER_TABLES
 
 
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                spread_by: Sequence[str] = (), files_per_partition: int = 1,
-                max_records_per_file: int | None = None, mode: str = "overwrite") -> None:
+                cluster: bool = True, spread_by: Sequence[str] = (),
+                files_per_partition: int = 1, max_records_per_file: int | None = None,
+                mode: str = "overwrite") -> None:
     """Write a Parquet layer.
 
-    With ``partition_by``, rows are first clustered by the partition columns
-    so each task writes few folders (no folders x tasks small files).  Since
-    a partition value can hold a large share of the rows (one year of a
-    metrics table), ``spread_by`` + ``files_per_partition`` spread each
-    partition value over that many tasks by a hash of other columns, and
-    ``max_records_per_file`` caps file size.
+    With ``partition_by`` and ``cluster``, rows are first clustered by the
+    partition columns so each task writes few folders (no folders x tasks
+    small files).  Since a partition value can hold a large share of the rows
+    (one year of a metrics table), ``spread_by`` + ``files_per_partition``
+    spread each partition value over that many tasks by a hash of other
+    columns, and ``max_records_per_file`` caps file size.  ``cluster=False``
+    keeps the upstream partitioning (for large layers partitioned by a
+    column with few values, where clustering would leave only that many
+    writer tasks).
     """
     partition_by = list(partition_by)
     writer_df = df
-    if partition_by:
+    if partition_by and cluster:
         cluster = [F.col(c) for c in partition_by]
         if spread_by and files_per_partition > 1:
             cluster.append(F.pmod(F.hash(*[F.col(c) for c in spread_by]),
