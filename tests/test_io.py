@@ -109,3 +109,54 @@ def test_run_exports_counts_from_the_write(spark, tmp_path, sf_small):
     counts = sinks.run_exports(exports, sinks.parquet_sink(str(tmp_path / "marts")))
     assert counts == {"q01_top_n": 105, "q03_worst_vs_mean": 83}
     assert spark.read.parquet(str(tmp_path / "marts" / "q01_top_n")).count() == 105
+
+
+def test_lake_from_original_files(spark, tmp_path):
+    """CSV bars + quote JSON -> every layer -> registered tables -> questions."""
+    import random
+
+    from tidemark.plans.lake import Lake, build_steps, file_sources, question_frames
+    from tidemark.sources.stream import decode_trades
+
+    rnd = random.Random(7)
+    root = tmp_path / "src"
+    for exchange, tickers in (("nasdaq", ["AAA", "BBB"]), ("nyse", ["BBB", "CCC"])):
+        for t in tickers:
+            lines, price = [], 50.0
+            for i in range(400):                     # ~13 months of calendar days
+                d = dt.date(2000, 1, 3) + dt.timedelta(days=i)
+                o = price
+                c = max(1.0, o * (1 + rnd.uniform(-0.05, 0.05)))
+                lo, hi = min(o, c) * 0.99, max(o, c) * 1.01
+                vol = rnd.randint(100, 5000) * (5 if i % 37 == 0 else 1)
+                lines.append(f"{d:%d-%m-%Y},{lo},{o},{vol},{hi},{c},{c}")
+                price = c
+            _write(f"{root}/{exchange}/csv/{t}.csv", HEADER + "\n".join(lines) + "\n")
+    for k, day in enumerate(("2024-01-02", "2024-01-03")):
+        docs = [{"symbol": s, "exchange": ["US", s[0]],
+                 "quote": {"c": 10.0 + k + j, "h": 11.0 + k + j, "l": 9.0 + j, "o": 10.0 + j,
+                           "pc": 9.5 + j + k, "t": 1704153600 + k * 86400}}
+                for j, s in enumerate(("AAA", "BBB"))]
+        _write(str(tmp_path / "daily" / day / "quotes.json"), json.dumps(docs))
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    src = file_sources(spark, str(root), f"{tmp_path}/daily/*/quotes.json")
+    for _, action in build_steps(lake, **src):
+        action()
+    assert lake.read("stock_prices").count() == 3 * 400
+    assert sorted(tuple(r) for r in lake.read("ticker_exchanges").collect()) == [
+        ("AAA", 1), ("BBB", 1), ("BBB", 2), ("CCC", 2)]
+    sinks.register_tables(spark, lake.root, database="tm_files")
+    assert spark.sql("SELECT count(*) FROM tm_files.monthly_stock_performance").first()[0] == 3 * 14
+    assert spark.table("tm_files.streaming_7d_aggregates").count() == 2
+
+    trades = decode_trades(spark.createDataFrame(
+        [(json.dumps({"symbol": "AAA", "price": 11.0 + i / 10, "timestamp_ms":
+                      1704240000000 + i * 20_000, "volume": 1.0}),) for i in range(60)],
+        "value string"))
+    frames = question_frames(lake, trades)
+    counts = {name: frame().count() for name, frame in frames.items()}
+    assert counts["q01"] == 2 * 2 * 2      # 2 exchanges x 2 years x 2 tickers (all in top 3)
+    assert counts["q02"] == 3 * 2 and counts["q05"] == 3 * 14 and counts["q09"] == 4 * 14
+    assert counts["q08"] > 0 and counts["q07"] > 0
+    assert counts["sq1"] == 2 and counts["sq5"] == 20 and counts["sq4"] == 4

@@ -13,7 +13,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from tidemark.operators import aggregates as agg
 from tidemark.operators import windows as win
@@ -86,11 +85,6 @@ def round_columns(df: DataFrame, names, digits: int = 6) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
-def round_all_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    names = [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)]
-    return round_columns(df, names, digits)
-
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 

@@ -84,6 +84,20 @@ def build_steps(lake: Lake, bars: Callable[[], DataFrame], dim: Callable[[], Dat
     ]
 
 
+def file_sources(spark: SparkSession, csv_root: str, quotes_glob: str,
+                 min_date: str | None = "1993-01-01") -> dict[str, Callable[[], DataFrame]]:
+    """``build_steps`` inputs from the original file formats: per-ticker bar
+    CSVs under ``<csv_root>/<exchange>/csv/`` and daily quote documents."""
+    from tidemark.sources import files
+
+    return {
+        "bars": lambda: files.bars_from_bronze(
+            files.read_bars_csv(spark, csv_root, min_date=min_date), files.exchange_dim(spark)),
+        "dim": lambda: files.exchange_dim(spark),
+        "quotes": lambda: files.read_quotes_json(spark, quotes_glob),
+    }
+
+
 def question_frames(lake: Lake, trades: DataFrame) -> dict[str, Callable[[], DataFrame]]:
     """The ten batch questions and the five stream questions (batch form),
     each reading the written layers."""
