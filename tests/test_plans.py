@@ -77,3 +77,8 @@ def test_scans_prune_columns_and_push_filters(lake):
     assert "PushedFilters: [IsNotNull(rolling_volatility_30d)" in text
     schemas = re.findall(r"ReadSchema: struct<[^>]*>", text)
     assert schemas and all("open_price" not in s for s in schemas)
+
+
+def test_quote_open_close_stays_a_hash_aggregate(spark, sf_small):
+    p = final_plan(fixtures.daily_quotes(spark, sf_small))
+    assert count(p, "SortAggregate") == 0 and count(p, "HashAggregate") >= 2

@@ -153,3 +153,22 @@ def test_direction_and_range_position(spark):
     got = df.select(direction("v").alias("d"), range_position("hi", "lo").alias("p")).collect()
     assert [(r.d, r.p) for r in got] == [("up", "near_high"), ("down", "near_low"),
                                           ("flat", "neutral"), ("flat", "near_high")]
+
+
+def test_pack_order_is_lexicographic_and_guarded(spark):
+    import itertools
+
+    import pytest
+
+    from tidemark.operators.aggregates import pack_order
+    vals_hi = [-(2 ** 61), -5, 0, 3, 2 ** 61 - 1]
+    vals_lo = [-(2 ** 63), -1, 0, 7, 2 ** 63 - 1]
+    pairs = list(itertools.product(vals_hi, vals_lo))
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    got = [(r.a, r.b) for r in df.orderBy(pack_order("a", "b")).collect()]
+    assert got == sorted(pairs)
+    g = df.groupBy().agg(F.min_by("b", pack_order("a", "b")).alias("first")).first()
+    assert g.first == -(2 ** 63)
+    with pytest.raises(Exception):
+        spark.createDataFrame([(2 ** 62, 1)], "a bigint, b bigint").select(
+            pack_order("a", "b")).collect()

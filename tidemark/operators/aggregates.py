@@ -27,6 +27,30 @@ def last_by(value: str | Column, order: str | Column) -> Column:
     return F.max_by(_c(value), _c(order))
 
 
+_HI_LIMIT = 2 ** 61
+
+
+def pack_order(hi: str | Column, lo: str | Column) -> Column:
+    """One DECIMAL(38,0) key ordering exactly like (hi, lo) for two BIGINTs,
+    with ``hi`` in [-2^61, 2^61) (TIMESTAMP micros qualify until year ~75,000).
+
+    ``min_by(x, struct(hi, lo))`` keeps a struct in the aggregation buffer,
+    which Spark can only run as a sort-based aggregate; a decimal buffer stays
+    in the hash aggregate.  (hi + 2^61) * 2^64 + (lo + 2^63) < 2^126 < 10^38.
+    A ``hi`` outside the range raises an error instead of mis-ordering.
+    """
+    def dec(n: int) -> Column:
+        return F.lit(str(n)).cast("decimal(38,0)")
+
+    hi, lo = _c(hi).cast("decimal(38,0)"), _c(lo).cast("decimal(38,0)")
+    key = (hi + dec(_HI_LIMIT)) * dec(2 ** 64) + (lo + dec(2 ** 63))
+    in_range = (hi >= dec(-_HI_LIMIT)) & (hi < dec(_HI_LIMIT))
+    return (F.when(hi.isNull() | lo.isNull(), F.lit(None).cast("decimal(38,0)"))
+            .when(in_range, key.cast("decimal(38,0)"))
+            .otherwise(F.raise_error(F.lit("pack_order: first key out of range"))
+                       .cast("decimal(38,0)")))
+
+
 def first_last(df: DataFrame, keys: Sequence[str], order: str | Column,
                first: Mapping[str, str | Column], last: Mapping[str, str | Column]) -> DataFrame:
     """Per group: ``first`` columns from the earliest row, ``last`` from the latest."""

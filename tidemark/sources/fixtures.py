@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import ntz_to_epoch_ms, pct_change
-from tidemark.operators.aggregates import first_by, last_by
+from tidemark.operators.aggregates import first_by, last_by, pack_order
 from tidemark.operators.windows import lag_value
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -95,7 +95,10 @@ def daily_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     order, high/low, previous close = close of the symbol's previous date.
     """
     t = trades(spark, sf_dir)
-    seq = F.struct("event_time", "event_id")
+    # (event_time, event_id) as one exact decimal key: keeps a hash aggregate
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").try_cast(
+        "timestamp_ntz"), F.col("event_time"))
+    seq = pack_order(micros, "event_id")
     daily = (t.groupBy("symbol", F.col("event_time").cast("date").alias("d"))
              .agg(first_by("price", seq).alias("open_price"),
                   last_by("price", seq).alias("current_price"),
