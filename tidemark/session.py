@@ -56,3 +56,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}"
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Spark settings sized for a job reading ``input_bytes`` on a cluster.
+
+    * scan splits of ``target_partition_bytes`` (many small per-ticker CSVs
+      are packed into splits by the open-cost setting);
+    * an initial shuffle width of input / target (at least 2 tasks per core),
+      which AQE then coalesces to the advisory size, so no stage runs with
+      partitions larger than fit in an executor's execution memory;
+    * AQE skew handling for the joins (a partition 5x the median and over
+      the advisory size is split);
+    * RocksDB state store for the stream questions' window state.
+    Pass the result to ``SparkSession.builder.config(map=...)``/spark-submit.
+    """
+    cores = max(1, executors * cores_per_executor)
+    shuffle = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.openCostInBytes": str(8 * 1024 ** 2),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
