@@ -150,6 +150,23 @@ def test_lake_from_original_files(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM tm_files.monthly_stock_performance").first()[0] == 3 * 14
     assert spark.table("tm_files.streaming_7d_aggregates").count() == 2
 
+    # the questions as plain SQL over the registered tables agree with the operators
+    sql_top = spark.sql("""
+        SELECT exchange_id, exchange_name, year, ticker, yearly_return_pct, return_rank FROM (
+          SELECT b.exchange_id, d.exchange_name, y.year, y.ticker, y.yearly_return_pct,
+                 rank() OVER (PARTITION BY b.exchange_id, y.year
+                              ORDER BY y.yearly_return_pct DESC) AS return_rank
+          FROM tm_files.yearly_stock_performance y
+          JOIN tm_files.ticker_exchanges b ON y.ticker = b.ticker
+          JOIN tm_files.exchange_dim d ON b.exchange_id = d.exchange_id
+          WHERE y.yearly_return_pct IS NOT NULL) r
+        WHERE return_rank <= 3""")
+    from tidemark.plans import questions as q
+    op_top = q.top_n_per_exchange_year(spark.table("tm_files.yearly_stock_performance"),
+                                       spark.table("tm_files.ticker_exchanges"),
+                                       spark.table("tm_files.exchange_dim"))
+    assert sorted(map(tuple, sql_top.collect())) == sorted(map(tuple, op_top.collect()))
+
     trades = decode_trades(spark.createDataFrame(
         [(json.dumps({"symbol": "AAA", "price": 11.0 + i / 10, "timestamp_ms":
                       1704240000000 + i * 20_000, "volume": 1.0}),) for i in range(60)],

@@ -58,8 +58,10 @@ def bar_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw daily bars, one per (ticker, exchange, trade_date).
 
-    A single hash aggregate: open/close via min_by/max_by on the line order, so
-    map tasks pre-aggregate and a hot ticker costs one partial row per task.
+    One aggregate with map-side partial aggregation: open/close via
+    min_by/max_by on the six-column line order, so a hot ticker costs one
+    partial row per map task.  The struct order makes it a sort-based
+    aggregate (see README, "Known cost").
     """
     return (bar_trades(spark, sf_dir)
             .groupBy("ticker", "exchange_id", "exchange_name", "trade_date")
