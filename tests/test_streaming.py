@@ -208,3 +208,13 @@ def test_per_batch_scope_rereads_static_side(spark, sf_small, feed, tmp_path):
     got = read_latest_windows(spark, out)
     # 1-minute windows never span two daily files, so the result equals the batch twin
     assert sorted_rows(got) == sorted_rows(sq.vs_prev_close(batch, layers.latest_snapshot(quotes)))
+
+
+def test_sq3_symbol_baseline_on_a_stream(spark, feed, tmp_path):
+    folder, batch = feed
+    base = sq.window_count_baseline(batch)          # history: the batch form of the feed
+    got = run_upsert(spark, sq.trade_frequency(stream_of(spark, folder), baseline=base,
+                                               factor=1.5), tmp_path, "sq3b")
+    want = sq.trade_frequency(batch, baseline=base, factor=1.5)
+    assert sorted_rows(got) == sorted_rows(want)
+    assert got.filter(F.col("is_high_frequency")).count() > 0
