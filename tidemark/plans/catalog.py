@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates as agg
 from tidemark.operators import windows as win
-from tidemark.operators.quality import bar_rules, quality_report
+from tidemark.operators.quality import bar_rules, derive_bar_columns, quality_report
 from tidemark.plans import layers, questions as q
 from tidemark.sources import fixtures
 from tidemark.sources.stream import decode_trades, flatten_trade_envelopes, trade_envelopes, \
@@ -118,6 +118,12 @@ def _dedupe(L: Layers):
     return layers.dedupe_bars(L.clean)
 
 
+@register("bar_derivations")
+def _derivations(L: Layers):
+    return derive_bar_columns(layers.dedupe_bars(L.clean).drop("exchange_id")).select(
+        "ticker", "trade_date", "daily_range", "daily_change", "daily_change_pct")
+
+
 @register("silver")
 def _silver(L: Layers):
     return L.silver

@@ -214,6 +214,8 @@ FROM bars""")
 
 SQL["bar_quality_filter"] = with_(["clean"], "SELECT * FROM clean")
 SQL["bar_dedupe"] = with_(["deduped"], "SELECT * FROM deduped")
+SQL["bar_derivations"] = with_(["silver"], """
+SELECT ticker, trade_date, daily_range, daily_change, daily_change_pct FROM silver""")
 SQL["silver"] = with_(["silver"], "SELECT * FROM silver")
 SQL["exchange_dim"] = with_(["dim"], "SELECT * FROM dim")
 SQL["ticker_exchanges"] = with_(["bridge"], "SELECT * FROM bridge")
