@@ -177,3 +177,32 @@ def test_lake_from_original_files(spark, tmp_path):
     assert counts["q02"] == 3 * 2 and counts["q05"] == 3 * 14 and counts["q09"] == 4 * 14
     assert counts["q08"] > 0 and counts["q07"] > 0
     assert counts["sq1"] == 2 and counts["sq5"] == 20 and counts["sq4"] == 4
+
+
+def test_command_line_build_export_stream(spark, tmp_path):
+    from tidemark.__main__ import main
+    from tidemark.streaming.sinks import read_latest_windows
+
+    src = tmp_path / "src"
+    make_csv_tree(str(src))
+    _write(str(tmp_path / "daily" / "2024-01-02" / "quotes.json"), json.dumps(
+        [{"symbol": "AAPL", "exchange": ["US"], "quote": {"c": 10.0, "h": 11.0, "l": 9.0,
+                                                           "o": 9.5, "pc": 9.0, "t": 1}}]))
+    lake, out = str(tmp_path / "lake"), str(tmp_path / "marts")
+    built = main(["build", "--bars-csv", str(src), "--quotes",
+                  f"{tmp_path}/daily/*/quotes.json", "--lake", lake, "--database", "tm_cli"],
+                 spark=spark)
+    assert "tm_cli.stock_prices" in built["tables"]
+    rows = main(["export", "--lake", lake, "--out", out], spark=spark)["rows"]
+    # year 2000 listings: nasdaq AAPL; nyse AAPL, BRK.A; sp500 ES TC
+    assert set(rows) == {f"q{i:02d}" for i in range(1, 11)} and rows["q01"] == 4
+    msgs = tmp_path / "msgs"
+    _write(str(msgs / "m.json"), "\n".join(json.dumps(
+        {"symbol": "AAPL", "price": 10.0 + i, "timestamp_ms": 1704189600000 + i * 1000,
+         "volume": 1.0}) for i in range(5)) + "\n")
+    res = main(["stream", "--question", "sq5", "--source", "text", "--path", str(msgs),
+                "--lake", lake, "--out", str(tmp_path / "sq5"),
+                "--checkpoint", str(tmp_path / "ck")], spark=spark)
+    assert res["batches"] >= 1
+    got = read_latest_windows(spark, str(tmp_path / "sq5")).collect()
+    assert [(r.symbol, r.current_price, r.direction) for r in got] == [("AAPL", 12.0, "up")]

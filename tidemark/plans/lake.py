@@ -98,7 +98,7 @@ def file_sources(spark: SparkSession, csv_root: str, quotes_glob: str,
     }
 
 
-def question_frames(lake: Lake, trades: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+def question_frames(lake: Lake, trades: DataFrame | None) -> dict[str, Callable[[], DataFrame]]:
     """The ten batch questions and the five stream questions (batch form),
     each reading the written layers."""
     r = lake.read
@@ -126,6 +126,19 @@ def question_frames(lake: Lake, trades: DataFrame) -> dict[str, Callable[[], Dat
     }
 
 
+BATCH_QUESTIONS = ("q01", "q02", "q03", "q04", "q05", "q06", "q07", "q08", "q09", "q10")
+
+
+def export_questions(lake: Lake, sink, names=BATCH_QUESTIONS) -> dict[str, int]:
+    """Answer the batch questions from the lake and hand each result to
+    ``sink(df, name)`` (Parquet or JDBC, see ``sources.sinks``); returns the
+    row counts observed during the writes."""
+    from tidemark.sources.sinks import run_exports
+
+    frames = question_frames(lake, trades=None)
+    return run_exports({n: frames[n]() for n in names}, sink)
+
+
 def timed(action: Callable[[], object]) -> float:
     t0 = time.perf_counter()
     action()
