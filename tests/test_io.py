@@ -202,7 +202,7 @@ def test_command_line_build_export_stream(spark, tmp_path):
          "volume": 1.0}) for i in range(5)) + "\n")
     res = main(["stream", "--question", "sq5", "--source", "text", "--path", str(msgs),
                 "--lake", lake, "--out", str(tmp_path / "sq5"),
-                "--checkpoint", str(tmp_path / "ck")], spark=spark)
+                "--checkpoint", str(tmp_path / "ck"), "--trigger", "availableNow"], spark=spark)
     assert res["batches"] >= 1
     got = read_latest_windows(spark, str(tmp_path / "sq5")).collect()
     assert [(r.symbol, r.current_price, r.direction) for r in got] == [("AAPL", 12.0, "up")]

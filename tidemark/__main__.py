@@ -15,6 +15,8 @@ import json
 
 from pyspark.sql import SparkSession
 
+from tidemark import constants as C
+
 
 def _options(pairs):
     return dict(p.split("=", 1) for p in pairs or [])
@@ -42,7 +44,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     s.add_argument("--lake", help="layer root holding the quote snapshot / baselines")
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", required=True)
-    s.add_argument("--trigger", default="availableNow", help="availableNow or e.g. '30 seconds'")
+    s.add_argument("--trigger", default=C.TRIGGER,
+                   help="processing-time interval, or availableNow to drain and stop")
     args = ap.parse_args(argv)
 
     spark = spark or SparkSession.builder.getOrCreate()

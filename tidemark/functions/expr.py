@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, IntegralType
 
+from tidemark import constants as C
+
 ColumnOrName = Column | str
 
 
@@ -55,7 +57,7 @@ def pct_above(price: ColumnOrName, low: ColumnOrName, digits: int | None = 4) ->
 
 
 def range_position(pct_from_high: ColumnOrName, pct_from_low: ColumnOrName,
-                   near_pct: float = 2.0) -> Column:
+                   near_pct: float = C.NEAR_EXTREME_PCT) -> Column:
     """near_high if within near_pct of the high (high wins, above the high counts
     as near_high), else near_low if within near_pct of the low, else neutral."""
     hi, lo = _c(pct_from_high), _c(pct_from_low)
@@ -77,7 +79,7 @@ def safe_cast(value: ColumnOrName, to: DataType | str) -> Column:
     return value.try_cast(dtype)
 
 
-def safe_date(value: ColumnOrName, fmt: str = "dd-MM-yyyy") -> Column:
+def safe_date(value: ColumnOrName, fmt: str = C.BAR_DATE_FORMAT) -> Column:
     """Parse a date string; NULL for anything that does not parse."""
     return F.try_to_date(_c(value), fmt)
 

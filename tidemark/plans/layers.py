@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import constants as C
 from tidemark.functions.expr import calendar_parts, pct_change, ratio_if_positive
 from tidemark.operators.aggregates import first_by, last_by, mean_where, rounded_mean_long
 from tidemark.operators.quality import (
@@ -68,8 +69,9 @@ DAILY_COLUMNS = ["ticker", "trade_date", "year", "open_price", "high_price", "lo
                  "rolling_high_7d", "rolling_low_7d"]
 
 
-def daily_metrics(silver_df: DataFrame, short: int = 7, long: int = 20, vol: int = 30,
-                  spike: float = 2.0, drop: float = -10.0) -> DataFrame:
+def daily_metrics(silver_df: DataFrame, short: int = C.SHORT_ROWS, long: int = C.LONG_ROWS,
+                  vol: int = C.VOLATILITY_ROWS, spike: float = C.SPIKE_RATIO,
+                  drop: float = C.DROP_PCT) -> DataFrame:
     """daily_stock_metrics: previous close, trailing volume means (``long`` rows
     before the day, ``short`` rows up to it), ``short``-row high/low,
     ``vol``-row sample stddev of the daily change, volume ratio and flags.
@@ -167,7 +169,7 @@ def latest_dates(quotes: DataFrame, days: int) -> DataFrame:
             .orderBy(F.col("quote_date").desc()).limit(days))
 
 
-def quote_baselines(quotes: DataFrame, days: int | None = 7) -> DataFrame:
+def quote_baselines(quotes: DataFrame, days: int | None = C.BASELINE_DAYS) -> DataFrame:
     """streaming_7d_aggregates: per symbol, highest high, lowest low, mean
     previous close and number of snapshot dates, over the ``days`` most recent
     snapshot dates (``days=None``: every snapshot)."""

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import constants as C
 from tidemark.functions.expr import direction
 from tidemark.operators.windows import (
     lag_value, rank_in_group, running_sum, spec, streaks, top_n_per_group, vs_group_mean,
@@ -33,7 +34,7 @@ def with_exchanges(perf: DataFrame, bridge: DataFrame, dim: DataFrame) -> DataFr
 
 
 def top_n_per_exchange_year(yearly: DataFrame, bridge: DataFrame, dim: DataFrame,
-                            n: int = 3) -> DataFrame:
+                            n: int = C.TOP_N) -> DataFrame:
     """Q01: the n best yearly returns per (exchange, year); RANK, ties kept."""
     base = yearly.filter(F.col("yearly_return_pct").isNotNull()).select(
         "ticker", "year", "yearly_return_pct")
@@ -46,7 +47,8 @@ def top_n_per_exchange_year(yearly: DataFrame, bridge: DataFrame, dim: DataFrame
 def period_over_period_change(perf: DataFrame, keys=("ticker",), order=("year",),
                               value: str = "yearly_return_pct",
                               prev_name: str = "prev_year_return_pct",
-                              change_name: str = "yoy_return_change", digits: int = 4,
+                              change_name: str = "yoy_return_change",
+                              digits: int = C.RETURN_DIGITS,
                               require_adjacent: bool = False) -> DataFrame:
     """Q02: value minus the previous row's value per key.  With
     ``require_adjacent`` the previous row counts only if it is the directly
@@ -61,7 +63,7 @@ def period_over_period_change(perf: DataFrame, keys=("ticker",), order=("year",)
     return out.withColumn(change_name, F.round(F.col(value) - F.col(prev_name), digits))
 
 
-def worst_vs_own_mean(monthly: DataFrame, digits: int = 4) -> DataFrame:
+def worst_vs_own_mean(monthly: DataFrame, digits: int = C.RETURN_DIGITS) -> DataFrame:
     """Q03: per (year, month) the ticker whose monthly return fell furthest
     below its own all-time mean monthly return (RANK = 1, ties kept)."""
     base = monthly.filter(F.col("monthly_return_pct").isNotNull()).select(
@@ -77,8 +79,9 @@ def worst_vs_own_mean(monthly: DataFrame, digits: int = 4) -> DataFrame:
         F.round("return_vs_avg", digits).alias("return_vs_avg"))
 
 
-def recovery_after_drop(monthly: DataFrame, window: int = 3, limit: int | None = 100,
-                        compound: bool = False, digits: int = 4) -> DataFrame:
+def recovery_after_drop(monthly: DataFrame, window: int = C.RECOVERY_ROWS,
+                        limit: int | None = C.RECOVERY_LIMIT, compound: bool = False,
+                        digits: int = C.RETURN_DIGITS) -> DataFrame:
     """Q04: months that follow a negative month and close a ``window``-row run
     with a positive total return; the ``limit`` largest recoveries.
 
@@ -106,7 +109,8 @@ def recovery_after_drop(monthly: DataFrame, window: int = 3, limit: int | None =
             .limit(limit))
 
 
-def cumulative_rank(monthly: DataFrame, compound: bool = False, digits: int = 4) -> DataFrame:
+def cumulative_rank(monthly: DataFrame, compound: bool = False,
+                    digits: int = C.RETURN_DIGITS) -> DataFrame:
     """Q05: year-to-date return per ticker and month, ranked across tickers in
     each (year, month) on the unrounded value."""
     base = monthly.filter(F.col("monthly_return_pct").isNotNull()).select(
@@ -123,7 +127,7 @@ def cumulative_rank(monthly: DataFrame, compound: bool = False, digits: int = 4)
 
 
 def outperformance_rate(yearly: DataFrame, bridge: DataFrame, dim: DataFrame,
-                        min_years: int = 5) -> DataFrame:
+                        min_years: int = C.MIN_YEARS) -> DataFrame:
     """Q06: per (ticker, exchange) the number of years the ticker's return beat
     the exchange's mean return that year, the years counted, and the rate (%).
     Years need not be consecutive."""
@@ -136,12 +140,12 @@ def outperformance_rate(yearly: DataFrame, bridge: DataFrame, dim: DataFrame,
               .agg(F.sum(beat).cast("bigint").alias("years_outperformed"),
                    F.count(F.lit(1)).alias("total_years"))
               .filter(F.col("years_outperformed") >= min_years))
-    rate = F.round(F.col("years_outperformed") * 100.0 / F.col("total_years"), 2)
+    rate = F.round(F.col("years_outperformed") * 100.0 / F.col("total_years"), C.RATE_DIGITS)
     return counts.withColumn("outperformance_rate_pct", rate.cast("double"))
 
 
-def above_period_mean(daily: DataFrame, digits: int = 6,
-                      filter_digits: int | None = 6) -> DataFrame:
+def above_period_mean(daily: DataFrame, digits: int = C.VOLATILITY_DIGITS,
+                      filter_digits: int | None = C.VOLATILITY_DIGITS) -> DataFrame:
     """Q07: days whose 30-row volatility exceeds the ticker's mean volatility
     of that year.  The excess is compared after rounding to ``filter_digits``
     (None: raw doubles, where a constant series yields last-bit noise)."""
@@ -198,7 +202,8 @@ def percentile_in_group(monthly: DataFrame, bridge: DataFrame, dim: DataFrame,
                          F.round(value, 4).alias(value), F.round(name, 4).alias(name))
 
 
-def positive_streaks(monthly: DataFrame, min_len: int = 6, independent_bounds: bool = False,
+def positive_streaks(monthly: DataFrame, min_len: int = C.MIN_STREAK,
+                     independent_bounds: bool = False,
                      require_adjacent: bool = False) -> DataFrame:
     """Q10: runs of at least ``min_len`` consecutive positive monthly returns
     per ticker, with first and last (year, month) and the length.

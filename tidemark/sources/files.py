@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from tidemark import constants as C
 from tidemark import schemas
 from tidemark.functions.expr import safe_cast, safe_date
 from tidemark.plans.layers import flatten_quotes
 
-# The exchange folders of the historical bar files and their ids.
-EXCHANGES = [(1, "nasdaq"), (2, "nyse"), (3, "sp500"), (4, "forbes2000")]
+EXCHANGES = C.EXCHANGES
 
 EXCHANGE_DIM_SCHEMA = StructType([
     StructField("exchange_id", IntegerType(), False),
@@ -39,7 +39,7 @@ def file_path_part(pattern: str, group: int = 1):
 
 
 def read_bars_csv(spark: SparkSession, root: str, exchanges: Sequence[str] | None = None,
-                  min_date: str | None = "1993-01-01") -> DataFrame:
+                  min_date: str | None = C.MIN_TRADE_DATE) -> DataFrame:
     """Bronze bars from ``<root>/<exchange>/csv/<TICKER>.csv``.
 
     One scan over all exchange folders (a folder that does not exist simply
@@ -52,7 +52,7 @@ def read_bars_csv(spark: SparkSession, root: str, exchanges: Sequence[str] | Non
     raw = (spark.read.schema(schemas.BAR_CSV).option("header", True)
            .option("mode", "PERMISSIVE").csv(glob))
     out = raw.select(
-        file_path_part(r"([^/]+)\.csv$").alias("ticker"),
+        file_path_part(C.TICKER_FROM_PATH).alias("ticker"),
         safe_date("Date").alias("date"),
         safe_cast("Open", "double").alias("open"),
         safe_cast("High", "double").alias("high"),
@@ -90,7 +90,7 @@ def read_quotes_json(spark: SparkSession, glob: str) -> DataFrame:
     -> the streaming_daily_quotes layer; the date comes from the path."""
     raw = (spark.read.schema(schemas.QUOTE_JSON).option("multiLine", True).json(glob)
            .withColumn("quote_date",
-                       F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4}-\d{2}-\d{2})", 1)))
+                       F.regexp_extract(F.col("_metadata.file_path"), C.QUOTE_DATE_FROM_PATH, 1)))
     return flatten_quotes(raw)
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import TimestampNTZType
 
+from tidemark import constants as C
 from tidemark.functions.expr import (
     direction, instant_to_ntz, ntz_to_instant, pct_above, pct_below, range_position,
 )
@@ -73,7 +74,7 @@ def _static(df: DataFrame, max_rows: int | None, src: DataFrame) -> DataFrame:
     return bounded_broadcast(df, max_rows) if max_rows else df
 
 
-def window_count_baseline(trades: DataFrame, width: str = "10 minutes") -> DataFrame:
+def window_count_baseline(trades: DataFrame, width: str = C.SQ3_WINDOW[0]) -> DataFrame:
     """Per-symbol baseline for ``trade_frequency``: the mean number of trades
     per ``width`` window over the given (historical) trades.  Two hash
     aggregates, both partial before their shuffle."""
@@ -83,8 +84,8 @@ def window_count_baseline(trades: DataFrame, width: str = "10 minutes") -> DataF
     return per_window.groupBy("symbol").agg(F.avg("n").alias("baseline"))
 
 
-def price_volatility(trades: DataFrame, width: str = "10 minutes",
-                     delay: str | None = "5 minutes") -> DataFrame:
+def price_volatility(trades: DataFrame, width: str = C.SQ1_WINDOW[0],
+                     delay: str | None = C.SQ1_WINDOW[1]) -> DataFrame:
     """SQ1: per window and symbol the mean and sample stddev of the price, the
     trade count and the coefficient of variation (%); single-trade windows
     (stddev NULL) are dropped."""
@@ -108,8 +109,8 @@ def snapshot_prev_close(snapshot: DataFrame) -> DataFrame:
         F.col("prev_close").isNotNull() & (F.col("prev_close") > 0))
 
 
-def market_sentiment(trades: DataFrame, snapshot: DataFrame, width: str = "1 minute",
-                     delay: str | None = "2 minutes",
+def market_sentiment(trades: DataFrame, snapshot: DataFrame, width: str = C.SQ2_WINDOW[0],
+                     delay: str | None = C.SQ2_WINDOW[1],
                      static_max_rows: int | None = None) -> DataFrame:
     """SQ2: per window and exchange, trades priced above / below their
     symbol's previous close, and rising / (rising + falling).  A symbol
@@ -132,8 +133,10 @@ def market_sentiment(trades: DataFrame, snapshot: DataFrame, width: str = "1 min
         F.round(F.col("rising_count") / moved, 4).alias("sentiment_ratio"))
 
 
-def trade_frequency(trades: DataFrame, baseline: float | DataFrame = 10, factor: float = 2.0,
-                    width: str = "10 minutes", delay: str | None = "5 minutes") -> DataFrame:
+def trade_frequency(trades: DataFrame,
+                    baseline: float | DataFrame = C.TRADES_PER_WINDOW_BASELINE,
+                    factor: float = C.HIGH_FREQUENCY_FACTOR, width: str = C.SQ3_WINDOW[0],
+                    delay: str | None = C.SQ3_WINDOW[1]) -> DataFrame:
     """SQ3: trades per window and symbol, flagged when above ``factor`` x the
     baseline.  ``baseline`` is a constant trades-per-window, or a frame
     (symbol, baseline) of per-symbol baselines; symbols missing from it are
@@ -155,8 +158,8 @@ def valid_extremes(baselines: DataFrame) -> DataFrame:
         & (F.col("max_7d_high") > 0) & (F.col("min_7d_low") > 0))
 
 
-def price_vs_range(trades: DataFrame, baselines: DataFrame, width: str = "5 minutes",
-                   delay: str | None = "10 minutes", near_pct: float = 2.0,
+def price_vs_range(trades: DataFrame, baselines: DataFrame, width: str = C.SQ4_WINDOW[0],
+                   delay: str | None = C.SQ4_WINDOW[1], near_pct: float = C.NEAR_EXTREME_PCT,
                    static_max_rows: int | None = None) -> DataFrame:
     """SQ4: mean price per window and symbol against the symbol's recent
     high/low: percent below the high, above the low, and near_high /
@@ -175,8 +178,8 @@ def price_vs_range(trades: DataFrame, baselines: DataFrame, width: str = "5 minu
         range_position("pct_from_high", "pct_from_low", near_pct).alias("position"))
 
 
-def vs_prev_close(trades: DataFrame, snapshot: DataFrame, width: str = "1 minute",
-                  delay: str | None = "2 minutes",
+def vs_prev_close(trades: DataFrame, snapshot: DataFrame, width: str = C.SQ5_WINDOW[0],
+                  delay: str | None = C.SQ5_WINDOW[1],
                   static_max_rows: int | None = None) -> DataFrame:
     """SQ5: mean price per window and symbol against the previous close:
     deviation (%) rounded to 4 places and its direction (on the rounded
