@@ -2,6 +2,9 @@
 
 Text inputs (CSV, JSON, stream payloads) are always read with these declared
 schemas, never inferred.  ``LAYER_TABLES`` drives table registration.
+
+Fixed values: field names, order and types below are the reference's input
+formats and table contracts, so results and marts stay interchangeable.
 """
 
 from __future__ import annotations
