@@ -218,3 +218,18 @@ def test_sq3_symbol_baseline_on_a_stream(spark, feed, tmp_path):
     want = sq.trade_frequency(batch, baseline=base, factor=1.5)
     assert sorted_rows(got) == sorted_rows(want)
     assert got.filter(F.col("is_high_frequency")).count() > 0
+
+
+def test_envelopes_on_a_stream_feed_sq1(spark, sf_small, tmp_path):
+    """Provider envelopes arriving as files -> flatten -> SQ1, equal to SQ1 on
+    the same trades decoded in batch."""
+    from tidemark.sources.stream import trade_envelopes
+
+    folder = str(tmp_path / "env")
+    trades = fixtures.trades(spark, sf_small)
+    trade_envelopes(trades).write.mode("overwrite").text(folder)
+    stream = flatten_trade_envelopes(trade_stream(spark, "text", folder,
+                                                  {"maxFilesPerTrigger": "1"}))
+    got = run_upsert(spark, sq.price_volatility(stream), tmp_path, "env-sq1")
+    want = sq.price_volatility(flatten_trade_envelopes(spark.read.text(folder)))
+    assert sorted_rows(got) == sorted_rows(want) and got.count() > 0
