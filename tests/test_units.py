@@ -172,3 +172,14 @@ def test_pack_order_is_lexicographic_and_guarded(spark):
     with pytest.raises(Exception):
         spark.createDataFrame([(2 ** 62, 1)], "a bigint, b bigint").select(
             pack_order("a", "b")).collect()
+
+
+def test_group_mean_methods_agree(spark, sf_small):
+    from tidemark.plans.catalog import Layers
+    L = Layers(spark, sf_small)
+    for fn, args in ((q.worst_vs_own_mean, (L.monthly,)),
+                     (q.outperformance_rate, (L.yearly, L.bridge, L.dim)),
+                     (q.above_period_mean, (L.daily,))):
+        a = sorted(map(tuple, fn(*args, mean_method="join").collect()))
+        b = sorted(map(tuple, fn(*args, mean_method="window").collect()))
+        assert a == b

@@ -63,13 +63,15 @@ def period_over_period_change(perf: DataFrame, keys=("ticker",), order=("year",)
     return out.withColumn(change_name, F.round(F.col(value) - F.col(prev_name), digits))
 
 
-def worst_vs_own_mean(monthly: DataFrame, digits: int = C.RETURN_DIGITS) -> DataFrame:
+def worst_vs_own_mean(monthly: DataFrame, digits: int = C.RETURN_DIGITS,
+                      mean_method: str = "join") -> DataFrame:
     """Q03: per (year, month) the ticker whose monthly return fell furthest
-    below its own all-time mean monthly return (RANK = 1, ties kept)."""
+    below its own all-time mean monthly return (RANK = 1, ties kept).
+    ``mean_method``: see ``vs_group_mean``."""
     base = monthly.filter(F.col("monthly_return_pct").isNotNull()).select(
         "ticker", "year", "month", "monthly_return_pct")
     dev = vs_group_mean(base, ["ticker"], "monthly_return_pct", "avg_monthly_return_pct",
-                        "return_vs_avg")
+                        "return_vs_avg", method=mean_method)
     worst = top_n_per_group(dev, ["year", "month"], [F.col("return_vs_avg").asc()], 1,
                             name="drop_rank")
     return worst.select(
@@ -127,14 +129,14 @@ def cumulative_rank(monthly: DataFrame, compound: bool = False,
 
 
 def outperformance_rate(yearly: DataFrame, bridge: DataFrame, dim: DataFrame,
-                        min_years: int = C.MIN_YEARS) -> DataFrame:
+                        min_years: int = C.MIN_YEARS, mean_method: str = "join") -> DataFrame:
     """Q06: per (ticker, exchange) the number of years the ticker's return beat
     the exchange's mean return that year, the years counted, and the rate (%).
     Years need not be consecutive."""
     base = yearly.filter(F.col("yearly_return_pct").isNotNull()).select(
         "ticker", "year", "yearly_return_pct")
     j = vs_group_mean(with_exchanges(base, bridge, dim), ["exchange_id", "year"],
-                      "yearly_return_pct", "exchange_avg_return_pct")
+                      "yearly_return_pct", "exchange_avg_return_pct", method=mean_method)
     beat = F.when(F.col("yearly_return_pct") > F.col("exchange_avg_return_pct"), 1).otherwise(0)
     counts = (j.groupBy("ticker", "exchange_id", "exchange_name")
               .agg(F.sum(beat).cast("bigint").alias("years_outperformed"),
@@ -145,14 +147,15 @@ def outperformance_rate(yearly: DataFrame, bridge: DataFrame, dim: DataFrame,
 
 
 def above_period_mean(daily: DataFrame, digits: int = C.VOLATILITY_DIGITS,
-                      filter_digits: int | None = C.VOLATILITY_DIGITS) -> DataFrame:
+                      filter_digits: int | None = C.VOLATILITY_DIGITS,
+                      mean_method: str = "join") -> DataFrame:
     """Q07: days whose 30-row volatility exceeds the ticker's mean volatility
     of that year.  The excess is compared after rounding to ``filter_digits``
     (None: raw doubles, where a constant series yields last-bit noise)."""
     base = daily.filter(F.col("rolling_volatility_30d").isNotNull()).select(
         "ticker", "trade_date", "year", "rolling_volatility_30d")
     j = vs_group_mean(base, ["ticker", "year"], "rolling_volatility_30d",
-                      "annual_avg_volatility", "excess")
+                      "annual_avg_volatility", "excess", method=mean_method)
     keep = (F.round("excess", filter_digits) > 0 if filter_digits is not None
             else F.col("rolling_volatility_30d") > F.col("annual_avg_volatility"))
     return j.filter(keep).select(
