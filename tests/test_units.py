@@ -183,3 +183,14 @@ def test_group_mean_methods_agree(spark, sf_small):
         a = sorted(map(tuple, fn(*args, mean_method="join").collect()))
         b = sorted(map(tuple, fn(*args, mean_method="window").collect()))
         assert a == b
+
+
+def test_session_helpers(spark):
+    from tidemark.session import cluster_conf, ensure_checkpoint_dir, scratch_path
+    root = ensure_checkpoint_dir(spark)
+    assert root and ensure_checkpoint_dir(spark) == root        # an existing setting is kept
+    assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/")
+    conf = cluster_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert int(cluster_conf(10 * 1024 ** 2, executors=2)["spark.sql.shuffle.partitions"]) == 16
