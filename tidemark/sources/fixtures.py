@@ -33,19 +33,23 @@ def exchange_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bar_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item: ticker, exchange, trade date, price, quantity and
-    the six-column order that decides open and close."""
+    the six-column order that decides open and close.
+
+    The dimensions are joined one at a time onto the line items (left-deep),
+    so each join sees its dimension's own size: small ones are broadcast at
+    planning time.  Pre-joining supplier x nation x region would inflate the
+    size estimate and make Spark plan a shuffle of every line item first.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("ticker"))
-    supplier_exchange = (
-        table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        .join(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"),
-              F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(exchange_dim(spark, sf_dir), F.col("n_regionkey") == F.col("exchange_id"))
-        .select("s_suppkey", "exchange_id", "exchange_name"))
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     return (li.join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .join(supplier_exchange, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(exchange_dim(spark, sf_dir), F.col("n_regionkey") == F.col("exchange_id"))
             .select(
                 "ticker", "exchange_id", "exchange_name",
                 F.col("l_shipdate").cast("date").alias("trade_date"),
