@@ -2,18 +2,42 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import bpe, simhash, stream_dedup
 from tidemark.llm.common import read_table
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def op6_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stream_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.share_vocabulary(spark, public_tokenizers.path(VOCABULARY))
+    return bpe.encode_documents(read_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
 QUERIES = {
+    "op6_stream_dedup": op6_stream_dedup,
     "op9_simhash": op9_simhash,
+    "op10_bpe": op10_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_stream_dedup": """
+        SELECT doc_id,
+               max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+               count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+               doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
+               sha256(coalesce(text, '')) AS text_sha256
+        FROM documents""",
+}

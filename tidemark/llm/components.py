@@ -19,15 +19,14 @@ MAX_ROUNDS = 100
 
 def _star(links: DataFrame) -> DataFrame:
     """(u, v), u > v -> the links handed to each u's smallest neighbour."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(links.groupBy("u").agg(F.min("v").alias("m")), "least")
     handed = links.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return handed.unionByName(least.select("u", F.col("m").alias("v")))
 
 
 def _large(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")) \
-                .select("u", F.least("u", "m").alias("m"))
+    least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
@@ -50,7 +49,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     for _ in range(MAX_ROUNDS):
         if not mark[0]:
             break
-        links = materialize(_star(_large(links).distinct()).distinct(), "links")
+        links = materialize(_star(materialize(_large(links).distinct(), "links")).distinct(), "links")
         new = _mark(links)
         if new == mark:
             break
