@@ -6,12 +6,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, simhash, stream_dedup
-from tidemark.llm.common import read_table
+from tidemark.llm import bpe, sharding, simhash, stream_dedup, warc
+from tidemark.llm.common import read_table, scratch_dir
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+SHARDS = 16
+
+
+def op1_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.document_shards(read_table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    warc.write_archives(read_table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).where("gap_reason IS NULL").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stream_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -27,6 +43,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_splitters": op1_splitters,
+    "op4_warc": op4_warc,
     "op6_stream_dedup": op6_stream_dedup,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,

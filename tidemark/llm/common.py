@@ -106,6 +106,36 @@ def map_rows(df: DataFrame, columns: list[str], schema: str,
     return df.select(*columns).mapInArrow(run, out_schema)
 
 
+def map_stream(df: DataFrame, columns: list[str], schema: str,
+               run: Callable[[Iterator[tuple]], Iterator[tuple]], flush_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Run a generator over a task's rows, one at a time; it may yield any number of rows."""
+    ship_package(df.sparkSession)
+    out_schema = df.sparkSession.createDataFrame([], schema).schema
+    arrow_schema = _arrow_schema(out_schema)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield tuple(c[k].as_py() for c in batch.columns)
+
+    def pack(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(zip(*held), arrow_schema, strict=True)],
+                                          schema=arrow_schema)
+
+    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for row in run(rows(batches)):
+            held.append(row)
+            size += 64 + sum(len(v) for v in row if isinstance(v, (bytes, str)))
+            if size >= flush_bytes or len(held) >= 10_000:
+                yield pack(held)
+                held, size = [], 0
+        if held:
+            yield pack(held)
+
+    return df.select(*columns).mapInArrow(job, out_schema)
+
+
 def _arrow_schema(schema) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     return to_arrow_schema(schema)
