@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, html_consensus, sharding, simhash, stream_dedup, warc
+from tidemark.llm import bpe, html_consensus, secrets, sharding, simhash, stream_dedup, warc
 from tidemark.llm.common import read_table, scratch_dir
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,11 @@ def op1_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *secrets.span_summary(found))
+
+
 def op3_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_consensus.extract_main_text(read_table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -49,6 +54,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_splitters": op1_splitters,
+    "op2_secret_entropy": op2_secret_entropy,
     "op3_host_paths": op3_host_paths,
     "op4_warc": op4_warc,
     "op6_stream_dedup": op6_stream_dedup,
