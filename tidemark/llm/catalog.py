@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, html_consensus, secrets, sharding, simhash, stream_dedup, warc
-from tidemark.llm.common import read_table, scratch_dir
+from tidemark.llm import bpe, ecoc_langid, html_consensus, mixing, secrets, sharding, simhash, stream_dedup, warc
+from tidemark.llm.common import materialize, read_table, scratch_dir
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -38,11 +38,25 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    rows = materialize(read_table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", mixing.topic_of(text).alias("topic"), mixing.word_count(text).alias("tokens")), "mix-rows")
+    return mixing.apply_mix(rows, mixing.fit(rows))
+
+
 def op6_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stream_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = ecoc_langid.train(docs.where(~ecoc_langid.held_out()))
+    found = ecoc_langid.identify(docs, model)
+    return found.select("doc_id", ecoc_langid.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -57,7 +71,9 @@ QUERIES = {
     "op2_secret_entropy": op2_secret_entropy,
     "op3_host_paths": op3_host_paths,
     "op4_warc": op4_warc,
+    "op5_raking": op5_raking,
     "op6_stream_dedup": op6_stream_dedup,
+    "op7_ecoc": op7_ecoc,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
 }
