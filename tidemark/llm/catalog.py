@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, ecoc_langid, html_consensus, mixing, secrets, sharding, simhash, stream_dedup, warc
+from tidemark.llm import bpe, cap_filters, ecoc_langid, html_consensus, mixing, secrets, sharding, simhash, stream_dedup, warc
 from tidemark.llm.common import materialize, read_table, scratch_dir
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -57,6 +57,10 @@ def op7_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", ecoc_langid.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op8_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -74,11 +78,27 @@ QUERIES = {
     "op5_raking": op5_raking,
     "op6_stream_dedup": op6_stream_dedup,
     "op7_ecoc": op7_ecoc,
+    "op8_caps": op8_caps,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
 }
 
 SQL: dict[str, str] = {
+    "op8_caps": """
+        WITH RECURSIVE vec AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+        link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM vec a JOIN vec b
+            ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+        reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings
+            UNION
+            SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+        component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = component.vec_id) AS n_links, component_id,
+               vec_id = component_id AS kept
+        FROM component""",
     "op6_stream_dedup": """
         SELECT doc_id,
                max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,

@@ -12,10 +12,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, map_stream, materialize, text_or_empty
+from tidemark.llm.common import map_rows, map_stream, materialize, ship_package, text_or_empty
 
 BUCKETS = 1 << 14
 # The classifiers learn from about this many documents of each language.
@@ -193,3 +194,26 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 def held_out(id_col: str = "doc_id"):
     """Documents that are never learned from: crc32 of the id as text, mod 4, is 2."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
+
+
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language can be told, with their own columns.
+
+    Rejected are texts that are null or have no letter, and those of at least
+    ``ENOUGH`` n-grams that are still ambiguous; short texts are not held to that.
+    """
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def told(texts: pd.Series) -> pd.Series:
+        model = shared.value
+
+        def one(text: str) -> bool:
+            if not model.languages or not has_letter(text):
+                return False
+            counts = ngram_counts(text)
+            return counts.sum() < ENOUGH or not model.decode(counts)[2]
+        return texts.map(one)
+
+    return docs.where(told(text_or_empty(text_col)))
