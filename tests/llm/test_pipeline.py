@@ -1,0 +1,94 @@
+import hashlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+from cases import AWKWARD, docs
+from test_mixing import brute as brute_mix
+from test_simhash import brute_components, brute_fingerprint
+
+import corpus_pipeline
+from tidemark.llm import bpe, catalog, ecoc_langid, mixing
+from tidemark.llm.common import materialize, read_table
+
+
+def stage_outputs(spark, table):
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        table = materialize(stage(spark, table, ""), name)
+        out.append(table)
+    return out
+
+
+@pytest.fixture(scope="module")
+def outputs(spark, sf_small):
+    return stage_outputs(spark, read_table(spark, sf_small, "documents"))
+
+
+def rows(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_stages_against_brute_force(spark, sf_small, outputs):
+    before = read_table(spark, sf_small, "documents")
+    told, unique, apart, mixed, encoded = outputs
+    for df in outputs[:-1]:
+        assert df.columns == before.columns
+    model = ecoc_langid.train(before.where(~ecoc_langid.held_out()))
+
+    def fine(text):
+        if not ecoc_langid.has_letter(text):
+            return False
+        counts = ecoc_langid.ngram_counts(text)
+        return counts.sum() < ecoc_langid.ENOUGH or not model.decode(counts)[2]
+    want = {i: r for i, r in rows(before).items() if fine(r.text)}
+    assert rows(told) == want
+    last = {}
+    for i, r in sorted(want.items()):
+        last[r.text] = i
+    want = {i: r for i, r in want.items() if last[r.text] == i}
+    assert rows(unique) == want
+    ids = sorted(want)
+    groups = brute_components([brute_fingerprint(want[i].text) for i in ids], lambda a, b: (a ^ b).bit_count() <= 2)
+    want = {i: want[i] for k, (i, g) in enumerate(zip(ids, groups, strict=True)) if k == g}
+    assert rows(apart) == want
+    topic = {r.doc_id: r.topic for r in apart.select("doc_id", mixing.topic_of(apart["text"]).alias("topic")).collect()}
+    cells = {}
+    for i, r in want.items():
+        key = (r.source, r.lang, topic[i])
+        cells[key] = cells.get(key, 0) + len(r.text.split())
+    weight = brute_mix(cells, mixing.TEMPER, rounds=300)
+    total = sum(cells.values())
+    low, high = 0.0, 1 / min(weight.values())
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(n * min(1, mid * weight[c]) for c, n in cells.items()) < mixing.KEEP_SHARE * total else (low, mid)
+    draw = {r.doc_id: r.u for r in apart.selectExpr("doc_id", f"shiftrightunsigned(xxhash64({mixing.SEED}, doc_id), 11) / {float(1 << 53)!r}D AS u").collect()}
+    chance = {i: min(1.0, high * weight[r.source, r.lang, topic[i]]) for i, r in want.items()}
+    sure = {i: draw[i] < p for i, p in chance.items() if abs(draw[i] - p) > 1e-3}
+    got = rows(mixed)
+    assert len(sure) > 0.9 * len(want) and all((i in got) == kept for i, kept in sure.items()) and all(got[i] == want[i] for i in got)
+    with open(P.path(catalog.VOCABULARY), "rb") as f:
+        library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(f), special_tokens={})
+    final = rows(encoded)
+    assert final.keys() == got.keys()
+    for i, r in final.items():
+        assert list(r.token_ids) == library.encode_ordinary(got[i].text)
+        assert r.decoded_sha256 == hashlib.sha256(got[i].text.encode()).hexdigest()
+
+
+def test_run_is_the_stages(spark, sf_small, outputs):
+    assert rows(corpus_pipeline.run(spark, sf_small)) == rows(outputs[-1])
+
+
+def test_awkward_rows(spark):
+    extra = [(200 + k, f"alpha beta gamma number {k % 3} of the words", "en", "s") for k in range(9)]
+    table = materialize(docs(spark, [*AWKWARD, *extra]), "awkward")
+    out = stage_outputs(spark, table)
+    assert [df.columns for df in out[:-1]] == [table.columns] * 4
+    assert sorted((r.doc_id for r in out[0].collect()), key=repr) == sorted(
+        [i for i, t, *_ in [*AWKWARD, *extra] if any(c.isalpha() for c in t or "")], key=repr)
+    assert sorted((r.doc_id for r in out[1].collect()), key=repr) == sorted([5, 7, None, 8, 10, 11, 206, 207, 208], key=repr)
+    assert np.all([r.n_tokens > 0 for r in out[-1].collect()])
+    assert stage_outputs(spark, docs(spark, []))[-1].count() == 0
