@@ -8,6 +8,7 @@ first timed step.
 
     BENCH_SF_DIR  input tables       (default /root/testdata/sf0.1)
     BENCH_CPUS    local[N] threads   (default 8)
+    BENCH_DIR     folder for the written layers (default: the session's checkpoint folder)
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from __future__ import annotations
 import json
 import os
 import re
-import uuid
 
 from tidemark.plans.lake import Lake, build_steps, question_frames, timed
 from tidemark.session import local_session, scratch_path
@@ -40,13 +40,15 @@ def run_all(spark, lake: Lake, sf_dir: str) -> dict[str, float]:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="tidemark-bench")
-    root = scratch_path(spark, f"bench-lake-{uuid.uuid4().hex[:8]}")
+    folder = os.environ.get("BENCH_DIR")
+    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="tidemark-bench",
+                          extra={"spark.checkpoint.dir": folder} if folder else None)
+    root = scratch_path(spark, "bench-lake")
     lake = Lake(spark, root)
 
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm_dir):
-        run_all(spark, Lake(spark, scratch_path(spark, f"bench-warm-{uuid.uuid4().hex[:8]}")),
+        run_all(spark, Lake(spark, scratch_path(spark, "bench-warm")),
                 warm_dir)
 
     timings = run_all(spark, lake, sf_dir)

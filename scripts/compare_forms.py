@@ -7,11 +7,9 @@ same written layers (best of 3, noop sink).  Prints one JSON line.
 import json
 import sys
 import time
-import uuid
 
 sys.path.insert(0, ".")
 
-from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.operators.windows import vs_group_mean  # noqa: E402
@@ -30,23 +28,10 @@ def best(df, runs=3):
     return round(out, 3)
 
 
-def two_row_numbers_monthly(silver):
-    """The row_number(asc) + row_number(desc) form of first open / last close."""
-    keys = ["ticker", "year", "month"]
-    asc = Window.partitionBy(*keys).orderBy(F.asc("trade_date"))
-    desc = Window.partitionBy(*keys).orderBy(F.desc("trade_date"))
-    ranked = (silver.withColumn("rn_asc", F.row_number().over(asc))
-              .withColumn("rn_desc", F.row_number().over(desc)))
-    return ranked.groupBy(*keys).agg(
-        F.max(F.when(F.col("rn_asc") == 1, F.col("open_price"))).alias("o"),
-        F.max(F.when(F.col("rn_desc") == 1, F.col("close_price"))).alias("c"),
-        F.max("high_price"), F.min("low_price"), F.sum("volume"))
-
-
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8, 16, app="tidemark-forms")
-    lake = Lake(spark, scratch_path(spark, f"forms-{uuid.uuid4().hex[:8]}"))
+    lake = Lake(spark, scratch_path(spark, "forms"))
     for _, action in build_steps(lake, lambda: fixtures.bars(spark, sf_dir),
                                  lambda: fixtures.exchange_dim(spark, sf_dir),
                                  lambda: fixtures.daily_quotes(spark, sf_dir)):
@@ -57,7 +42,6 @@ def main():
         "ticker", "year", "rolling_volatility_30d")
     out = {
         "monthly_min_by": best(layers.monthly_performance(silver)),
-        "monthly_two_row_numbers": best(two_row_numbers_monthly(silver)),
         "dedupe_min_by_struct": best(layers.dedupe_bars(clean)),
         "dedupe_dropDuplicates_nondeterministic": best(
             clean.dropDuplicates(["ticker", "trade_date"])),

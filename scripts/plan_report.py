@@ -6,7 +6,6 @@ layer build and question, run over the written layers.
 
 import re
 import sys
-import uuid
 
 sys.path.insert(0, ".")
 
@@ -42,7 +41,7 @@ def shape(df) -> dict:
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8, 16, app="tidemark-plans")
-    lake = Lake(spark, scratch_path(spark, f"plans-{uuid.uuid4().hex[:8]}"))
+    lake = Lake(spark, scratch_path(spark, "plans"))
     for _, action in build_steps(lake, lambda: fixtures.bars(spark, sf_dir),
                                  lambda: fixtures.exchange_dim(spark, sf_dir),
                                  lambda: fixtures.daily_quotes(spark, sf_dir)):

@@ -10,7 +10,7 @@ from tidemark.plans.catalog import QUERIES
 # FIXTURES.md B5, sf0.001 column
 EXPECTED_SMALL = {
     "q01_top_n": 105, "q02_period_change": 175, "q03_worst_vs_mean": 83, "q04_recovery": 100,
-    "q05_cumulative_rank": 1907, "q06_outperformance": 0, "q07_above_mean": 1492,
+    "q05_cumulative_rank": 1907, "q06_outperformance": 0, "q07_above_mean": 1500, "q07_rounded": 1492,
     "q08_spike_followup": 250, "q08_trading_day": 274, "q09_percentile": 9535,
     "q10_streaks": 5, "sq1_price_volatility": 23, "sq2_market_sentiment": 1978,
     "sq3_trade_frequency": 977, "sq4_price_vs_range": 987, "sq5_vs_prev_close": 1000,

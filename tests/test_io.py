@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from tidemark.plans import layers
+from tidemark.schemas import MARTS
 from tidemark.sources import files, sinks
 
 HEADER = "Date,Low,Open,Volume,High,Close,Adjusted Close\n"
@@ -89,8 +90,7 @@ def test_write_layer_idempotent_and_registration(spark, tmp_path, sf_small):
     L = Layers(spark, sf_small)
     root = str(tmp_path / "lake")
     path = f"{root}/stock_prices"
-    sinks.write_layer(L.silver, path, partition_by=["year", "month"], spread_by=["ticker"],
-                      files_per_partition=2)
+    sinks.write_layer(L.silver, path, partition_by=["year", "month"], max_records_per_file=100)
     n = spark.read.parquet(path).count()
     sinks.write_layer(L.silver, path, partition_by=["year", "month"])
     assert spark.read.parquet(path).count() == n == L.silver.count()
@@ -195,7 +195,8 @@ def test_command_line_build_export_stream(spark, tmp_path):
     assert "tm_cli.stock_prices" in built["tables"]
     rows = main(["export", "--lake", lake, "--out", out], spark=spark)["rows"]
     # year 2000 listings: nasdaq AAPL; nyse AAPL, BRK.A; sp500 ES TC
-    assert set(rows) == {f"q{i:02d}" for i in range(1, 11)} and rows["q01"] == 4
+    assert set(rows) == {name for name, _ in MARTS.values()}
+    assert rows["q01_top_performers_by_exchange_year"] == 4
     msgs = tmp_path / "msgs"
     _write(str(msgs / "m.json"), "\n".join(json.dumps(
         {"symbol": "AAPL", "price": 10.0 + i, "timestamp_ms": 1704189600000 + i * 1000,
@@ -204,5 +205,43 @@ def test_command_line_build_export_stream(spark, tmp_path):
                 "--lake", lake, "--out", str(tmp_path / "sq5"),
                 "--checkpoint", str(tmp_path / "ck"), "--trigger", "availableNow"], spark=spark)
     assert res["batches"] >= 1
-    got = read_latest_windows(spark, str(tmp_path / "sq5")).collect()
+    got = read_latest_windows(spark, str(tmp_path / "sq5"), "sq5").collect()
     assert [(r.symbol, r.current_price, r.direction) for r in got] == [("AAPL", 12.0, "up")]
+
+
+def test_rebuild_replaces_the_layer(spark, tmp_path):
+    both = spark.createDataFrame([("A", 2000), ("B", 2001)], "ticker string, year int")
+    path = str(tmp_path / "layer")
+    sinks.write_layer(both, path, partition_by=["year"])
+    sinks.write_layer(both.where("year = 2001"), path, partition_by=["year"])
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("B", 2001)]
+    sinks.write_layer(both.where("year = 2000"), path, partition_by=["year"], mode="partitions")
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("A", 2000), ("B", 2001)]
+
+
+def test_only_listed_exchange_folders_are_read(spark, tmp_path):
+    root = str(tmp_path / "bars")
+    make_csv_tree(root)
+    _write(f"{root}/otcbb/csv/AAPL.csv", HEADER + "03-01-2000,9.0,99.0,500,99.0,99.0,99.0\n")
+    assert {r.source_exchange for r in files.read_bars_csv(spark, root).collect()} == {"nasdaq", "nyse", "sp500"}
+    assert files.read_bars_csv(spark, root, exchanges=["otcbb", "absent"]).count() == 1
+    empty = files.read_bars_csv(spark, str(tmp_path / "nothing"))
+    assert empty.count() == 0 and empty.columns == files.read_bars_csv(spark, root).columns
+
+
+def test_layers_keep_their_declared_types_and_exports_their_order(spark, tmp_path, sf_small):
+    from tidemark.plans.lake import Lake, build_steps, export_questions
+    from tidemark.sources import fixtures
+    lake = Lake(spark, str(tmp_path / "lake"))
+    for _, action in build_steps(lake, lambda: fixtures.bars(spark, sf_small), lambda: fixtures.exchange_dim(spark, sf_small),
+                                 lambda: fixtures.daily_quotes(spark, sf_small)):
+        action()
+    assert dict(lake.read("streaming_daily_quotes").dtypes)["quote_date"] == "string"
+    seen = {}
+    export_questions(lake, lambda df, name: seen.__setitem__(name, (df.write.format("noop").mode("overwrite").save(), df.toPandas())[1]))
+    assert set(seen) == {name for name, _ in MARTS.values()}
+    for name, order in MARTS.values():
+        frame = seen[name]
+        by = [c.lstrip("-") for c in order]
+        want = frame.sort_values(by, ascending=[not c.startswith("-") for c in order], kind="stable")
+        assert frame[by].equals(want[by])

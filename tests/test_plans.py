@@ -59,7 +59,7 @@ def test_top_n_uses_window_group_limit_and_broadcast_dims(lake):
 def test_group_mean_join_is_broadcast_at_run_time(lake):
     p = final_plan(q.outperformance_rate(lake.read("yearly_stock_performance"),
                                          lake.read("ticker_exchanges"),
-                                         lake.read("exchange_dim"), min_years=1))
+                                         lake.read("exchange_dim"), min_years=1, mean_method="join"))
     assert count(p, "SortMergeJoin") == 0 and count(p, "Window") == 0
     p = final_plan(q.above_period_mean(lake.read("daily_stock_metrics")))
     assert count(p, "Window") == 0 and count(p, "SortMergeJoin") == 0
@@ -82,3 +82,28 @@ def test_scans_prune_columns_and_push_filters(lake):
 def test_quote_open_close_stays_a_hash_aggregate(spark, sf_small):
     p = final_plan(fixtures.daily_quotes(spark, sf_small))
     assert count(p, "SortAggregate") == 0 and count(p, "HashAggregate") >= 2
+
+
+def test_outperformance_reads_the_bars_once(spark, sf_small):
+    from tidemark.plans.catalog import QUERIES
+    text = QUERIES["q06_outperformance"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    initial = text.split("== Initial Plan ==")[-1]
+    assert len(re.findall(r"FileScan parquet \[[^\]]*l_orderkey", initial)) <= 2  # silver and the bridge
+    assert initial.count("l_extendedprice") > 0
+
+
+def test_stream_questions_build_on_the_static_side(spark, sf_small):
+    from tidemark.streaming import questions as sq
+    trades = fixtures.trades(spark, sf_small)
+    quotes = fixtures.daily_quotes(spark, sf_small)
+    snapshot, baselines = layers.latest_snapshot(quotes), layers.quote_baselines(quotes)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in (before, "1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            for df in (sq.market_sentiment(trades, snapshot), sq.price_vs_range(trades, baselines),
+                       sq.vs_prev_close(trades, snapshot)):
+                p = final_plan(df)
+                assert "BuildLeft" not in p and count(p, "SortMergeJoin") == 0 and "SinglePartition" not in p.split("Subquery")[0]
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

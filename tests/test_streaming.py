@@ -14,8 +14,10 @@ from tidemark.sources.stream import (
     decode_trades, flatten_trade_envelopes, trade_payloads, trade_stream,
 )
 from tidemark.streaming import questions as sq
-from tidemark.streaming.runner import start_append, start_per_batch, start_upsert
-from tidemark.streaming.sinks import read_latest_windows, upsert_windows
+from tidemark.streaming.runner import start_append, start_enriched, start_upsert
+from tidemark.streaming.sinks import (
+    compact_windows, read_latest_windows, run_id_of, upsert_windows,
+)
 
 KEYS = ["window_start", "window_end", "symbol"]
 
@@ -66,8 +68,7 @@ def run_upsert(spark, result, tmp_path, name):
     q = start_upsert(result, out, ckpt, name=name)
     q.awaitTermination(300)
     assert q.exception() is None
-    return read_latest_windows(spark, out, KEYS if "symbol" in result.columns
-                               else ["window_start", "window_end", "exchange"])
+    return read_latest_windows(spark, out, name[:3])
 
 
 def test_sq1_stream_equals_batch(spark, feed, tmp_path):
@@ -90,12 +91,10 @@ def test_sq4_sq5_sq2_stream_static_join(spark, sf_small, feed, tmp_path):
     folder, batch = feed
     quotes = fixtures.daily_quotes(spark, sf_small)
     snapshot, baselines = layers.latest_snapshot(quotes), layers.quote_baselines(quotes)
-    got4 = run_upsert(spark, sq.price_vs_range(stream_of(spark, folder), baselines,
-                                               static_max_rows=10_000), tmp_path, "sq4")
+    got4 = run_upsert(spark, sq.price_vs_range(stream_of(spark, folder), baselines), tmp_path, "sq4")
     assert sorted_rows(got4) == sorted_rows(sq.price_vs_range(batch, baselines))
     assert got4.count() == 987
-    got5 = run_upsert(spark, sq.vs_prev_close(stream_of(spark, folder), snapshot,
-                                              static_max_rows=10_000), tmp_path, "sq5")
+    got5 = run_upsert(spark, sq.vs_prev_close(stream_of(spark, folder), snapshot), tmp_path, "sq5")
     assert sorted_rows(got5) == sorted_rows(sq.vs_prev_close(batch, snapshot))
     assert got5.count() == 1000
     got2 = run_upsert(spark, sq.market_sentiment(stream_of(spark, folder), snapshot),
@@ -138,13 +137,13 @@ def test_late_event_is_dropped(spark, tmp_path):
         os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
     result = sq.trade_frequency(stream_of(spark, folder, files_per_batch=1), baseline=1)
     got = {r.window_start.hour * 60 + r.window_start.minute: r.trade_count
-           for r in run_upsert(spark, result, tmp_path, "late").collect()}
+           for r in run_upsert(spark, result, tmp_path, "sq3-late").collect()}
     assert got == {600: 2, 720: 3}
 
 
 def test_upsert_replay_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "upsert")
-    fn = upsert_windows(path)
+    fn = upsert_windows(path, "r1")
     t0 = dt.datetime(2024, 1, 1, 10, 0)
     t1 = t0 + dt.timedelta(minutes=10)
     first = spark.createDataFrame([(t0, t1, "S", 2)], "window_start timestamp_ntz, "
@@ -153,9 +152,34 @@ def test_upsert_replay_is_idempotent(spark, tmp_path):
     fn(first, 0)
     fn(update, 1)
     fn(update, 1)   # replay of batch 1 after a failure
-    got = read_latest_windows(spark, path).collect()
+    got = read_latest_windows(spark, path, "sq3").collect()
     assert [(r.symbol, r.trade_count) for r in got] == [("S", 5)]
     assert spark.read.parquet(path).count() == 2
+    # a new checkpoint counts from 0 again: its batches are newer and replace nothing
+    again = upsert_windows(path, "r2")
+    again(first.withColumn("trade_count", F.lit(7).cast("bigint")), 0)
+    again(first.withColumn("symbol", F.lit("T")), 1)
+    got = sorted((r.symbol, r.trade_count) for r in read_latest_windows(spark, path, "sq3").collect())
+    assert got == [("S", 7), ("T", 2)]
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_run_id_stays_with_the_checkpoint(spark, tmp_path):
+    a = run_id_of(spark, str(tmp_path / "a"))
+    assert run_id_of(spark, str(tmp_path / "a")) == a != run_id_of(spark, str(tmp_path / "b"))
+
+
+def test_compaction_by_day(spark, tmp_path):
+    path, mart = str(tmp_path / "win"), str(tmp_path / "mart")
+    rows = [(dt.datetime(2024, 1, d, 10), dt.datetime(2024, 1, d, 11), "S", d) for d in (1, 2, 3)]
+    frame = spark.createDataFrame(rows, "window_start timestamp_ntz, window_end timestamp_ntz, "
+                                  "symbol string, trade_count int")
+    write = upsert_windows(path, "r1")
+    write(frame, 0)
+    compact_windows(spark, path, mart, "sq3")
+    write(frame.where("trade_count = 3").withColumn("trade_count", F.lit(30)), 1)
+    compact_windows(spark, path, mart, "sq3", since="2024-01-03")
+    assert sorted(r.trade_count for r in spark.read.parquet(mart).collect()) == [1, 2, 30]
 
 
 def test_envelope_edge_cases(spark):
@@ -189,25 +213,30 @@ def test_snapshot_edge_cases(spark):
     assert [(r.symbol, r.direction) for r in got] == [("A", "up"), ("B", "down")]
 
 
-def test_per_batch_scope_rereads_static_side(spark, sf_small, feed, tmp_path):
-    """Micro-batch scope: each batch is answered alone against a static side
-    resolved per batch; a window split across batches appears per batch."""
-    folder, batch = feed
-    quotes = fixtures.daily_quotes(spark, sf_small)
-    calls = []
+def test_whole_windows_with_a_fresh_snapshot(spark, tmp_path):
+    """The snapshot is swapped between two micro-batches that share a window:
+    the window is complete and judged by the new value."""
+    folder = str(tmp_path / "msgs")
+    os.makedirs(folder)
+    base = int(dt.datetime(2024, 1, 1, 10, 0, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    for i, price in enumerate((10.0, 14.0)):
+        path = os.path.join(folder, f"f{i}.json")
+        with open(path, "w") as fh:
+            fh.write(json.dumps({"symbol": "S", "price": price, "timestamp_ms": base + i * 1000, "volume": 1.0}) + "\n")
+        os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    closes = [20.0]
 
     def snapshot():
-        calls.append(1)
-        return layers.latest_snapshot(quotes)
+        close = closes.pop() if closes else 6.0
+        return spark.createDataFrame([("S", close)], "symbol string, prev_close double")
 
-    out, ckpt = str(tmp_path / "pb-out"), str(tmp_path / "pb-ckpt")
-    qy = start_per_batch(stream_of(spark, folder, files_per_batch=10), sq.vs_prev_close,
-                         snapshot, out, ckpt)
+    out = str(tmp_path / "out")
+    qy = start_enriched(sq.mean_price(stream_of(spark, folder, files_per_batch=1), "1 minute", "2 minutes"),
+                        sq.enrich_prev_close, snapshot, out, str(tmp_path / "ckpt"))
     qy.awaitTermination(300)
-    assert qy.exception() is None and len(calls) >= 3   # 30 daily files, 10 per batch
-    got = read_latest_windows(spark, out)
-    # 1-minute windows never span two daily files, so the result equals the batch twin
-    assert sorted_rows(got) == sorted_rows(sq.vs_prev_close(batch, layers.latest_snapshot(quotes)))
+    assert qy.exception() is None
+    got = read_latest_windows(spark, out, "sq5").collect()
+    assert [(r.current_price, r.prev_close, r.direction) for r in got] == [(12.0, 6.0, "up")]
 
 
 def test_sq3_symbol_baseline_on_a_stream(spark, feed, tmp_path):
@@ -230,6 +259,6 @@ def test_envelopes_on_a_stream_feed_sq1(spark, sf_small, tmp_path):
     trade_envelopes(trades).write.mode("overwrite").text(folder)
     stream = flatten_trade_envelopes(trade_stream(spark, "text", folder,
                                                   {"maxFilesPerTrigger": "1"}))
-    got = run_upsert(spark, sq.price_volatility(stream), tmp_path, "env-sq1")
+    got = run_upsert(spark, sq.price_volatility(stream), tmp_path, "sq1-env")
     want = sq.price_volatility(flatten_trade_envelopes(spark.read.text(folder)))
     assert sorted_rows(got) == sorted_rows(want) and got.count() > 0

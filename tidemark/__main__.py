@@ -46,6 +46,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--trigger", default=C.TRIGGER,
                    help="processing-time interval, or availableNow to drain and stop")
+    s.add_argument("--baseline", help="SQ3: Parquet folder (symbol, baseline) instead of the constant")
+    s.add_argument("--static-join", default="broadcast", choices=["broadcast", "auto", "shuffle"])
     args = ap.parse_args(argv)
 
     spark = spark or SparkSession.builder.getOrCreate()
@@ -71,24 +73,32 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
 
     from tidemark.sources.stream import decode_trades, trade_stream
     from tidemark.streaming import questions as sq
-    from tidemark.streaming.runner import start_upsert
+    from tidemark.streaming.runner import start_enriched, start_upsert
 
     trades = decode_trades(trade_stream(spark, args.source, args.path, _options(args.option)))
     needs_lake = args.question in ("sq2", "sq4", "sq5")
     if needs_lake and not args.lake:
         ap.error(f"{args.question} needs --lake for its static side")
     lake = Lake(spark, args.lake) if args.lake else None
-    result = {
-        "sq1": lambda: sq.price_volatility(trades),
-        "sq2": lambda: sq.market_sentiment(
-            trades, layers.latest_snapshot(lake.read("streaming_daily_quotes"))),
-        "sq3": lambda: sq.trade_frequency(trades),
-        "sq4": lambda: sq.price_vs_range(trades, lake.read("streaming_7d_aggregates")),
-        "sq5": lambda: sq.vs_prev_close(
-            trades, layers.latest_snapshot(lake.read("streaming_daily_quotes"))),
-    }[args.question]()
     trigger = None if args.trigger == "availableNow" else args.trigger
-    query = start_upsert(result, args.out, args.checkpoint, trigger=trigger, name=args.question)
+    run = dict(path=args.out, checkpoint=args.checkpoint, trigger=trigger, name=args.question)
+    how = args.static_join
+    if args.question == "sq4":
+        query = start_enriched(sq.mean_price(trades, *C.SQ4_WINDOW),
+                               lambda w, b: sq.enrich_range(w, b, static_join=how),
+                               lambda: lake.read("streaming_7d_aggregates"), **run)
+    elif args.question == "sq5":
+        query = start_enriched(sq.mean_price(trades, *C.SQ5_WINDOW),
+                               lambda w, b: sq.enrich_prev_close(w, b, static_join=how),
+                               lambda: layers.latest_snapshot(lake.read("streaming_daily_quotes")), **run)
+    else:
+        baseline = spark.read.parquet(args.baseline) if args.baseline else C.TRADES_PER_WINDOW_BASELINE
+        query = start_upsert({
+            "sq1": lambda: sq.price_volatility(trades),
+            "sq2": lambda: sq.market_sentiment(
+                trades, layers.latest_snapshot(lake.read("streaming_daily_quotes")), static_join=how),
+            "sq3": lambda: sq.trade_frequency(trades, baseline=baseline, static_join=how),
+        }[args.question](), **run)
     query.awaitTermination()
     return {"query": args.question, "batches": len(query.recentProgress)}
 

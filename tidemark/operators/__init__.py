@@ -1,7 +1,6 @@
 from tidemark.operators.aggregates import (
     count_where, first_by, first_last, last_by, mean_where, rounded_mean_long,
 )
-from tidemark.operators.joins import bounded_broadcast, has_at_most
 from tidemark.operators.quality import (
     apply_rules, bar_rules, clean_bars, dedupe_by_priority, derive_bar_columns,
     quality_report, quote_rules, trade_rules,
@@ -12,8 +11,8 @@ from tidemark.operators.windows import (
 )
 
 __all__ = [
-    "apply_rules", "bar_rules", "bounded_broadcast", "clean_bars", "count_where",
-    "dedupe_by_priority", "derive_bar_columns", "first_by", "first_last", "has_at_most",
+    "apply_rules", "bar_rules", "clean_bars", "count_where",
+    "dedupe_by_priority", "derive_bar_columns", "first_by", "first_last",
     "lag_lead", "lag_value", "last_by", "mean_where", "quality_report", "quote_rules",
     "rank_in_group", "rounded_mean_long", "running_sum", "spec", "streaks", "top_n_per_group",
     "trade_rules", "trailing", "trailing_value", "vs_group_mean",

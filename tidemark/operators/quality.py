@@ -71,14 +71,16 @@ def quality_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 def dedupe_by_priority(df: DataFrame, keys: Sequence[str], priority: Sequence[str]) -> DataFrame:
     """One row per key: the row with the smallest ``priority`` tuple, ties broken
     by every remaining column, so the winner does not depend on partitioning or
-    input order (unlike ``dropDuplicates``).
+    input order (unlike ``dropDuplicates``).  A NULL priority comes last.
 
-    Runs as a hash aggregate with partial aggregation before the shuffle: a hot
-    key costs one row per map task, not one row per duplicate.
+    One aggregate, combined before the shuffle: a hot key costs one row per map
+    task, not one row per duplicate.  The struct in its buffer makes it a
+    sort-based aggregate.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in priority], *[F.col(c) for c in rest if c not in priority])
+    ranked = [x for c in priority for x in (F.col(c).isNull().alias(f"{c}_missing"), F.col(c))]
+    order = F.struct(*ranked, *[F.col(c) for c in rest if c not in priority])
     winner = F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_winner")
     return df.groupBy(*keys).agg(winner).select(*keys, "_winner.*")
 

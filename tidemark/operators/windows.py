@@ -88,14 +88,27 @@ def trailing(df: DataFrame, keys: Sequence[str], order: Order, value: str, func:
     return df.withColumn(name, trailing_value(value, keys, order, func, start, end))
 
 
+def compounded(value: str | Column, window) -> Column:
+    """Chained percentage returns over a frame: (prod(1 + r/100) - 1) * 100.
+
+    A return of -100 anywhere in the frame leaves -100 (the logarithm of zero
+    has no sum); NULL returns are skipped; one below -100 is an error.
+    """
+    r = F.col(value) if isinstance(value, str) else value
+    step = (F.when(r < -100, F.raise_error(F.lit("compounded: return below -100 %")).cast("double"))
+            .when(r > -100, F.log1p(r / 100)))
+    lost = F.bool_or(r == -100).over(window)
+    return F.when(lost, F.lit(-100.0)).otherwise((F.exp(F.sum(step).over(window)) - 1) * 100)
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Order, value: str,
                 name: str | None = None, compound: bool = False) -> DataFrame:
     """Running total from the first row of the group.  ``compound=True`` chains
-    percentage returns instead of adding them: (prod(1 + r/100) - 1) * 100."""
+    percentage returns instead of adding them (``compounded``)."""
     w = spec(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     name = name or f"running_{value}"
     if compound:
-        total = (F.exp(F.sum(F.log1p(F.col(value) / 100)).over(w)) - 1) * 100
+        total = compounded(value, w)
     else:
         total = F.sum(value).over(w)
     return df.withColumn(name, total)

@@ -21,7 +21,10 @@ from tidemark.plans import layers, questions as q
 from tidemark.sources import fixtures
 from tidemark.sources.stream import decode_trades, flatten_trade_envelopes, trade_envelopes, \
     trade_payloads
+from tidemark.plans.lake import Lake
+from tidemark.session import scratch_path
 from tidemark.streaming import questions as sq
+from tidemark.streaming.sinks import read_latest_windows, upsert_windows
 
 
 class Layers:
@@ -231,6 +234,47 @@ def _q07(L: Layers):
     return q.above_period_mean(L.daily)
 
 
+@register("q07_rounded")
+def _q07r(L: Layers):
+    return q.above_period_mean(L.daily, filter_digits=6)
+
+
+@register("q06_any_year")
+def _q06any(L: Layers):
+    return q.outperformance_rate(L.yearly, L.bridge, L.dim, min_years=1)
+
+
+def _with_gaps(df: DataFrame, period: str) -> DataFrame:
+    """Some periods of some tickers left out, so that neighbours are not adjacent."""
+    return df.filter((F.col(period) + F.length("ticker") + F.ascii(F.substring("ticker", -1, 1))) % 4 != 0)
+
+
+@register("q02_gaps")
+def _q02g(L: Layers):
+    return q.period_over_period_change(_with_gaps(L.yearly, "year"))
+
+
+@register("q02_gaps_adjacent")
+def _q02ga(L: Layers):
+    return q.period_over_period_change(_with_gaps(L.yearly, "year"), require_adjacent=True)
+
+
+@register("q10_gaps")
+def _q10g(L: Layers):
+    return q.positive_streaks(_with_gaps(L.monthly, "month"), min_len=2)
+
+
+@register("q10_gaps_adjacent")
+def _q10ga(L: Layers):
+    return q.positive_streaks(_with_gaps(L.monthly, "month"), min_len=2, require_adjacent=True)
+
+
+@register("q05_compound_total_loss")
+def _q05loss(L: Layers):
+    ret = F.when((F.col("month") == 6) & (F.col("year") % 2 == 0), -100.0).otherwise(F.col("monthly_return_pct"))
+    return q.cumulative_rank(L.monthly.withColumn("monthly_return_pct", ret), compound=True)
+
+
 @register("q08_spike_followup")
 def _q08(L: Layers):
     return q.spike_followup(L.daily)
@@ -276,19 +320,14 @@ def _win_lag(L: Layers):
 
 @register("win_lag_default")
 def _win_lag_default(L: Layers):
-    df = _monthly_returns(L).withColumn(
-        "is_positive", F.when(F.col("monthly_return_pct") > 0, 1).otherwise(0))
-    return win.lag_lead(df, ["ticker"], ["year", "month"], "is_positive",
-                        default="is_positive", name="prev_is_positive")
+    return win.lag_lead(L.silver.select("ticker", "trade_date", "volume"), ["ticker"], ["trade_date"],
+                        "volume", offset=5, default="volume", name="volume_5_before")
 
 
 @register("win_row_number")
 def _win_row_number(L: Layers):
-    df = L.silver.select("ticker", "year", "month", "trade_date")
-    df = win.rank_in_group(df, ["ticker", "year", "month"], [F.col("trade_date").asc()],
-                           method="row_number", name="rn_asc")
-    return win.rank_in_group(df, ["ticker", "year", "month"], [F.col("trade_date").desc()],
-                             method="row_number", name="rn_desc")
+    return win.rank_in_group(L.silver.select("ticker", "year", "trade_date", "volume"), ["ticker", "year"],
+                             [F.col("volume").desc(), F.col("trade_date").asc()], method="row_number", name="volume_place")
 
 
 @register("win_lead")
@@ -427,3 +466,118 @@ def _sq4(L: Layers):
 @register("sq5_vs_prev_close")
 def _sq5(L: Layers):
     return sq.vs_prev_close(L.trades, L.snapshot)
+
+
+# ------------------------------------------- ingest, dirty rows, layer writes
+
+@register("bars_text_ingest")
+def _bars_text(L: Layers):
+    return fixtures.read_bar_text(fixtures.bar_text(L.bars), "1994-01-01").drop("ingestion_timestamp")
+
+
+@register("bar_dedupe_unknown_exchange")
+def _dedupe_unknown(L: Layers):
+    lost = F.when(F.col("exchange_id") != 0, F.col("exchange_id"))
+    return layers.dedupe_bars(L.clean.withColumn("exchange_id", lost))
+
+
+@register("dirty_bar_quality_report")
+def _dirty_report(L: Layers):
+    return quality_report(fixtures.dirty_bars(L.bars), bar_rules())
+
+
+@register("dirty_bar_quality_filter")
+def _dirty_bars(L: Layers):
+    return layers.clean(fixtures.dirty_bars(L.bars), min_date="1993-06-01")
+
+
+@register("dirty_quotes")
+def _dirty_quotes(L: Layers):
+    return layers.flatten_quotes(fixtures.dirty_quotes(L.quotes))
+
+
+@register("sq1_dirty_trades")
+def _sq1_dirty(L: Layers):
+    return sq.price_volatility(fixtures.dirty_trades(L.trades))
+
+
+@register("sq2_dirty_snapshot")
+def _sq2_dirty(L: Layers):
+    return sq.market_sentiment(L.trades, fixtures.dirty_snapshot(L.snapshot))
+
+
+@register("sq5_dirty_snapshot")
+def _sq5_dirty(L: Layers):
+    return sq.vs_prev_close(L.trades, fixtures.dirty_snapshot(L.snapshot))
+
+
+def _lake(L: Layers, name: str) -> Lake:
+    return Lake(L.spark, scratch_path(L.spark, name))
+
+
+@register("layer_rebuild_shrinks")
+def _rebuild(L: Layers):
+    lake = _lake(L, "rebuild")
+    lake.write("yearly_stock_performance", L.yearly)
+    lake.write("yearly_stock_performance", L.yearly.filter("year % 2 = 0"))
+    return round_columns(lake.read("yearly_stock_performance"), ["avg_daily_return_pct", "stddev_daily_return"])
+
+
+@register("layer_roundtrip_quotes")
+def _roundtrip(L: Layers):
+    lake = _lake(L, "roundtrip")
+    lake.write("streaming_daily_quotes", L.quotes)
+    return lake.read("streaming_daily_quotes")
+
+
+# ----------------------------------------------- window sinks and stream runs
+
+@register("windows_after_restart")
+def _restart(L: Layers):
+    """A first run left stale counts for one half of the windows and right ones
+    for the other; a second run, with a new checkpoint, rewrote the stale half."""
+    path, rows = scratch_path(L.spark, "restart"), sq.trade_frequency(L.trades, baseline=1)
+    early = F.minute("window_start") < 30
+    old = upsert_windows(path, "first")
+    old(rows.limit(0), 0)
+    old(rows.withColumn("trade_count", F.when(early, F.lit(0).cast("bigint")).otherwise(F.col("trade_count"))), 7)
+    upsert_windows(path, "second")(rows.filter(early), 0)
+    return read_latest_windows(L.spark, path, "sq3")
+
+
+@register("windows_latest_sq2")
+def _latest_sq2(L: Layers):
+    path, rows = scratch_path(L.spark, "latest"), sq.market_sentiment(L.trades, L.snapshot)
+    write = upsert_windows(path, "only")
+    write(rows.withColumn("rising_count", F.lit(-1).cast("bigint")), 0)
+    write(rows, 1)
+    return read_latest_windows(L.spark, path, "sq2")
+
+
+def _replayed(L: Layers, name: str, question) -> DataFrame:
+    return read_latest_windows(L.spark, fixtures.replay(L.spark, L.trades, question, scratch_path(L.spark, name)), name)
+
+
+@register("sq1_stream")
+def _sq1_stream(L: Layers):
+    return _replayed(L, "sq1", sq.price_volatility)
+
+
+@register("sq2_stream")
+def _sq2_stream(L: Layers):
+    return _replayed(L, "sq2", lambda t: sq.market_sentiment(t, L.snapshot))
+
+
+@register("sq3_stream")
+def _sq3_stream(L: Layers):
+    return _replayed(L, "sq3", lambda t: sq.trade_frequency(t, baseline=1))
+
+
+@register("sq4_stream")
+def _sq4_stream(L: Layers):
+    return _replayed(L, "sq4", lambda t: sq.price_vs_range(t, L.baselines))
+
+
+@register("sq5_stream")
+def _sq5_stream(L: Layers):
+    return _replayed(L, "sq5", lambda t: sq.vs_prev_close(t, L.snapshot))

@@ -19,46 +19,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import layers, questions as q
-from tidemark.sources.sinks import write_layer
+from tidemark.schemas import LAYER_TABLES, MARTS
+from tidemark.sources.sinks import run_exports, write_layer
 from tidemark.streaming import questions as sq
 
-# layer name -> (partition columns, cluster rows by them before writing,
-#                columns whose hash spreads one partition value over tasks)
-# The raw bars are the one layer whose size follows the input volume and
-# their partition column has only a handful of values: clustering would
-# funnel the whole layer through that many tasks, so every task writes its
-# own files instead.  The derived layers hold one row per ticker and period,
-# so clustering them gives one file per partition folder.
+# layer name -> partition columns
 LAYOUT = {
-    "bars": (["exchange_id"], False, []),
-    "exchange_dim": ([], False, []),
-    "ticker_exchanges": ([], False, []),
-    "stock_prices": (["year", "month"], True, ["ticker"]),
-    "daily_stock_metrics": (["year"], True, ["ticker"]),
-    "monthly_stock_performance": (["year", "month"], True, ["ticker"]),
-    "yearly_stock_performance": (["year"], True, ["ticker"]),
-    "streaming_daily_quotes": (["quote_date"], True, ["symbol"]),
-    "streaming_7d_aggregates": ([], False, []),
+    "bars": ["exchange_id"],
+    "exchange_dim": [],
+    "ticker_exchanges": [],
+    "stock_prices": ["year", "month"],
+    "daily_stock_metrics": ["year"],
+    "monthly_stock_performance": ["year", "month"],
+    "yearly_stock_performance": ["year"],
+    "streaming_daily_quotes": ["quote_date"],
+    "streaming_7d_aggregates": [],
 }
 
 
 class Lake:
     """Layer tables under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, files_per_partition: int = 1):
+    def __init__(self, spark: SparkSession, root: str, max_records_per_file: int | None = None):
         self.spark, self.root = spark, root.rstrip("/")
-        self.files_per_partition = files_per_partition
+        self.max_records_per_file = max_records_per_file
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def write(self, name: str, df: DataFrame) -> None:
-        parts, cluster, spread = LAYOUT[name]
-        write_layer(df, self.path(name), partition_by=parts, cluster=cluster, spread_by=spread,
-                    files_per_partition=self.files_per_partition)
+    def write(self, name: str, df: DataFrame, mode: str = "replace") -> None:
+        write_layer(df, self.path(name), partition_by=LAYOUT[name], mode=mode,
+                    max_records_per_file=self.max_records_per_file)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A layer with its declared types (a partition column keeps the type of
+        the contract, not the one its folder names look like)."""
+        reader = self.spark.read
+        if name in LAYER_TABLES:
+            columns, parts = LAYER_TABLES[name]
+            reader = reader.schema(columns + (", " + parts if parts else ""))
+        return reader.parquet(self.path(name))
 
 
 def build_steps(lake: Lake, bars: Callable[[], DataFrame], dim: Callable[[], DataFrame],
@@ -126,17 +126,17 @@ def question_frames(lake: Lake, trades: DataFrame | None) -> dict[str, Callable[
     }
 
 
-BATCH_QUESTIONS = ("q01", "q02", "q03", "q04", "q05", "q06", "q07", "q08", "q09", "q10")
-
-
-def export_questions(lake: Lake, sink, names=BATCH_QUESTIONS) -> dict[str, int]:
-    """Answer the batch questions from the lake and hand each result to
-    ``sink(df, name)`` (Parquet or JDBC, see ``sources.sinks``); returns the
-    row counts observed during the writes."""
-    from tidemark.sources.sinks import run_exports
+def export_questions(lake: Lake, sink, marts=None) -> dict[str, int]:
+    """Answer the batch questions from the lake and hand each result, in its
+    presentation order, to ``sink(df, mart name)`` (Parquet or JDBC, see
+    ``sources.sinks``); returns the row counts observed during the writes.
 
+    ``marts`` maps a question to (mart name, order), by default the ten of
+    ``schemas.MARTS``.  Results are reports; nothing partitioned is sorted.
+    """
     frames = question_frames(lake, trades=None)
-    return run_exports({n: frames[n]() for n in names}, sink)
+    return run_exports({name: q.present(frames[question](), *order)
+                        for question, (name, order) in (marts or MARTS).items()}, sink)
 
 
 def timed(action: Callable[[], object]) -> float:

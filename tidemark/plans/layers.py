@@ -17,13 +17,7 @@ from tidemark.operators.quality import (
     apply_rules, clean_bars, dedupe_by_priority, derive_bar_columns, quote_rules,
 )
 from tidemark.operators.windows import lag_value, trailing_value
-
-BAR_COLUMNS = ["ticker", "trade_date", "open_price", "high_price", "low_price", "close_price",
-               "adjusted_close_price", "volume"]
-
-SILVER_COLUMNS = ["ticker", "trade_date", "year", "month", "quarter", "day_of_week",
-                  "open_price", "high_price", "low_price", "close_price", "adjusted_close_price",
-                  "volume", "daily_range", "daily_change", "daily_change_pct"]
+from tidemark.schemas import BAR_COLUMNS, DAILY_COLUMNS, SILVER_COLUMNS
 
 
 def clean(bars: DataFrame, min_date: str | None = None) -> DataFrame:
@@ -62,13 +56,6 @@ def ticker_exchanges(clean_df: DataFrame, membership: str = "all",
     return src.select("ticker", F.col(priority).cast("int").alias("exchange_id")).distinct()
 
 
-DAILY_COLUMNS = ["ticker", "trade_date", "year", "open_price", "high_price", "low_price",
-                 "close_price", "adjusted_close_price", "volume", "daily_change_pct",
-                 "prev_close_price", "avg_volume_20d", "avg_volume_7d", "volume_ratio",
-                 "is_volume_spike", "is_significant_drop", "rolling_volatility_30d",
-                 "rolling_high_7d", "rolling_low_7d"]
-
-
 def daily_metrics(silver_df: DataFrame, short: int = C.SHORT_ROWS, long: int = C.LONG_ROWS,
                   vol: int = C.VOLATILITY_ROWS, spike: float = C.SPIKE_RATIO,
                   drop: float = C.DROP_PCT) -> DataFrame:

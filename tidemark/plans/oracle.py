@@ -360,7 +360,7 @@ FROM (SELECT ticker, trade_date, year, rolling_volatility_30d,
              avg(rolling_volatility_30d) OVER (PARTITION BY ticker, year)
                  AS annual_avg_volatility
       FROM daily WHERE rolling_volatility_30d IS NOT NULL) v
-WHERE round(rolling_volatility_30d - annual_avg_volatility, 6) > 0""")
+WHERE rolling_volatility_30d > annual_avg_volatility""")
 
 
 def _q08(inner: str) -> str:
@@ -427,18 +427,15 @@ SELECT ticker, trade_date, close_price,
        lag(close_price) OVER (PARTITION BY ticker ORDER BY trade_date) AS prev_close_price
 FROM silver""")
 
-SQL["win_lag_default"] = with_(["mret"], """
-SELECT *, lag(is_positive, 1, is_positive) OVER (PARTITION BY ticker ORDER BY year, month)
-              AS prev_is_positive
-FROM (SELECT *, CASE WHEN monthly_return_pct > 0 THEN 1 ELSE 0 END AS is_positive
-      FROM mret) x""")
+SQL["win_lag_default"] = with_(["silver"], """
+SELECT ticker, trade_date, volume,
+       lag(volume, 5, volume) OVER (PARTITION BY ticker ORDER BY trade_date) AS volume_5_before
+FROM silver""")
 
 SQL["win_row_number"] = with_(["silver"], """
-SELECT ticker, year, month, trade_date,
-       CAST(row_number() OVER (PARTITION BY ticker, year, month ORDER BY trade_date)
-            AS INTEGER) AS rn_asc,
-       CAST(row_number() OVER (PARTITION BY ticker, year, month ORDER BY trade_date DESC)
-            AS INTEGER) AS rn_desc
+SELECT ticker, year, trade_date, volume,
+       CAST(row_number() OVER (PARTITION BY ticker, year ORDER BY volume DESC, trade_date)
+            AS INTEGER) AS volume_place
 FROM silver""")
 
 SQL["win_lead"] = with_(["silver"], """
@@ -605,3 +602,94 @@ FROM (SELECT w.*, s.prev_close,
             FROM valid_trades GROUP BY 1, 2, symbol) w
       JOIN snapshot s ON w.symbol = s.symbol
       WHERE s.prev_close IS NOT NULL AND s.prev_close > 0) x""")
+
+
+# ------------------------------------------------- options and dirty rows
+
+def swap(name: str, *changes: tuple[str, str]) -> str:
+    """A registered statement with some of its text replaced."""
+    out = SQL[name]
+    for old, new in changes:
+        if old not in out:
+            raise ValueError(f"{name} has no {old!r}")
+        out = out.replace(old, new)
+    return out
+
+
+SQL["q07_rounded"] = swap("q07_above_mean", (
+    "WHERE rolling_volatility_30d > annual_avg_volatility",
+    "WHERE round(rolling_volatility_30d - annual_avg_volatility, 6) > 0"))
+SQL["q06_any_year"] = swap("q06_outperformance", ("WHERE years_outperformed >= 5", "WHERE years_outperformed >= 1"))
+
+_GAP = "({} + length(ticker) + ascii(right(ticker, 1))) % 4 <> 0"
+for _name in ("q02_gaps", "q02_gaps_adjacent"):
+    SQL[_name] = swap({"q02_gaps": "q02_period_change"}.get(_name, "q02_adjacent"), (
+        "FROM yearly WHERE", "FROM yearly WHERE " + _GAP.format("year") + " AND"))
+for _name in ("q10_gaps", "q10_gaps_adjacent"):
+    SQL[_name] = swap({"q10_gaps": "q10_streaks"}.get(_name, "q10_adjacent"), (
+        "WHERE monthly_return_pct IS NOT NULL", "WHERE " + _GAP.format("month") + " AND monthly_return_pct IS NOT NULL"),
+        ("count(*) >= 6", "count(*) >= 2"))
+
+SQL["q05_compound_total_loss"] = swap(
+    "q05_compound",
+    ("(exp(sum(ln(1 + monthly_return_pct / 100)) OVER (", """CASE WHEN min(monthly_return_pct) OVER (
+                    PARTITION BY ticker, year ORDER BY month) = -100 THEN -100.0
+                    ELSE (exp(sum(CASE WHEN monthly_return_pct > -100 THEN ln(1 + monthly_return_pct / 100) END) OVER ("""),
+    (")) - 1) * 100\n                    AS cumulative_return_pct", ")) - 1) * 100 END\n                    AS cumulative_return_pct"),
+    ("SELECT ticker, year, month, monthly_return_pct FROM monthly\n    WHERE monthly_return_pct IS NOT NULL",
+     """SELECT * FROM (SELECT ticker, year, month,
+           CASE WHEN month = 6 AND year % 2 = 0 THEN -100.0 ELSE monthly_return_pct END AS monthly_return_pct
+           FROM monthly) m
+    WHERE monthly_return_pct IS NOT NULL"""))
+
+SQL["bar_dedupe_unknown_exchange"] = swap("bar_dedupe", (
+    "FROM clean)", "FROM (SELECT * REPLACE (CASE WHEN exchange_id <> 0 THEN exchange_id END AS exchange_id) FROM clean) c)"),
+    ("ORDER BY exchange_id,", "ORDER BY exchange_id NULLS LAST,"))
+
+_DAY = "datediff('day', DATE '1970-01-01', trade_date)"
+_DIRTY_BARS = f"""(SELECT * EXCLUDE (k) REPLACE (
+        CASE WHEN k = 1 THEN 0.0 ELSE open_price END AS open_price,
+        CASE WHEN k = 2 THEN -1.0 WHEN k = 3 THEN low_price / 2 ELSE high_price END AS high_price,
+        CASE WHEN k = 4 THEN NULL ELSE low_price END AS low_price,
+        CASE WHEN k = 5 THEN 0.0 ELSE close_price END AS close_price,
+        CASE WHEN k = 6 THEN NULL WHEN k = 7 THEN -5 ELSE volume END AS volume,
+        CASE WHEN k = 8 THEN NULL ELSE trade_date END AS trade_date)
+    FROM (SELECT *, {_DAY} % 23 AS k FROM bars) d) dirty"""
+SQL["dirty_bar_quality_report"] = swap("bar_quality_report", ("passed\nFROM bars", "passed\nFROM " + _DIRTY_BARS))
+SQL["dirty_bar_quality_filter"] = swap("bar_quality_filter", (
+    "SELECT * FROM bars\n    WHERE", f"SELECT * FROM {_DIRTY_BARS}\n    WHERE trade_date >= DATE '1993-06-01' AND"))
+
+SQL["dirty_quotes"] = with_(["quotes"], """
+SELECT * EXCLUDE (day) FROM (
+    SELECT day, CASE WHEN day % 7 <> 1 THEN symbol END AS symbol, exchange,
+           CASE WHEN day % 7 = 2 THEN 0.0 WHEN day % 7 <> 3 THEN current_price END AS current_price,
+           change, change_pct, high_price, low_price, open_price, prev_close, api_timestamp,
+           CASE WHEN day % 7 = 4 THEN '' ELSE quote_date END AS quote_date
+    FROM (SELECT *, CAST(substr(quote_date, 9, 2) AS INTEGER) AS day FROM quotes) x) y
+WHERE symbol IS NOT NULL AND current_price > 0 AND quote_date <> ''""")
+
+SQL["sq1_dirty_trades"] = swap("sq1_price_volatility", ("SELECT * FROM trades WHERE", """SELECT * FROM (
+        SELECT * REPLACE (CASE event_id % 9 WHEN 1 THEN NULL WHEN 2 THEN 0.0 WHEN 3 THEN -price ELSE price END AS price)
+        FROM trades) d WHERE"""))
+for _name, _of in (("sq2_dirty_snapshot", "sq2_market_sentiment"), ("sq5_dirty_snapshot", "sq5_vs_prev_close")):
+    SQL[_name] = swap(_of, ("SELECT * FROM quotes WHERE quote_date = (SELECT max(quote_date) FROM quotes)", """
+    SELECT * REPLACE (CASE length(symbol) % 5 WHEN 0 THEN NULL WHEN 1 THEN 0.0 ELSE prev_close END AS prev_close,
+                      CASE length(symbol) % 5 WHEN 3 THEN [] ELSE exchange END AS exchange)
+    FROM quotes WHERE quote_date = (SELECT max(quote_date) FROM quotes)"""))
+
+SQL["bars_text_ingest"] = with_(["bars"], f"""
+SELECT ticker, trade_date AS date,
+       CASE WHEN k <> 2 THEN open_price END AS open, high_price AS high, low_price AS low,
+       CASE WHEN k <> 5 THEN close_price END AS close, adjusted_close_price AS adjusted_close,
+       CASE WHEN k <> 3 THEN volume END AS volume, exchange_name AS source_exchange
+FROM (SELECT *, {_DAY} % 17 AS k FROM bars) x
+WHERE k <> 1 AND trade_date >= DATE '1994-01-01'""")
+
+SQL["layer_rebuild_shrinks"] = SQL["yearly_performance"] + "\nWHERE year % 2 = 0"
+SQL["layer_roundtrip_quotes"] = SQL["daily_quotes"]
+SQL["windows_after_restart"] = SQL["sq3_trade_frequency"]
+SQL["windows_latest_sq2"] = SQL["sq2_market_sentiment"]
+for _name, _of in (("sq1_stream", "sq1_price_volatility"), ("sq2_stream", "sq2_market_sentiment"),
+                   ("sq3_stream", "sq3_trade_frequency"), ("sq4_stream", "sq4_price_vs_range"),
+                   ("sq5_stream", "sq5_vs_prev_close")):
+    SQL[_name] = SQL[_of]

@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from tidemark import constants as C
 from tidemark.functions.expr import direction
 from tidemark.operators.windows import (
-    lag_value, rank_in_group, running_sum, spec, streaks, top_n_per_group, vs_group_mean,
+    compounded, lag_value, rank_in_group, running_sum, spec, streaks, top_n_per_group, vs_group_mean,
 )
 
 
 def present(df: DataFrame, *order) -> DataFrame:
-    """Sort for display or export.  Never sort before a partitioned write."""
-    return df.orderBy(*order)
+    """Sort for display or export; a name that starts with ``-`` descends.
+    Never sort before a partitioned write."""
+    keys = [F.col(c[1:]).desc() if isinstance(c, str) and c.startswith("-") else c for c in order]
+    return df.orderBy(*keys)
 
 
 def with_exchanges(perf: DataFrame, bridge: DataFrame, dim: DataFrame) -> DataFrame:
@@ -96,8 +98,7 @@ def recovery_after_drop(monthly: DataFrame, window: int = C.RECOVERY_ROWS,
         "ticker", "year", "month", "monthly_return_pct")
     frame = spec(k, o).rowsBetween(-(window - 1), 0)
     r = F.col("monthly_return_pct")
-    total = ((F.exp(F.sum(F.log1p(r / 100)).over(frame)) - 1) * 100 if compound
-             else F.sum(r).over(frame))
+    total = compounded(r, frame) if compound else F.sum(r).over(frame)
     staged = base.withColumns({"prev_month_return_pct": lag_value("monthly_return_pct", k, o),
                                "rolling_return": total})
     hits = staged.filter((F.col("prev_month_return_pct") < 0) & (F.col("rolling_return") > 0))
@@ -114,7 +115,8 @@ def recovery_after_drop(monthly: DataFrame, window: int = C.RECOVERY_ROWS,
 def cumulative_rank(monthly: DataFrame, compound: bool = False,
                     digits: int = C.RETURN_DIGITS) -> DataFrame:
     """Q05: year-to-date return per ticker and month, ranked across tickers in
-    each (year, month) on the unrounded value."""
+    each (year, month) on the unrounded value.  A ranking group holds one row
+    per ticker: bounded by the universe, not by the input volume."""
     base = monthly.filter(F.col("monthly_return_pct").isNotNull()).select(
         "ticker", "year", "month", "monthly_return_pct")
     cum = running_sum(base, ["ticker", "year"], ["month"], "monthly_return_pct",
@@ -129,10 +131,14 @@ def cumulative_rank(monthly: DataFrame, compound: bool = False,
 
 
 def outperformance_rate(yearly: DataFrame, bridge: DataFrame, dim: DataFrame,
-                        min_years: int = C.MIN_YEARS, mean_method: str = "join") -> DataFrame:
+                        min_years: int = C.MIN_YEARS, mean_method: str = "window") -> DataFrame:
     """Q06: per (ticker, exchange) the number of years the ticker's return beat
     the exchange's mean return that year, the years counted, and the rate (%).
-    Years need not be consecutive."""
+    Years need not be consecutive.
+
+    The mean is a window over (exchange, year): one row per listed ticker, so a
+    group is bounded by the universe, and the yearly layer is read once (the
+    join form reads it twice, see ``vs_group_mean``)."""
     base = yearly.filter(F.col("yearly_return_pct").isNotNull()).select(
         "ticker", "year", "yearly_return_pct")
     j = vs_group_mean(with_exchanges(base, bridge, dim), ["exchange_id", "year"],
@@ -147,11 +153,12 @@ def outperformance_rate(yearly: DataFrame, bridge: DataFrame, dim: DataFrame,
 
 
 def above_period_mean(daily: DataFrame, digits: int = C.VOLATILITY_DIGITS,
-                      filter_digits: int | None = C.VOLATILITY_DIGITS,
+                      filter_digits: int | None = None,
                       mean_method: str = "join") -> DataFrame:
     """Q07: days whose 30-row volatility exceeds the ticker's mean volatility
-    of that year.  The excess is compared after rounding to ``filter_digits``
-    (None: raw doubles, where a constant series yields last-bit noise)."""
+    of that year, compared as they are.  With ``filter_digits`` the excess
+    counts only if it is positive after rounding to so many digits, which also
+    drops true excesses below that."""
     base = daily.filter(F.col("rolling_volatility_30d").isNotNull()).select(
         "ticker", "trade_date", "year", "rolling_volatility_30d")
     j = vs_group_mean(base, ["ticker", "year"], "rolling_volatility_30d",
@@ -197,7 +204,7 @@ def percentile_in_group(monthly: DataFrame, bridge: DataFrame, dim: DataFrame,
                         value: str = "avg_intraday_range_pct",
                         name: str = "volatility_percentile") -> DataFrame:
     """Q09: PERCENT_RANK of a monthly measure among the tickers of the same
-    exchange and month."""
+    exchange and month (one row per listed ticker in a group)."""
     base = monthly.filter(F.col(value).isNotNull()).select("ticker", "year", "month", value)
     ranked = rank_in_group(with_exchanges(base, bridge, dim), ["exchange_id", "year", "month"],
                            [F.col(value).asc()], method="percent_rank", name=name)

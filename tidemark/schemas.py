@@ -99,3 +99,39 @@ LAYER_TABLES: dict[str, tuple[str, str]] = {
         "days_count INT",
         ""),
 }
+
+# Columns of the layers in the order the builds give them.
+BAR_COLUMNS = ["ticker", "trade_date", "open_price", "high_price", "low_price", "close_price",
+               "adjusted_close_price", "volume"]
+SILVER_COLUMNS = ["ticker", "trade_date", "year", "month", "quarter", "day_of_week",
+                  "open_price", "high_price", "low_price", "close_price", "adjusted_close_price",
+                  "volume", "daily_range", "daily_change", "daily_change_pct"]
+DAILY_COLUMNS = ["ticker", "trade_date", "year", "open_price", "high_price", "low_price",
+                 "close_price", "adjusted_close_price", "volume", "daily_change_pct",
+                 "prev_close_price", "avg_volume_20d", "avg_volume_7d", "volume_ratio",
+                 "is_volume_spike", "is_significant_drop", "rolling_volatility_30d",
+                 "rolling_high_7d", "rolling_low_7d"]
+
+# Exported marts: question -> (table name, presentation order; "-" is descending).
+MARTS: dict[str, tuple[str, list[str]]] = {
+    "q01": ("q01_top_performers_by_exchange_year", ["exchange_id", "year", "return_rank"]),
+    "q02": ("q02_year_over_year_return_change", ["ticker", "year"]),
+    "q03": ("q03_biggest_monthly_drop_vs_average", ["year", "month"]),
+    "q04": ("q04_largest_3month_recovery", ["-rolling_3month_recovery_pct"]),
+    "q05": ("q05_cumulative_return_ranking", ["year", "month", "cumulative_rank"]),
+    "q06": ("q06_consistent_exchange_outperformers", ["-years_outperformed", "ticker"]),
+    "q07": ("q07_above_average_volatility_days", ["ticker", "trade_date"]),
+    "q08": ("q08_volume_spike_next_day_direction", ["ticker", "trade_date"]),
+    "q09": ("q09_intraday_volatility_percentile",
+            ["year", "month", "exchange_id", "-volatility_percentile"]),
+    "q10": ("q10_longest_positive_month_streaks", ["-consecutive_months", "ticker"]),
+}
+
+# Stream marts: question -> (table name, key columns).
+STREAM_MARTS: dict[str, tuple[str, list[str]]] = {
+    "sq1": ("sq1_price_volatility", ["window_start", "window_end", "symbol"]),
+    "sq2": ("sq2_market_sentiment", ["window_start", "window_end", "exchange"]),
+    "sq3": ("sq3_trade_frequency", ["window_start", "window_end", "symbol"]),
+    "sq4": ("sq4_price_vs_7d", ["window_start", "window_end", "symbol"]),
+    "sq5": ("sq5_vs_prev_close", ["window_start", "window_end", "symbol"]),
+}

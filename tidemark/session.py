@@ -6,7 +6,9 @@ here only exist so tests and ``bench.py`` start Spark the same way.
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,43 +39,47 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """The shared checkpoint folder of the session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is.  Only local test runs fall back to a fresh temp
-    folder.
+    ``spark.checkpoint.dir`` (or the context's own) is used as is.  Without one
+    only a ``local`` session, whose executors are this process, gets a fresh
+    temp folder; a cluster session raises.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or tempfile.mkdtemp(prefix="tidemark-ckpt-")
+    target = spark.conf.get("spark.checkpoint.dir", None)
+    if not target:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        target = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.sparkContext.setCheckpointDir(target)
     return spark.sparkContext.getCheckpointDir() or target
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared checkpoint folder for written intermediate tables."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/{name}"
+    """A fresh path below the shared checkpoint folder for written intermediate tables."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
-                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+                 target_partition_bytes: int = 256 * 1024 ** 2,
+                 shuffle_share: float = 0.05) -> dict[str, str]:
     """Spark settings sized for a job reading ``input_bytes`` on a cluster.
 
     * scan splits of ``target_partition_bytes`` (many small per-ticker CSVs
       are packed into splits by the open-cost setting);
-    * an initial shuffle width of input / target (at least 2 tasks per core),
-      which AQE then coalesces to the advisory size, so no stage runs with
-      partitions larger than fit in an executor's execution memory;
+    * a shuffle width from what is shuffled, not from what is read: every large
+      reduction is combined before its shuffle, so about ``shuffle_share`` of
+      the input moves.  At least 2 tasks per core, which AQE coalesces;
     * AQE skew handling for the joins (a partition 5x the median and over
       the advisory size is split);
     * RocksDB state store for the stream questions' window state.
     Pass the result to ``SparkSession.builder.config(map=...)``/spark-submit.
     """
     cores = max(1, executors * cores_per_executor)
-    shuffle = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    moved = int(input_bytes * shuffle_share)
+    shuffle = max(2 * cores, -(-moved // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

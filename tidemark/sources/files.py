@@ -7,9 +7,11 @@ quality rules) instead of failing the job.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -26,6 +28,11 @@ EXCHANGE_DIM_SCHEMA = StructType([
 ])
 
 
+BRONZE_SCHEMA = ("ticker string, date date, open double, high double, low double, close double, "
+                 "adjusted_close double, volume bigint, source_exchange string, "
+                 "ingestion_timestamp timestamp")
+
+
 def exchange_dim(spark: SparkSession, exchanges: Sequence[tuple[int, str]] = EXCHANGES
                  ) -> DataFrame:
     """The literal exchange dimension (a handful of rows)."""
@@ -38,21 +45,42 @@ def file_path_part(pattern: str, group: int = 1):
     return F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), pattern, group))
 
 
+def _braces(names: Sequence[str]) -> str:
+    """A path glob that matches just these folder names."""
+    escaped = [re.sub(r"([\\{}\[\]*?,])", r"\\\1", n) for n in names]
+    return escaped[0] if len(escaped) == 1 else "{" + ",".join(escaped) + "}"
+
+
 def read_bars_csv(spark: SparkSession, root: str, exchanges: Sequence[str] | None = None,
                   min_date: str | None = C.MIN_TRADE_DATE) -> DataFrame:
     """Bronze bars from ``<root>/<exchange>/csv/<TICKER>.csv``.
 
-    One scan over all exchange folders (a folder that does not exist simply
-    contributes no files), so the many small files are packed into splits by
-    the file source instead of being read folder by folder.  Output:
-    ticker, date, open, high, low, close, adjusted_close, volume,
-    source_exchange, ingestion_timestamp.
+    Only the folders of ``exchanges`` (by default the names of ``EXCHANGES``)
+    are listed and read, in one scan, so the many small files are packed into
+    splits by the file source.  A folder that does not exist contributes
+    nothing; if none exists the result is empty.  Output: ticker, date, open,
+    high, low, close, adjusted_close, volume, source_exchange,
+    ingestion_timestamp.
     """
-    glob = f"{root.rstrip('/')}/*/csv/*.csv"
-    raw = (spark.read.schema(schemas.BAR_CSV).option("header", True)
-           .option("mode", "PERMISSIVE").csv(glob))
+    names = [n for _, n in EXCHANGES] if exchanges is None else list(exchanges)
+    reader = spark.read.schema(schemas.BAR_CSV).option("header", True).option("mode", "PERMISSIVE")
+    try:
+        raw = reader.csv(f"{root.rstrip('/')}/{_braces(names)}/csv/*.csv") if names else None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raw = None
+    if raw is None:
+        return spark.createDataFrame([], BRONZE_SCHEMA)
+    return parse_bars(raw, file_path_part(C.TICKER_FROM_PATH), file_path_part(r"/([^/]+)/csv/[^/]+$"), min_date)
+
+
+def parse_bars(raw: DataFrame, ticker: Column, exchange: Column,
+               min_date: str | None = C.MIN_TRADE_DATE) -> DataFrame:
+    """Bar text columns (``schemas.BAR_CSV``) -> typed bronze rows; a bad value
+    becomes NULL, rows before ``min_date`` or without a date are dropped."""
     out = raw.select(
-        file_path_part(C.TICKER_FROM_PATH).alias("ticker"),
+        ticker.alias("ticker"),
         safe_date("Date").alias("date"),
         safe_cast("Open", "double").alias("open"),
         safe_cast("High", "double").alias("high"),
@@ -60,10 +88,8 @@ def read_bars_csv(spark: SparkSession, root: str, exchanges: Sequence[str] | Non
         safe_cast("Close", "double").alias("close"),
         safe_cast("Adjusted Close", "double").alias("adjusted_close"),
         safe_cast("Volume", "bigint").alias("volume"),
-        file_path_part(r"/([^/]+)/csv/[^/]+$").alias("source_exchange"),
+        exchange.alias("source_exchange"),
         F.current_timestamp().alias("ingestion_timestamp"))
-    if exchanges is not None:
-        out = out.filter(F.col("source_exchange").isin(list(exchanges)))
     if min_date is not None:
         out = out.filter(F.col("date") >= F.lit(min_date).cast("date"))
     return out

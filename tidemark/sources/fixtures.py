@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.expr import ntz_to_epoch_ms, pct_change
 from tidemark.operators.aggregates import first_by, last_by, pack_order
 from tidemark.operators.windows import lag_value
+from tidemark.schemas import BAR_CSV
+from tidemark.sources.files import parse_bars
+from tidemark.sources.stream import decode_trades, trade_payloads, trade_stream
+from tidemark.streaming.runner import start_upsert
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -121,3 +125,99 @@ def daily_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
                 pct_change("current_price", "prev_close").alias("change_pct"),
                 "high_price", "low_price", "open_price", "prev_close", "api_timestamp",
                 F.date_format("d", "yyyy-MM-dd").alias("quote_date")))
+
+
+# ------------------------------------------------------- rows that must fail
+
+def day_number(date: str = "trade_date"):
+    return F.datediff(F.col(date), F.lit("1970-01-01").cast("date"))
+
+
+def dirty_bars(bars_df: DataFrame) -> DataFrame:
+    """Bars with one defect on some days, so that every quality rule fails
+    somewhere; which defect follows from the day number modulo 23."""
+    k = day_number() % 23
+    bad = F.lit(None)
+    return bars_df.withColumns({
+        "open_price": F.when(k == 1, 0.0).otherwise(F.col("open_price")),
+        "high_price": F.when(k == 2, -1.0).when(k == 3, F.col("low_price") / 2).otherwise(F.col("high_price")),
+        "low_price": F.when(k == 4, bad.cast("double")).otherwise(F.col("low_price")),
+        "close_price": F.when(k == 5, 0.0).otherwise(F.col("close_price")),
+        "volume": F.when(k == 6, bad.cast("bigint")).when(k == 7, F.lit(-5).cast("bigint")).otherwise(F.col("volume")),
+        "trade_date": F.when(k == 8, bad.cast("date")).otherwise(F.col("trade_date")),
+    })
+
+
+def dirty_quotes(quotes: DataFrame) -> DataFrame:
+    """Raw quote documents as (symbol, exchange, quote, quote_date) with defects
+    by the day of the month: no price, price 0, no date, no symbol."""
+    day = F.substring("quote_date", 9, 2).cast("int")
+    return quotes.select(
+        F.when(day % 7 != 1, F.col("symbol")).alias("symbol"), "exchange",
+        F.struct(F.when(day % 7 == 2, F.lit(0.0)).when(day % 7 != 3, F.col("current_price")).alias("c"),
+                 F.col("change").alias("d"), F.col("change_pct").alias("dp"), F.col("high_price").alias("h"),
+                 F.col("low_price").alias("l"), F.col("open_price").alias("o"), F.col("prev_close").alias("pc"),
+                 F.col("api_timestamp").alias("t")).alias("quote"),
+        F.when(day % 7 == 4, F.lit("")).otherwise(F.col("quote_date")).alias("quote_date"))
+
+
+def dirty_trades(trades_df: DataFrame) -> DataFrame:
+    """Trades without a price, with price 0 or a negative one, by the event id."""
+    k = F.col("event_id") % 9
+    return trades_df.withColumn("price", F.when(k == 1, F.lit(None).cast("double")).when(k == 2, 0.0)
+                                .when(k == 3, -F.col("price")).otherwise(F.col("price")))
+
+
+def dirty_snapshot(snapshot: DataFrame) -> DataFrame:
+    """A snapshot where some symbols have no previous close, 0, or no exchange list."""
+    k = F.length("symbol") % 5
+    return snapshot.withColumns({
+        "prev_close": F.when(k == 0, F.lit(None).cast("double")).when(k == 1, 0.0).otherwise(F.col("prev_close")),
+        "exchange": F.when(k == 3, F.array().cast("array<string>")).otherwise(F.col("exchange"))})
+
+
+def bar_text(bars_df: DataFrame) -> DataFrame:
+    """Bars as CSV lines (line, ticker, exchange), with bad cells by the day
+    number modulo 17: another date format, text for a price, an empty close,
+    a volume with a decimal point, text for a volume."""
+    k = day_number() % 17
+    volume = F.col("volume").cast("string")
+    cells = [F.when(k == 1, F.date_format("trade_date", "yyyy/MM/dd")).otherwise(F.date_format("trade_date", "dd-MM-yyyy")),
+             F.col("low_price").cast("string"), F.when(k == 2, "abc").otherwise(F.col("open_price").cast("string")),
+             F.when(k == 3, "n/a").when(k == 4, F.concat(volume, F.lit(".0"))).otherwise(volume),
+             F.col("high_price").cast("string"), F.when(k == 5, "").otherwise(F.col("close_price").cast("string")),
+             F.col("adjusted_close_price").cast("string")]
+    return bars_df.select(F.concat_ws(",", *cells).alias("line"), "ticker", "exchange_name")
+
+
+def read_bar_text(lines: DataFrame, min_date: str) -> DataFrame:
+    """Bronze rows from ``bar_text`` lines, by the same declared schema and casts as files."""
+    ddl = ", ".join(f"`{f.name}` STRING" for f in BAR_CSV.fields)
+    raw = lines.select(F.from_csv("line", ddl).alias("r"), "ticker", "exchange_name")
+    return parse_bars(raw.select("r.*", "ticker", "exchange_name"), F.col("ticker"), F.col("exchange_name"), min_date)
+
+
+def replay(spark: SparkSession, trades_df: DataFrame, question, path: str, slices: int = 3) -> str:
+    """Run a stream question over the trades as message files, slice by slice in
+    time order; the folder of window results.
+
+    Each slice is written, then drained by an ``availableNow`` run that goes on
+    from the checkpoint of the one before.  The last slice also holds a copy of
+    the first slice's earliest trades; they are late and must be dropped.
+    """
+    cuts = trades_df.select(F.percentile_approx("timestamp_ms", [k / slices for k in range(1, slices)], 10_000)).first()[0]
+    bounds = [None, *cuts, None]
+    messages, out = f"{path}/messages", f"{path}/windows"
+    first = trades_df.agg(F.min("timestamp_ms")).first()[0]
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        part = trades_df
+        if low is not None:
+            part = part.where(F.col("timestamp_ms") >= low)
+        if high is not None:
+            part = part.where(F.col("timestamp_ms") < high)
+        else:
+            part = part.unionByName(trades_df.where(F.col("timestamp_ms") < first + 60_000))
+        trade_payloads(part).select("value").write.mode("append").text(messages)
+        query = start_upsert(question(decode_trades(trade_stream(spark, "text", messages))), out, f"{path}/checkpoint")
+        query.awaitTermination()
+    return out

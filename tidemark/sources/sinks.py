@@ -1,7 +1,7 @@
 """Batch sinks: partitioned layer writes, table registration, result exports.
 
-Writes are idempotent: a layer write replaces the partitions it produces
-(dynamic partition overwrite), so re-running a build leaves the same rows.
+A layer write replaces the whole layer, so a rebuild leaves exactly the rows it
+was given; replacing only the partitions at hand is an explicit mode.
 """
 
 from __future__ import annotations
@@ -13,32 +13,29 @@ from pyspark.sql import functions as F
 
 from tidemark.schemas import LAYER_TABLES
 
+WRITE_MODES = ("replace", "partitions")
 
-def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                cluster: bool = True, spread_by: Sequence[str] = (),
-                files_per_partition: int = 1, max_records_per_file: int | None = None,
-                mode: str = "overwrite") -> None:
+
+def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "replace",
+                max_records_per_file: int | None = None) -> None:
     """Write a Parquet layer.
 
-    With ``partition_by`` and ``cluster``, rows are first clustered by the
-    partition columns so each task writes few folders (no folders x tasks
-    small files).  Since a partition value can hold a large share of the rows
-    (one year of a metrics table), ``spread_by`` + ``files_per_partition``
-    spread each partition value over that many tasks by a hash of other
-    columns, and ``max_records_per_file`` caps file size.  ``cluster=False``
-    keeps the upstream partitioning (for large layers partitioned by a
-    column with few values, where clustering would leave only that many
-    writer tasks).
+    mode="replace" (default): the folder holds the rows of ``df`` afterwards
+    and nothing else.  mode="partitions": only the partitions that ``df`` has
+    rows for are replaced (a backfill of some days or years).
+
+    With ``partition_by`` the rows are rebalanced on the partition columns:
+    a task writes few folders, and adaptive execution cuts a partition value
+    with many rows (a year of daily metrics) into several tasks by its measured
+    size.  ``max_records_per_file`` caps file size.
     """
+    if mode not in WRITE_MODES:
+        raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
     partition_by = list(partition_by)
-    writer_df = df
-    if partition_by and cluster:
-        cluster = [F.col(c) for c in partition_by]
-        if spread_by and files_per_partition > 1:
-            cluster.append(F.pmod(F.hash(*[F.col(c) for c in spread_by]),
-                                  F.lit(files_per_partition)))
-        writer_df = df.repartition(*cluster)
-    writer = writer_df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    writer = df.write.mode("overwrite").option(
+        "partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:

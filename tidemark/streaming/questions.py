@@ -22,7 +22,6 @@ from tidemark import constants as C
 from tidemark.functions.expr import (
     direction, instant_to_ntz, ntz_to_instant, pct_above, pct_below, range_position,
 )
-from tidemark.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 from tidemark.operators.quality import apply_rules, trade_rules
 
 
@@ -60,18 +59,22 @@ def _window_cols(src: DataFrame):
     return [start.alias("window_start"), end.alias("window_end")]
 
 
-def _static(df: DataFrame, max_rows: int | None, src: DataFrame) -> DataFrame:
-    """The static side of an enrichment join.
+STATIC_JOINS = ("broadcast", "auto", "shuffle")
 
-    Batch: left to Spark (AQE broadcasts it once its measured size is small,
-    otherwise shuffles both sides and splits skewed partitions).  Stream: AQE
-    does not re-plan micro-batches, so the static side is broadcast after a
-    bounded row-count check (``max_rows``, default BROADCAST_MAX_ROWS); above
-    the bound it is joined by shuffle.
+
+def _static(df: DataFrame, how: str) -> DataFrame:
+    """The static side of an enrichment join, with the strategy the caller names.
+
+    The static sides hold one row per listed symbol (one per symbol and
+    exchange for listings): some ten thousand rows whatever the number of
+    trades.  "broadcast" (default) makes that side the build side, so the trades
+    are never shuffled by symbol nor broadcast themselves.  For a universe that
+    does not fit every executor, "shuffle" sorts and merges both sides, and
+    "auto" leaves the choice to Spark's sizes.
     """
-    if src.isStreaming and max_rows is None:
-        max_rows = BROADCAST_MAX_ROWS
-    return bounded_broadcast(df, max_rows) if max_rows else df
+    if how not in STATIC_JOINS:
+        raise ValueError(f"static_join must be one of {STATIC_JOINS}, not {how!r}")
+    return {"broadcast": F.broadcast, "shuffle": lambda d: d.hint("merge"), "auto": lambda d: d}[how](df)
 
 
 def window_count_baseline(trades: DataFrame, width: str = C.SQ3_WINDOW[0]) -> DataFrame:
@@ -111,22 +114,31 @@ def snapshot_prev_close(snapshot: DataFrame) -> DataFrame:
 
 def market_sentiment(trades: DataFrame, snapshot: DataFrame, width: str = C.SQ2_WINDOW[0],
                      delay: str | None = C.SQ2_WINDOW[1],
-                     static_max_rows: int | None = None) -> DataFrame:
+                     static_join: str = "broadcast") -> DataFrame:
     """SQ2: per window and exchange, trades priced above / below their
     symbol's previous close, and rising / (rising + falling).  A symbol
     counts for every exchange it is listed on; flat trades count in neither.
 
-    The snapshot side is one row per (symbol, exchange); with
-    ``static_max_rows`` it is broadcast after a bounded row-count check.
+    A trade meets one row, its symbol's previous close.  A batch counts per
+    (window, symbol) and fans the counts out to the exchanges; a stream has one
+    stateful aggregate only, so there the trade is fanned out before it.
     """
-    listings = (snapshot.select("symbol", "prev_close", F.explode("exchange").alias("exchange"))
-                .filter(F.col("prev_close").isNotNull() & (F.col("prev_close") > 0)))
+    listed = snapshot.filter(F.col("prev_close").isNotNull() & (F.col("prev_close") > 0))
     src = valid_trades(trades, delay)
-    t = src.join(_static(listings, static_max_rows, src), "symbol")
     side = direction("price", F.col("prev_close"))
-    agg = (t.groupBy(_bounds(width), "exchange")
-           .agg(F.count_if(side == "up").alias("rising_count"),
-                F.count_if(side == "down").alias("falling_count")))
+    if src.isStreaming:
+        listings = listed.select("symbol", "prev_close", F.explode("exchange").alias("exchange"))
+        agg = (src.join(_static(listings, static_join), "symbol").groupBy(_bounds(width), "exchange")
+               .agg(F.count_if(side == "up").alias("rising_count"),
+                    F.count_if(side == "down").alias("falling_count")))
+    else:
+        closes = listed.select("symbol", "prev_close")
+        per_symbol = (src.join(_static(closes, static_join), "symbol").groupBy(_bounds(width), "symbol")
+                      .agg(F.count_if(side == "up").alias("rising"),
+                           F.count_if(side == "down").alias("falling")))
+        exchanges = listed.select("symbol", F.explode("exchange").alias("exchange"))
+        agg = (per_symbol.join(_static(exchanges, static_join), "symbol").groupBy("window", "exchange")
+               .agg(F.sum("rising").alias("rising_count"), F.sum("falling").alias("falling_count")))
     moved = F.col("rising_count") + F.col("falling_count")
     return agg.filter(moved > 0).select(
         *_window_cols(src), "exchange", "rising_count", "falling_count",
@@ -136,7 +148,8 @@ def market_sentiment(trades: DataFrame, snapshot: DataFrame, width: str = C.SQ2_
 def trade_frequency(trades: DataFrame,
                     baseline: float | DataFrame = C.TRADES_PER_WINDOW_BASELINE,
                     factor: float = C.HIGH_FREQUENCY_FACTOR, width: str = C.SQ3_WINDOW[0],
-                    delay: str | None = C.SQ3_WINDOW[1]) -> DataFrame:
+                    delay: str | None = C.SQ3_WINDOW[1],
+                    static_join: str = "broadcast") -> DataFrame:
     """SQ3: trades per window and symbol, flagged when above ``factor`` x the
     baseline.  ``baseline`` is a constant trades-per-window, or a frame
     (symbol, baseline) of per-symbol baselines; symbols missing from it are
@@ -145,7 +158,7 @@ def trade_frequency(trades: DataFrame,
     agg = src.groupBy(_bounds(width), "symbol").agg(F.count("price").alias("trade_count"))
     out = agg.select(*_window_cols(src), "symbol", "trade_count")
     if isinstance(baseline, DataFrame):
-        base = _static(baseline.select("symbol", F.col("baseline").alias("_base")), None, src)
+        base = _static(baseline.select("symbol", F.col("baseline").alias("_base")), static_join)
         out = out.join(base, "symbol", "left")
         flag = F.col("trade_count") > F.col("_base") * factor
         return out.withColumn("is_high_frequency", flag).drop("_base")
@@ -160,17 +173,29 @@ def valid_extremes(baselines: DataFrame) -> DataFrame:
 
 def price_vs_range(trades: DataFrame, baselines: DataFrame, width: str = C.SQ4_WINDOW[0],
                    delay: str | None = C.SQ4_WINDOW[1], near_pct: float = C.NEAR_EXTREME_PCT,
-                   static_max_rows: int | None = None) -> DataFrame:
+                   static_join: str = "broadcast") -> DataFrame:
     """SQ4: mean price per window and symbol against the symbol's recent
     high/low: percent below the high, above the low, and near_high /
     near_low / neutral on the rounded percentages."""
+    return enrich_range(mean_price(trades, width, delay), baselines, near_pct, static_join)
+
+
+def mean_price(trades: DataFrame, width: str, delay: str | None) -> DataFrame:
+    """window_start, window_end, symbol, current_price: the part of SQ4 and SQ5
+    that needs state and no static side."""
     src = valid_trades(trades, delay)
     agg = src.groupBy(_bounds(width), "symbol").agg(F.avg("price").alias("current_price"))
-    j = agg.join(_static(valid_extremes(baselines), static_max_rows, src), "symbol")
+    return agg.select(*_window_cols(src), "symbol", "current_price")
+
+
+def enrich_range(prices: DataFrame, baselines: DataFrame, near_pct: float = C.NEAR_EXTREME_PCT,
+                 static_join: str = "broadcast") -> DataFrame:
+    """SQ4 from window means and the recent extremes."""
+    j = prices.join(_static(valid_extremes(baselines), static_join), "symbol")
     j = j.withColumns({"pct_from_high": pct_below("max_7d_high", "current_price"),
                        "pct_from_low": pct_above("current_price", "min_7d_low")})
     return j.select(
-        *_window_cols(src), "symbol",
+        "window_start", "window_end", "symbol",
         F.round("current_price", 4).alias("current_price"),
         F.round("max_7d_high", 4).alias("max_7d_high"),
         F.round("min_7d_low", 4).alias("min_7d_low"),
@@ -180,17 +205,21 @@ def price_vs_range(trades: DataFrame, baselines: DataFrame, width: str = C.SQ4_W
 
 def vs_prev_close(trades: DataFrame, snapshot: DataFrame, width: str = C.SQ5_WINDOW[0],
                   delay: str | None = C.SQ5_WINDOW[1],
-                  static_max_rows: int | None = None) -> DataFrame:
+                  static_join: str = "broadcast") -> DataFrame:
     """SQ5: mean price per window and symbol against the previous close:
     deviation (%) rounded to 4 places and its direction (on the rounded
     value)."""
-    src = valid_trades(trades, delay)
-    agg = src.groupBy(_bounds(width), "symbol").agg(F.avg("price").alias("current_price"))
-    j = agg.join(_static(snapshot_prev_close(snapshot), static_max_rows, src), "symbol")
+    return enrich_prev_close(mean_price(trades, width, delay), snapshot, static_join)
+
+
+def enrich_prev_close(prices: DataFrame, snapshot: DataFrame,
+                      static_join: str = "broadcast") -> DataFrame:
+    """SQ5 from window means and the snapshot."""
+    j = prices.join(_static(snapshot_prev_close(snapshot), static_join), "symbol")
     dev = F.round((F.col("current_price") - F.col("prev_close")) / F.col("prev_close") * 100, 4)
     j = j.withColumn("deviation_pct", dev)
     return j.select(
-        *_window_cols(src), "symbol",
+        "window_start", "window_end", "symbol",
         F.round("current_price", 4).alias("current_price"),
         F.round("prev_close", 4).alias("prev_close"),
         "deviation_pct",

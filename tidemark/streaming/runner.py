@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.streaming.sinks import upsert_windows
+from tidemark.streaming.sinks import run_id_of, upsert_windows
 
 
 def _trigger(writer, trigger: str | None):
@@ -20,18 +20,22 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def start_upsert(result: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
-                 name: str | None = None) -> StreamingQuery:
-    """Update mode: every changed window goes to ``path`` through the
-    idempotent batch-folder sink (read back with ``read_latest_windows``)."""
-    writer = (result.writeStream.outputMode("update")
-              .foreachBatch(upsert_windows(path))
+def _start(result: DataFrame, batch_fn, checkpoint: str, trigger: str | None, name: str | None) -> StreamingQuery:
+    writer = (result.writeStream.outputMode("update").foreachBatch(batch_fn)
               .option("checkpointLocation", checkpoint))
     if name:
         writer = writer.queryName(name)
     return _trigger(writer, trigger).start()
 
 
+def start_upsert(result: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
+                 name: str | None = None) -> StreamingQuery:
+    """Update mode: every changed window goes to ``path`` through the
+    idempotent batch-folder sink (read back with ``read_latest_windows``)."""
+    run = run_id_of(result.sparkSession, checkpoint)
+    return _start(result, upsert_windows(path, run), checkpoint, trigger, name)
+
+
 def start_append(result: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
                  name: str | None = None) -> StreamingQuery:
     """Append mode into a Parquet file sink: each window is written once,
@@ -43,25 +47,22 @@ def start_append(result: DataFrame, path: str, checkpoint: str, trigger: str | N
     return _trigger(writer, trigger).start()
 
 
-def start_per_batch(trades: DataFrame, question: Callable[[DataFrame, DataFrame], DataFrame],
-                    static: Callable[[], DataFrame], path: str, checkpoint: str,
-                    trigger: str | None = None, name: str | None = None) -> StreamingQuery:
-    """Run a question on each micro-batch on its own, with the static side
-    resolved again for every batch.
+def start_enriched(windows: DataFrame, enrich: Callable[[DataFrame, DataFrame], DataFrame],
+                   static: Callable[[], DataFrame], path: str, checkpoint: str,
+                   trigger: str | None = None, name: str | None = None) -> StreamingQuery:
+    """Whole windows with a fresh static side.
 
-    This is the micro-batch scope: windows are aggregated within a batch
-    only (a window that spans two batches is written twice, each time
-    partially), and a refreshed snapshot is picked up without a restart.
-    ``question(batch_trades, static_frame)`` must be a batch question such as
-    ``vs_prev_close``; results go through the idempotent batch-folder sink.
+    ``windows`` is the stateful part of a question (such as
+    ``questions.mean_price``), so a window that spans micro-batches is complete;
+    ``enrich(windows, static frame)`` runs on each batch of changed windows,
+    with ``static()`` resolved again every time, so a refreshed snapshot is used
+    without a restart.  A window is judged by the snapshot of the last batch
+    that changed it.  (SQ2 compares trade by trade before its aggregate: its
+    snapshot is the one bound when the query starts.)
     """
-    write = upsert_windows(path)
+    write = upsert_windows(path, run_id_of(windows.sparkSession, checkpoint))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write(question(batch, static()), batch_id)
+        write(enrich(batch, static()), batch_id)
 
-    writer = (trades.writeStream.outputMode("append").foreachBatch(run)
-              .option("checkpointLocation", checkpoint))
-    if name:
-        writer = writer.queryName(name)
-    return _trigger(writer, trigger).start()
+    return _start(windows, run, checkpoint, trigger, name)

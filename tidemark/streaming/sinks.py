@@ -2,38 +2,86 @@
 
 In update mode a window is emitted again every time it changes.  Appending
 those rows into a table keyed by (window, key) either violates the key or
-keeps stale partial values.  ``upsert_windows`` writes each micro-batch to
-its own ``batch_id=<n>`` folder with overwrite, so a replayed batch (after a
-failure between the write and the checkpoint commit) replaces its own output
-instead of duplicating it; ``read_latest_windows`` resolves every (window,
-key) to the row of the newest batch.
+keeps stale partial values.  ``upsert_windows`` writes each micro-batch to its
+own folder, ``run_id=<run>/batch_id=<n>``, with overwrite: a replayed batch
+(after a failure between the write and the checkpoint commit) replaces its own
+output, and a new checkpoint, whose batch numbers begin again, is a new run and
+leaves earlier results alone.  ``read_latest_windows`` resolves every (window,
+key) to the row that was written last; ``compact_windows`` keeps a table of
+those rows by day.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.schemas import STREAM_MARTS
+from tidemark.sources.sinks import write_layer
+
 BatchFn = Callable[[DataFrame, int], None]
+COMMITTED = "_committed"
+
 
+def run_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run a checkpoint belongs to; made up and kept beside the
+    stream's own files when the checkpoint is first used."""
+    path = f"{checkpoint.rstrip('/')}/tidemark-run"
+    try:
+        kept = spark.read.text(path).first()
+        if kept:
+            return kept[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    run = uuid.uuid4().hex
+    spark.createDataFrame([(run,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return run
 
-def upsert_windows(path: str) -> BatchFn:
-    """foreachBatch function: write the batch under ``<path>/batch_id=<id>``."""
+
+def upsert_windows(path: str, run_id: str) -> BatchFn:
+    """foreachBatch function: write the batch, with the time it was written,
+    under ``<path>/run_id=<run_id>/batch_id=<id>``."""
     root = path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        (batch.withColumn(COMMITTED, F.current_timestamp())
+         .write.mode("overwrite").parquet(f"{root}/run_id={run_id}/batch_id={batch_id}"))
     return write
 
 
-def read_latest_windows(spark: SparkSession, path: str,
-                        keys: Sequence[str] = ("window_start", "window_end", "symbol")
-                        ) -> DataFrame:
-    """Current value of every (window, key): the row from the highest batch.
-    One hash aggregate (max_by), partial per map task."""
-    df = spark.read.parquet(path)
-    rest = [c for c in df.columns if c not in keys and c != "batch_id"]
-    latest = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col("batch_id")).alias("_row")
+def read_latest_windows(spark: SparkSession, path: str, question: str | None = None,
+                        keys: Sequence[str] | None = None, since: str | None = None) -> DataFrame:
+    """Current value of every (window, key): the row that was written last.
+
+    The keys are those of ``question`` in ``schemas.STREAM_MARTS``, or given
+    outright.  ``since`` leaves out windows that begin before it; the filter
+    reaches the scan.  One aggregate, partial per map task.
+    """
+    if (question is None) == (keys is None):
+        raise ValueError("give either question or keys")
+    keys = list(keys or STREAM_MARTS[question][1])
+    df = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/run_id=*")
+    if since is not None:
+        df = df.filter(F.col("window_start") >= F.lit(since).cast(df.schema["window_start"].dataType))
+    own = {"run_id", "batch_id", COMMITTED}
+    rest = [c for c in df.columns if c not in keys and c not in own]
+    latest = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(COMMITTED, "batch_id")).alias("_row")
     return df.groupBy(*keys).agg(latest).select(*keys, "_row.*")
+
+
+def compact_windows(spark: SparkSession, path: str, mart: str, question: str,
+                    since: str | None = None) -> None:
+    """Write the current windows to ``mart``, partitioned by window date.
+
+    Without ``since`` the whole table is replaced; with it (a date) only the
+    days from there on are read and replaced, which is what a daily job needs
+    once older windows are closed.
+    """
+    latest = read_latest_windows(spark, path, question, since=since)
+    write_layer(latest.withColumn("window_date", F.to_date("window_start")), mart,
+                partition_by=["window_date"], mode="partitions" if since else "replace")
