@@ -87,7 +87,7 @@ SQL: dict[str, str] = {
     "op8_caps": """
         WITH RECURSIVE vec AS (
             SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-            WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
         link AS (
             SELECT a.vec_id AS a, b.vec_id AS b FROM vec a JOIN vec b
             ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
