@@ -1,7 +1,7 @@
 import zlib
 
 import pytest
-from cases import AWKWARD, docs
+from cases import AWKWARD, docs, rows_of
 from pyspark.sql import functions as F
 
 from tidemark.llm import catalog, sharding
@@ -57,8 +57,9 @@ def test_awkward(spark, rows):
 
 
 def test_written_shards(spark, tmp_path):
-    table = docs(spark, [r for r in AWKWARD if r[0] not in (None, 6)])
-    placed = sharding.document_shards(table, 2)
-    sharding.write_shards(table.select("doc_id", "text"), placed, str(tmp_path / "out"), rows_per_file=2)
+    placed = sharding.document_shards(docs(spark, AWKWARD), 2, carry=("doc_id", "text", "shard", "key"))
+    sharding.write_shards(placed, str(tmp_path / "out"), rows_per_file=2)
     back = spark.read.parquet(str(tmp_path / "out"))
-    assert {(r.doc_id, r.shard) for r in back.collect()} == {(r.doc_id, r.shard) for r in placed.collect()}
+    assert rows_of(back, "doc_id", "text", "shard", "slot") == rows_of(placed.select("row.text", "doc_id", "shard", "slot"),
+                                                                      "doc_id", "text", "shard", "slot")
+    assert back.count() == len(AWKWARD) and set(back.columns) == {"doc_id", "text", "key", "shard", "slot"}

@@ -59,11 +59,11 @@ def _running_sums(lengths: str, part: int = 256) -> str:
             f"flatten(zip_with({parts}, {bases}, (q, base) -> transform({inner}, x -> x + base))) END")
 
 
-def _starts(text: str, found: str, pattern: str) -> str:
-    """SQL for the start of each match: the lengths of the text between matches and of the matches before it."""
+def _pieces(text: str, found: str, pattern: str) -> str:
+    """SQL for each match's length and the length of the text between it and the match before."""
     gaps = f"slice(split({text}, {_sql(pattern)}, -1), 1, size({found}))"
-    return (f"CASE WHEN size({found}) = 0 THEN cast(array() as array<int>) ELSE "
-            f"transform(zip_with({gaps}, {found}, (g, m) -> named_struct('gap', char_length(g), 'len', char_length(m))), x -> x) END")
+    return (f"CASE WHEN size({found}) = 0 THEN cast(array() as array<struct<gap:int,len:int>>) ELSE "
+            f"zip_with({gaps}, {found}, (g, m) -> named_struct('gap', char_length(g), 'len', char_length(m))) END")
 
 
 def _span(kind: int, start: str, end: str) -> str:
@@ -111,9 +111,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     rows = docs.withColumn("__t", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     patterns = {"__assign": ASSIGN, "__access": ACCESS, "__hex": HEX, "__cand": CANDIDATE}
     rows = rows.select("*", *[F.expr(f"regexp_extract_all(__t, {_sql(p)}, 0)").alias(c) for c, p in patterns.items()])
-    lens = {c: _starts("__t", c, p) for c, p in patterns.items()}
-    empty = "cast(array() as array<struct<gap:int,len:int>>)"
-    rows = rows.select("*", *[F.expr(lens[c].replace("cast(array() as array<int>)", empty, 1)).alias(f"{c}_len") for c in patterns],
+    rows = rows.select("*", *[F.expr(_pieces("__t", c, p)).alias(f"{c}_len") for c, p in patterns.items()],
                        F.expr(f"CASE WHEN size(__assign) > 0 THEN regexp_extract_all(__t, {_sql(ASSIGN)}, 2) ELSE array() END").alias("__value"))
     rows = rows.select("*", *[F.expr(f"transform({c}_len, x -> x.gap + x.len)").alias(f"{c}_step") for c in patterns])
     rows = rows.select("*", *[F.expr(_running_sums(f"{c}_step")).alias(f"{c}_sum") for c in patterns])

@@ -14,6 +14,7 @@ number of shards times the parameters below, whatever the input.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -151,21 +152,24 @@ def shard_by_splitters(rows: DataFrame, shards: int) -> DataFrame:
             .drop("tie", "unit", "part", "number", "place"))
 
 
-def document_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, size, text_crc32, key, shard, slot) of documents; equal texts have equal keys.
+def document_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text",
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """(id, size, text_crc32, key, shard, slot[, row]) of documents; equal texts have equal keys.
 
     The size is the text's UTF-8 bytes plus 1; a null text counts as no bytes.
+    ``carry`` names columns of ``docs`` to take along in the struct ``row``.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text).cast("long") + 1).alias("size"),
-                       F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("key"))
+                       F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("key"),
+                       *([F.struct(*carry).alias("row")] if carry else []))
     return shard_by_splitters(rows, shards).withColumnRenamed("id", id_col)
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str, id_col: str = "doc_id",
-                 rows_per_file: int = 100_000) -> None:
-    """Write ``docs`` below ``path``/shard=N/, in slot order within each file."""
-    rows = docs.join(assigned.select(id_col, "shard", "slot"), id_col)
-    block = F.floor(F.col("slot") / rows_per_file)
-    (rows.withColumn("__block", block).repartition("shard", "__block").sortWithinPartitions("shard", "__block", "slot")
-     .drop("__block").write.partitionBy("shard").parquet(path))
+def write_shards(placed: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
+    """Write the carried rows below ``path``/shard=N/, with their slot and in its
+    order within a file.  A carried column named shard or slot gives way."""
+    carried = [F.col(f"row.`{c}`") for c in placed.schema["row"].dataType.names if c not in ("shard", "slot")]
+    block = F.floor(F.col("slot") / rows_per_file).alias("__block")
+    (placed.select(*carried, "shard", "slot", block).repartition("shard", "__block")
+     .sortWithinPartitions("shard", "__block", "slot").drop("__block").write.partitionBy("shard").parquet(path))
