@@ -14,7 +14,7 @@ SF_ORACLE = os.environ.get("TIDEMARK_ORACLE_SF", "/root/testdata/sf0.01")
 @pytest.fixture(scope="session")
 def spark():
     from tidemark.session import local_session
-    session = local_session(cores=4, shuffle_partitions=8, app="tidemark-tests")
+    session = local_session(cores=8, shuffle_partitions=8, app="tidemark-tests")
     yield session
     session.stop()
 

@@ -219,3 +219,10 @@ def test_dedupe_unknown_exchange_comes_last(spark):
     got = {r.ticker: (r.exchange_id, r.close) for r in
            dedupe_by_priority(rows, ["ticker"], ["exchange_id"]).collect()}
     assert got == {"AAA": (1, 11.0), "BBB": (None, 5.0)}
+
+
+def test_quality_report_counts_nan(spark):
+    rows = bars_df(spark, [("A", 1, D(2000, 1, 3), float("nan"), 2.0, 1.0, 1.5, 1.5, 10),
+                           ("A", 1, D(2000, 1, 4), 1.5, 2.0, 1.0, None, 1.5, 10)])
+    got = quality_report(rows, bar_rules(), measures=["open_price", "close_price"]).first()
+    assert (got.total, got.passed, got.nan_open_price, got.nan_close_price) == (2, 1, 1, 0)

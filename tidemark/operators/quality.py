@@ -56,8 +56,11 @@ def clean_bars(df: DataFrame, min_date: str | None = None, date: str = "trade_da
     return apply_rules(df, rules)
 
 
-def quality_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """One row: total rows, rows failing each rule, rows passing all rules.
+def quality_report(df: DataFrame, rules: Mapping[str, Column],
+                   measures: Sequence[str] = ()) -> DataFrame:
+    """One row: total rows, rows failing each rule, rows passing all rules, and
+    per column of ``measures`` the rows where it is NaN (which is greater than
+    any number, so a rule such as ``> 0`` lets it pass).
 
     A single global aggregate with map-side partial counts, so it costs one
     scan and a one-row shuffle whatever the input size.
@@ -65,7 +68,8 @@ def quality_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     failed = [F.count_if(~F.coalesce(rule, F.lit(False))).alias(f"failed_{name}")
               for name, rule in rules.items()]
     passed = F.count_if(F.coalesce(_all(rules), F.lit(False))).alias("passed")
-    return df.agg(F.count(F.lit(1)).alias("total"), *failed, passed)
+    nan = [F.count_if(F.coalesce(F.isnan(c), F.lit(False))).alias(f"nan_{c}") for c in measures]
+    return df.agg(F.count(F.lit(1)).alias("total"), *failed, passed, *nan)
 
 
 def dedupe_by_priority(df: DataFrame, keys: Sequence[str], priority: Sequence[str]) -> DataFrame:

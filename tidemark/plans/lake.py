@@ -23,6 +23,10 @@ from tidemark.schemas import LAYER_TABLES, MARTS
 from tidemark.sources.sinks import run_exports, write_layer
 from tidemark.streaming import questions as sq
 
+# The raw bars are the one layer whose size follows the input volume, and their
+# partition column has a handful of values: they are written as they come.
+AS_THEY_COME = {"bars"}
+
 # layer name -> partition columns
 LAYOUT = {
     "bars": ["exchange_id"],
@@ -49,6 +53,7 @@ class Lake:
 
     def write(self, name: str, df: DataFrame, mode: str = "replace") -> None:
         write_layer(df, self.path(name), partition_by=LAYOUT[name], mode=mode,
+                    rebalance=name not in AS_THEY_COME,
                     max_records_per_file=self.max_records_per_file)
 
     def read(self, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ WRITE_MODES = ("replace", "partitions")
 
 
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "replace",
-                max_records_per_file: int | None = None) -> None:
+                rebalance: bool = True, max_records_per_file: int | None = None) -> None:
     """Write a Parquet layer.
 
     mode="replace" (default): the folder holds the rows of ``df`` afterwards
@@ -27,12 +27,14 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     With ``partition_by`` the rows are rebalanced on the partition columns:
     a task writes few folders, and adaptive execution cuts a partition value
     with many rows (a year of daily metrics) into several tasks by its measured
-    size.  ``max_records_per_file`` caps file size.
+    size.  ``rebalance=False`` saves that shuffle where the partition columns have
+    a handful of values and every task may write its own file for each.
+    ``max_records_per_file`` caps file size.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
     partition_by = list(partition_by)
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode("overwrite").option(
         "partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
