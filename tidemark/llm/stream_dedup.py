@@ -24,6 +24,8 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # Many small stores: without this each one reserves megabytes of disk ahead of its logs.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 BYTES_PER_BATCH = 256 * 1024 ** 2
 # The driver holds one bit for each of so many hash values (1 MB), whatever the input.
