@@ -21,12 +21,18 @@ from tidemark.llm.common import materialize, ship_package
 CHUNK_ROWS = 2000
 
 
+Arrays = dict[str, np.ndarray]
+
+
 def check_buckets(rows: DataFrame, id_col: str, schema: str,
-                  check: Callable[[pd.DataFrame, np.ndarray, np.ndarray], pd.DataFrame | None],
-                  chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                  check: Callable[[Arrays, np.ndarray, np.ndarray], Arrays | None],
+                  chunk_rows: int = CHUNK_ROWS,
+                  prepare: Callable[[pd.DataFrame], Arrays] | None = None) -> DataFrame:
     """``rows`` has a long column ``bucket``; ``check(group, left, right)`` gets
-    the rows of a group and the positions of its two sides (the same array when
-    the group is one chunk) and returns rows of ``schema`` or None.
+    the columns of a group's rows and the positions of its two sides (the same
+    array when the group is one chunk) and returns columns of ``schema`` or None.
+    ``prepare`` turns many rows at once into the arrays that are then cut into
+    groups (by default the columns as they are).
     """
     ship_package(rows.sparkSession)
     big = materialize(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -55,20 +61,20 @@ def check_buckets(rows: DataFrame, id_col: str, schema: str,
             ends = np.r_[starts[1:], len(frame)]
             if not last:
                 rest, starts, ends = frame.iloc[starts[-1]:].reset_index(drop=True), starts[:-1], ends[:-1]
-            found = []
-            for s, e in zip(starts, ends, strict=True):
-                if e - s < 2:
-                    continue
-                group = frame.iloc[s:e]
-                a, b = ids[s][1], ids[s][2]
-                side = group["own"].to_numpy()
-                left = np.flatnonzero(side == a)
-                right = left if a == b else np.flatnonzero(side == b)
-                out = check(group, left, right)
-                if out is not None and len(out):
+            found, several = [], ends - starts > 1
+            if not several.any():
+                continue
+            arrays = prepare(frame) if prepare else {c: frame[c].to_numpy() for c in frame.columns}
+            side = frame["own"].to_numpy()
+            for s, e in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
+                a, b = ids[s, 1], ids[s, 2]
+                left = np.arange(e - s) if a == b else np.flatnonzero(side[s:e] == a)
+                right = left if a == b else np.flatnonzero(side[s:e] == b)
+                out = check({c: v[s:e] for c, v in arrays.items()}, left, right)
+                if out is not None:
                     found.append(out)
             if found:
-                yield pd.concat(found, ignore_index=True)
+                yield pd.DataFrame({c: np.concatenate([f[c] for f in found]) for c in found[0]})
 
     return dealt.repartition(*key).sortWithinPartitions(*key).mapInPandas(run, schema)
 

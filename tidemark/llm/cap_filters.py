@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.buckets import check_buckets, local_roots
+from tidemark.llm.buckets import Arrays, check_buckets, local_roots
 from tidemark.llm.common import map_rows, materialize
 from tidemark.llm.components import connected_components
 
@@ -149,11 +149,29 @@ def dimensions(packed: bytes) -> int:
     return (len(packed) - 1) // (4 if packed[:1] == b"f" else 8)
 
 
+def _arrays(frame: pd.DataFrame) -> Arrays:
+    """Columns for the pair check; the vectors as one matrix where they are alike."""
+    packed = frame["vector"].tolist()
+    if len({(p[:1], len(p)) for p in packed}) == 1:
+        kind = np.float32 if packed[0][:1] == b"f" else np.float64
+        units = np.frombuffer(b"".join([p[1:] for p in packed]), kind).reshape(len(packed), -1).astype(np.float64)
+        units /= np.abs(units).max(axis=1, keepdims=True)
+        units /= np.sqrt((units * units).sum(axis=1, keepdims=True))
+    else:
+        units = np.empty(len(packed), object)
+        units[:] = [unit_vector(p) for p in packed]
+    return {"unit": units, "dims": np.array([len(u) for u in units])} | {c: frame[c].to_numpy() for c in ("id", "copies", "bucket", "buckets")}
+
+
 def _pair_checker(min_cosine: float):
-    def check(group: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> pd.DataFrame | None:
-        ids, weights = group["id"].to_numpy(), group["copies"].to_numpy()
-        units = np.stack([unit_vector(p) for p in group["vector"]])
-        i, j = np.nonzero(units[left] @ units[right].T >= min_cosine - 1e-12)
+    def check(group: Arrays, left: np.ndarray, right: np.ndarray) -> Arrays | None:
+        ids, weights = group["id"], group["copies"]
+        units, dims = group["unit"], group["dims"]
+        if units.ndim == 1:  # other lengths in the same batch, hardly ever in the same bucket
+            units = np.stack([np.pad(u, (0, dims.max() - len(u))) for u in units])
+        i, j = np.nonzero((units[left] @ units[right].T >= min_cosine - 1e-12) & (dims[left][:, None] == dims[right][None, :]))
+        if left is right and len(i) == len(left):
+            return None  # every vector meets only itself
         i, j = left[i], right[j]
         i, j = (i[i < j], j[i < j]) if left is right else (i, j)
         # Decide the border by the same sum in one fixed order, whatever the block.
@@ -164,22 +182,22 @@ def _pair_checker(min_cosine: float):
             return None
         # A pair counts in the first direction it shares: rows of ``before`` are
         # the directions below this bucket's that a vector also exceeds.
-        bucket = group["bucket"].iloc[0]
+        bucket = group["bucket"][0]
         lists = [np.asarray(f, np.int64) for f in group["buckets"]]
         known, at = np.unique(np.concatenate([f[f < bucket] for f in lists]), return_inverse=True)
-        before = np.zeros((len(group), len(known)), np.float32)
-        before[np.repeat(np.arange(len(group)), [int((f < bucket).sum()) for f in lists]), at] = 1.0
+        before = np.zeros((len(ids), len(known)), np.float32)
+        before[np.repeat(np.arange(len(ids)), [int((f < bucket).sum()) for f in lists]), at] = 1.0
         used = np.unique(np.r_[i, j])
-        slot = np.full(len(group), -1)
+        slot = np.full(len(ids), -1)
         slot[used] = np.arange(len(used))
         first = (before[used] @ before[used].T)[slot[i], slot[j]] == 0
         i, j = i[first], j[first]
-        links = np.zeros(len(group), np.int64)
+        links = np.zeros(len(ids), np.int64)
         np.add.at(links, i, weights[j])
         np.add.at(links, j, weights[i])
-        root = local_roots(len(group), i, j)
-        found = np.flatnonzero((links > 0) | (root != np.arange(len(group))))
-        return pd.DataFrame({"id": ids[found], "links": links[found], "root": ids[root[found]]})
+        root = local_roots(len(ids), i, j)
+        found = np.flatnonzero((links > 0) | (root != np.arange(len(ids))))
+        return {"id": ids[found], "links": links[found], "root": ids[root[found]]} if len(found) else None
 
     return check
 
@@ -216,9 +234,10 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
             return [ids, vectors, copies, [directions(codes, unit_vector(v)).tolist() for v in vectors]]
         return step
 
-    lists = map_rows(points, ["id", "vector", "copies"], "id long, vector binary, copies long, buckets array<long>", make_lists)
+    lists = materialize(map_rows(points, ["id", "vector", "copies"],
+                                 "id long, vector binary, copies long, buckets array<long>", make_lists), "cap-lists")
     met = materialize(check_buckets(lists.withColumn("bucket", F.explode("buckets")), "id", "id long, links long, root long",
-                                    _pair_checker(min_cosine), chunk_rows), "cap-links")
+                                    _pair_checker(min_cosine), chunk_rows, _arrays), "cap-links")
     linked = connected_components(met.where("id <> root").select(F.col("id").alias("src"), F.col("root").alias("dst")))
     links = met.groupBy("id").agg(F.sum("links").alias("links"))
     named = points.join(linked.withColumnRenamed("node", "id"), "id", "left").join(links, "id", "left") \

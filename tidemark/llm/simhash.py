@@ -12,12 +12,11 @@ from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.buckets import CHUNK_ROWS, check_buckets, local_roots
+from tidemark.llm.buckets import CHUNK_ROWS, Arrays, check_buckets, local_roots
 from tidemark.llm.common import map_rows, materialize
 from tidemark.llm.components import connected_components
 
@@ -81,13 +80,13 @@ def block_keys(fp, max_bits: int = MAX_BITS) -> list:
 def close_pairs(max_bits: int) -> Callable:
     """Checks one bucket; returns each member's link to the smallest position it reaches."""
 
-    def check(group: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> pd.DataFrame | None:
-        fps = group["fp"].to_numpy()
+    def check(group: Arrays, left: np.ndarray, right: np.ndarray) -> Arrays | None:
+        fps = group["fp"]
         bits = fps.view(np.uint64)
         i, j = np.nonzero(np.bitwise_count(bits[left][:, None] ^ bits[right][None, :]) <= max_bits)
         root = local_roots(len(fps), left[i], right[j])
         moved = np.flatnonzero(root != np.arange(len(fps)))
-        return pd.DataFrame({"src": fps[moved], "dst": fps[root[moved]]})
+        return {"src": fps[moved], "dst": fps[root[moved]]} if len(moved) else None
 
     return check
 
