@@ -33,6 +33,8 @@ MAX_MOVES = 500_000
 MAX_PIECES = 300_000
 # A longer piece is emitted in parts of so many bytes.
 WINDOW = 4096
+TOKEN_BITS = 20
+TOKEN_MASK = (1 << TOKEN_BITS) - 1
 LONGEST_CACHED_PIECE = 64
 DECODE_CHUNK = 4096
 
@@ -77,7 +79,9 @@ class Transducer:
                     self.depths.append(self.depths[node] + 1)
                 node = nxt
             self.ends[node] = rank
-        self.neighbours: dict[tuple[int, int], bool] = {}
+        if max(ranks.values()) >= 1 << TOKEN_BITS:
+            raise ValueError(f"ids must be below {1 << TOKEN_BITS}")
+        self.neighbours: dict[int, bool] = {}
         self._clear()
 
     def _merge(self, piece: bytes) -> tuple[list[int], tuple[int, int] | None]:
@@ -101,7 +105,8 @@ class Transducer:
         before the merge that was just undone.  At equal ranks the pair that
         lies more to the left merges first.
         """
-        known = self.neighbours.get((left, right))
+        pair = left << TOKEN_BITS | right
+        known = self.neighbours.get(pair)
         if known is None:
             if len(self.neighbours) >= self.max_moves:
                 self.neighbours.clear()
@@ -116,7 +121,7 @@ class Transducer:
                     before, b = b + 1, self.halves[b][0]
                 else:
                     break
-            self.neighbours[left, right] = known
+            self.neighbours[pair] = known
         return known
 
     # A state is the places still open, the oldest first: (trie node of the bytes
@@ -126,7 +131,8 @@ class Transducer:
         start = ((0, -1),)
         self.numbers = {start: 0}
         self.states = [start]
-        self.moves: dict[int, tuple[int, int]] = {}
+        # (state, byte) -> (next state, last token), each packed into one number.
+        self.moves: dict[int, int] = {}
 
     def _number(self, state: tuple) -> int:
         number = self.numbers.setdefault(state, len(self.states))
@@ -134,8 +140,8 @@ class Transducer:
             self.states.append(state)
         return number
 
-    def _move(self, number: int, byte: int) -> tuple[int, int]:
-        """Next state, and the last token of the result up to and with this byte."""
+    def _move(self, number: int, byte: int) -> int:
+        """Next state, and the last token of the result up to and with this byte, packed."""
         children, ends = self.children, self.ends
         places, here = [], -1
         for node, last in self.states[number]:
@@ -149,7 +155,7 @@ class Transducer:
         if here < 0:
             raise AssertionError("a prefix without a result")
         places.append((0, here))
-        move = self.moves[number << 8 | byte] = (self._number(tuple(places)), here)
+        move = self.moves[number << 8 | byte] = self._number(tuple(places)) << TOKEN_BITS | here
         return move
 
     def encode(self, piece: bytes) -> list[int]:
@@ -165,9 +171,11 @@ class Transducer:
                 self._clear()
                 number, step = self._number(state), self.moves.get
             for byte in piece[low:low + WINDOW]:
-                move = step(number << 8 | byte) or self._move(number, byte)
-                number, token = move
-                ends.append(token)
+                move = step(number << 8 | byte)
+                if move is None:
+                    move = self._move(number, byte)
+                number = move >> TOKEN_BITS
+                ends.append(move & TOKEN_MASK)
             if low + WINDOW < len(piece):
                 ends = self._settle(number, ends, out)
         at, tail = len(ends), []
