@@ -4,7 +4,8 @@ Three base patterns give spans; a candidate string (a long run of key
 characters with digits) adds spans where the Shannon entropy of a sliding
 window reaches the threshold of the candidate's character class.  The entropy
 is kept up by counts: a step changes the counts of the character that enters
-and of the one that leaves.  Candidates on the allow-list add nothing.
+and of the one that leaves.  Windows over nothing but allowed parts (words, numbers,
+dates, UUIDs) add nothing.
 
 Every step is an expression over one row: no shuffle, no Python.
 """
@@ -35,13 +36,22 @@ CLASSES = (
     ("[0-9a-z]+|[0-9A-Z]+", 3.5),
     ("[A-Za-z0-9+/_=-]+", 3.7),
 )
-# Strings that look random and are no secrets.
-ALLOWED = (
-    r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",     # UUIDs
-    r"[0-9]{4}-[0-9]{2}-[0-9]{2}.*",                                         # dates
-    r"[a-z0-9]*[a-z]+(?:[-_/=+][a-z0-9]*)+",                                 # slugs and paths in small letters
-    r"(?i).*(?:example|sample|dummy|placeholder|changeme|redacted|x{6}|0{8}|12345678|abcdefgh).*",
+# Text that looks random and is no secret.  A candidate is cut into parts at its
+# delimiters; windows that touch allowed parts only add nothing.
+DELIMITER = "[-_/+=]"
+UUID = r"(?<![A-Za-z0-9])(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})(?![A-Za-z0-9])"
+# Words of one case or in camel case, without six consonants in a row, and a short number.
+_WORD = (r"(?![A-Za-z]*?(?i:[bcdfghjklmnpqrstvwxz]{6}))"
+         r"(?:[a-z]+|[A-Z]+|[a-z]*(?:[A-Z]{1,4}[a-z]{2,})++[A-Z]{0,4})[0-9]{0,4}")
+PARTS = (
+    _WORD,
+    r"[0-9]{1,8}|(?:19|20)[0-9]{10}(?:[0-9]{2})?",      # numbers, and dates with their parts or in one piece
+    r"[0-9]{2,8}T[0-9]{2,6}Z?",                          # a day and the hour after it
+    r"[0-9]{1,4}[A-Za-z]{1,2}|[A-Za-z0-9]{1,3}",
+    r"0+|[xX]+|(?i:abcdefghijklmnopqrstuvwxyz|0123456789|1234567890|0123456789abcdef)+",
 )
+# Candidates of nothing but allowed parts.
+ALLOWED = (rf"(?:{DELIMITER}*+(?:{UUID}|{'|'.join(PARTS)})(?![A-Za-z0-9]))*+{DELIMITER}*+",)
 
 
 def _sql(text: str) -> str:
@@ -70,28 +80,54 @@ def _span(kind: int, start: str, end: str) -> str:
     return f"named_struct('start', {start}, 'kind', {kind}, 'end', {end})"
 
 
+def _least(text: str) -> str:
+    """SQL for the least bits a character of the text's class."""
+    return "CASE " + " ".join(f"WHEN {text} RLIKE {_sql(f'^(?:{p})$')} THEN {v!r}D" for p, v in CLASSES) + " END"
+
+
+def _marks(text: str) -> str:
+    """SQL for one struct a character: where its part starts, the part's least bits and whether it is not allowed.
+
+    A delimiter is a part of its own, which no window lies inside.
+    """
+    masked = f"regexp_replace({text}, {_sql(UUID)}, repeat('a', 36))"
+    allowed = f"p RLIKE {_sql(f'^(?:{chr(124).join(PARTS)})$')}"
+    part = f"array_repeat(named_struct('start', b, 'least', coalesce({_least('p')}, 99D), 'bad', NOT ({allowed})), char_length(p))"
+    each = f"concat({part}, array(named_struct('start', b + char_length(p) + 1, 'least', 99D, 'bad', false)))"
+    # Parts and lengths are bound as the only element of an array, so that they are worked out once.
+    starts = f"flatten(transform(array(transform(parts, p -> char_length(p) + 1)), lengths -> {_running_sums('lengths')}))"
+    return f"flatten(transform(array(split({masked}, {_sql(DELIMITER)}, -1)), parts -> flatten(zip_with(parts, {starts}, (p, b) -> {each}))))"
+
+
 def _entropy(candidate: str) -> str:
-    """SQL for the joined windows of one candidate (c.text, c.least) whose entropy is high enough, from 0."""
+    """SQL for the joined windows of one candidate (c.text, c.least) whose entropy is high enough, from 0.
+
+    A window inside one part is held to that part's class.
+    """
     weights = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 2)]
     g = "array(" + ", ".join(f"{w!r}D" for w in weights) + ")"
-    codes = f"transform(filter(split({candidate}.text, ''), x -> x <> ''), x -> instr('{ALPHABET}', x))"
-    zero = (f"named_struct('i', 0, 'counts', array_repeat(0, {len(ALPHABET)}), 'sum', 0D, 'from', -1, 'to', -1, "
+    chars = f"filter(split({candidate}.text, ''), x -> x <> '')"
+    codes = (f"zip_with({chars}, slice({_marks(f'{candidate}.text')}, 1, char_length({candidate}.text)), (x, m) -> "
+             f"named_struct('x', instr('{ALPHABET}', x), 'start', m.start, 'least', m.least, 'bad', m.bad))")
+    zero = (f"named_struct('i', 0, 'counts', array_repeat(0, {len(ALPHABET)}), 'sum', 0D, 'bad', -1, 'from', -1, 'to', -1, "
             "'out', cast(array() as array<struct<from:int,to:int>>))")
-    # t.leave is the code that leaves (0: none), t.sum the sum of n log n afterwards.
-    left = f"CASE WHEN s.i >= {WINDOW} THEN codes[s.i - {WINDOW}] ELSE 0 END"
-    moved = (f"s.sum + CASE WHEN x = ({left}) THEN 0D ELSE {g}[s.counts[x - 1] + 1] - {g}[s.counts[x - 1]] + "
-             f"CASE WHEN s.i >= {WINDOW} THEN {g}[s.counts[codes[s.i - {WINDOW}] - 1] - 1] - {g}[s.counts[codes[s.i - {WINDOW}] - 1]] ELSE 0D END END")
-    high = f"s.i >= {WINDOW - 1} AND {math.log2(WINDOW)!r}D - ({moved}) / {WINDOW} >= {candidate}.least"
+    # left is the code that leaves (0: none), moved the sum of n log n afterwards.
+    left = f"CASE WHEN s.i >= {WINDOW} THEN codes[s.i - {WINDOW}].x ELSE 0 END"
+    leaving = f"s.counts[codes[s.i - {WINDOW}].x - 1]"
+    moved = (f"s.sum + CASE WHEN e.x = ({left}) THEN 0D ELSE {g}[s.counts[e.x - 1] + 1] - {g}[s.counts[e.x - 1]] + "
+             f"CASE WHEN s.i >= {WINDOW} THEN {g}[{leaving} - 1] - {g}[{leaving}] ELSE 0D END END")
     begins = f"s.i - {WINDOW - 1}"
+    bad = "CASE WHEN e.bad THEN s.i ELSE s.bad END"
+    high = (f"s.i >= {WINDOW - 1} AND {bad} >= {begins} AND {math.log2(WINDOW)!r}D - ({moved}) / {WINDOW} >= "
+            f"CASE WHEN e.start <= {begins} THEN e.least ELSE {candidate}.least END")
     joins = f"s.to >= {begins}"
-    step = (f"named_struct('i', s.i + 1, 'counts', transform(s.counts, (n, k) -> n + CASE WHEN k = x - 1 THEN 1 ELSE 0 END "
-            f"- CASE WHEN k = ({left}) - 1 THEN 1 ELSE 0 END), 'sum', {moved}, "
+    step = (f"named_struct('i', s.i + 1, 'counts', transform(s.counts, (n, k) -> n + CASE WHEN k = e.x - 1 THEN 1 ELSE 0 END "
+            f"- CASE WHEN k = ({left}) - 1 THEN 1 ELSE 0 END), 'sum', {moved}, 'bad', {bad}, "
             f"'from', CASE WHEN NOT ({high}) OR ({joins}) THEN s.from ELSE {begins} END, "
             f"'to', CASE WHEN {high} THEN s.i + 1 ELSE s.to END, "
             f"'out', CASE WHEN {high} AND NOT ({joins}) AND s.from >= 0 THEN concat(s.out, array(named_struct('from', s.from, 'to', s.to))) ELSE s.out END)")
     end = "CASE WHEN s.from >= 0 THEN concat(s.out, array(named_struct('from', s.from, 'to', s.to))) ELSE s.out END"
-    # The codes are bound as the only element of an array, so that they are worked out once.
-    return f"flatten(transform(array({codes}), codes -> aggregate(codes, {zero}, (s, x) -> {step}, s -> {end})))"
+    return f"flatten(transform(array({codes}), codes -> aggregate(codes, {zero}, (s, e) -> {step}, s -> {end})))"
 
 
 def _joined(spans: Column) -> Column:
@@ -122,10 +158,9 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     base = (f"array_sort(concat({spans('__assign', 0, f'char_length(__value[i]) >= {ASSIGN_LEAST}')}, "
             f"{spans('__access', 1, f'x.end - x.start >= {ACCESS_LEAST}')}, {spans('__hex', 2)}))")
-    least = "CASE " + " ".join(f"WHEN m RLIKE {_sql(f'^(?:{p})$')} THEN {v!r}D" for p, v in CLASSES) + " END"
     allowed = " OR ".join(f"c.text RLIKE {_sql(f'^(?:{a})$')}" for a in ALLOWED)
     rows = rows.select("*", F.expr(base).alias("__base"), F.expr(
-        f"filter(zip_with(zip_with(__cand, __cand_len, (m, x) -> named_struct('text', m, 'gap', x.gap, 'least', {least})), __cand_sum, "
+        f"filter(zip_with(zip_with(__cand, __cand_len, (m, x) -> named_struct('text', m, 'gap', x.gap, 'least', {_least('m')})), __cand_sum, "
         f"(c, b) -> named_struct('text', c.text, 'start', b + c.gap, 'least', c.least)), "
         f"c -> char_length(regexp_replace(c.text, '[^0-9]', '')) >= {LEAST_DIGITS} AND NOT ({allowed}))").alias("__kept"))
     extra = (f"flatten(transform(__kept, c -> transform({_entropy('c')}, w -> {_span(3, 'c.start + w.from', 'c.start + w.to')})))")
