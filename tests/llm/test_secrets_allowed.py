@@ -37,3 +37,10 @@ def test_words_dates_and_uuids_add_nothing(spark):
     assert spans_of(spark, PLAIN) == [[]] * len(PLAIN)
     long = ["some/path-of_words=" * 2000, "Word" * 5000, "a1-" * 5000]
     assert spans_of(spark, long) == [[]] * 3 and all(re.fullmatch(S.ALLOWED[0], x) for x in long)
+
+
+def test_keys_with_few_digits_are_found(spark):
+    keys = ["kQzXvRbTnWpLsHdGfJmC", "kQzXvRbTnW4pLsHdGfJmC", "kQzXvRb7TnWpLsHdGf2JmC/YqBx", "QZXVRBTNWPLSHDGFJMCK", "qzxvrbtnwplshdgfjmck"]
+    words = ["internationalization", "getElementsByTagNameAndClass", "AbstractSingletonProxyFactoryBean", "some-long-slug-without-any-digits"]
+    found = spans_of(spark, keys + words)
+    assert found == [[(0, len(k))] for k in keys] + [[]] * len(words)

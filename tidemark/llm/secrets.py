@@ -1,11 +1,11 @@
 """Secret scan with DataFrame functions only.
 
 Three base patterns give spans; a candidate string (a long run of key
-characters with digits) adds spans where the Shannon entropy of a sliding
+characters with a letter) adds spans where the Shannon entropy of a sliding
 window reaches the threshold of the candidate's character class.  The entropy
 is kept up by counts: a step changes the counts of the character that enters
-and of the one that leaves.  Windows over nothing but allowed parts (words, numbers,
-dates, UUIDs) add nothing.
+and of the one that leaves.  Windows over nothing but allowed parts (words,
+numbers, dates, UUIDs) add nothing.
 
 Every step is an expression over one row: no shuffle, no Python.
 """
@@ -29,8 +29,8 @@ HEX = r"[0-9a-f]{16,}"
 # Candidates, their classes (the first that fits counts) and least bits a character.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
-LEAST_DIGITS = 3
-CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
+LEAST_DIGITS = 0  # the entropy decides, keys without digits are candidates too
+CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 CLASSES = (
     ("[0-9a-f]+|[0-9A-F]+", 3.0),
     ("[0-9a-z]+|[0-9A-Z]+", 3.5),
@@ -42,7 +42,7 @@ DELIMITER = "[-_/+=]"
 UUID = r"(?<![A-Za-z0-9])(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})(?![A-Za-z0-9])"
 # Words of one case or in camel case, without six consonants in a row, and a short number.
 _WORD = (r"(?![A-Za-z]*?(?i:[bcdfghjklmnpqrstvwxz]{6}))"
-         r"(?:[a-z]+|[A-Z]+|[a-z]*(?:[A-Z]{1,4}[a-z]{2,})++[A-Z]{0,4})[0-9]{0,4}")
+         r"(?:[a-z]+|[A-Z]+|[a-z]*(?:[A-Z]{1,6}[a-z]{2,}|(?:As|At|By|Do|Id|If|In|Is|My|No|Of|On|Or|To|Up))++[A-Z]{0,4})[0-9]{0,4}")
 PARTS = (
     _WORD,
     r"[0-9]{1,8}|(?:19|20)[0-9]{10}(?:[0-9]{2})?",      # numbers, and dates with their parts or in one piece
