@@ -37,6 +37,9 @@ comment comments consent cookie cookies copyright disqus dropdown footer form gd
 navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion recommended
 related replies reply respond search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription
 toolbar topbar widget widgets""".split())
+THREAD_NAMES = frozenset("comment comments disqus replies reply respond".split())
+PHRASING = frozenset("""a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark output q s samp small span strong
+sub sup time tt u var""".split())
 LEFT_OUT_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 LIKELY_NAMES = frozenset("article blog body content entry hentry main page post story text".split())
 
@@ -54,6 +57,18 @@ class Container:
     score: float = 0.0
 
 
+@dataclass(slots=True)
+class Named:
+    """An element whose class or id has a word of ``LEFT_OUT_NAMES``; outer is the named element around it."""
+
+    outer: int
+    step: str
+    thread: bool
+    titled: bool = False
+    weight: float = 0.0
+    ignored: bool = False
+
+
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(next(v for v in (m[2], m[3], m[4]) if v is not None))
             for m in _ATTR.finditer(raw)}
@@ -75,19 +90,77 @@ def _step(tag: str, classes: str) -> str:
     return ".".join([tag, *sorted(kept)])
 
 
-def parse(page: str) -> tuple[list[Container], list[tuple[int, str, float]]]:
+def _without_named(containers: list[Container], blocks: list[tuple[int, str, float]], named: list[Named],
+                   where: list[tuple[int, int]], articles: list[int]) -> list[tuple[int, str, float]]:
+    """The blocks that the name rule leaves.  ``where`` has (named element, article) of each block, ``articles`` the
+    named element around each article or main.
+
+    The name is ignored on an element that holds more running text than all that is left, and on those around it: a
+    wrapper named for its layout.  Counted are its text outside named elements within, or its largest article.  Where
+    it has no title and no article, the rest must not hold a likely container with a good share of its text, and a
+    thread of comments is never taken for the page.
+    """
+    worth = [len(text) * (1.0 - links) for _, text, links in blocks]
+    clean, inner = [0.0] * len(named), [0.0] * len(articles)
+    for w, (n, a) in zip(worth, where, strict=True):
+        if n >= 0:
+            clean[n] += w
+            if a >= 0 and articles[a] == n:
+                inner[a] += w
+    largest: dict[int, float] = {}
+    for n, w in zip(articles, inner, strict=True):
+        if n >= 0 and w > 0:
+            largest[n] = max(largest.get(n, 0.0), w)
+    for n, e in enumerate(named):
+        e.weight, e.titled = largest.get(n, clean[n]), e.titled or n in largest
+
+    def ignore(n: int) -> None:
+        while n >= 0 and not named[n].ignored:
+            named[n].ignored = True
+            n = named[n].outer
+
+    rest = likely = 0.0
+
+    def count() -> None:
+        nonlocal rest, likely
+        rest = likely = 0.0
+        for w, (at, _, _), (n, _) in zip(worth, blocks, where, strict=True):
+            if n < 0 or named[n].ignored:
+                rest += w
+                likely += w if containers[at].likely else 0.0
+
+    count()
+    for n in sorted((n for n, e in enumerate(named) if e.weight > 0), key=lambda n: -named[n].weight):
+        e = named[n]
+        if e.weight <= rest:
+            break
+        if not e.ignored and (e.titled or not e.thread and likely < 0.25 * e.weight):
+            for k, other in enumerate(named):
+                if other.step == e.step and other.outer == e.outer:
+                    ignore(k)
+            count()
+    return [b for b, (n, _) in zip(blocks, where, strict=True) if n < 0 or named[n].ignored]
+
+
+def parse(page: str, by_name: bool = True) -> tuple[list[Container], list[tuple[int, str, float]]]:
     """Containers of the page, and its blocks as (container, text, share of link text).
 
     Blocks of menus, headers, footers, sidebars, notices, adverts, forms and
     comments are left out, as are scripts, styles and markup.  Unclosed and
-    wrongly nested tags are closed where a browser would.
+    wrongly nested tags are closed where a browser would.  What classes and ids
+    name is left out unless it holds the page's text (``_without_named``), and
+    a page of which nothing would be left is read without that rule.
     """
     containers = [Container("", -1, False)]
     blocks: list[tuple[int, str, float]] = []
-    # Open elements: (tag, container, left out, inside a link).
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    named: list[Named] = []
+    articles: list[int] = []
+    where: list[tuple[int, int]] = []
+    # Open elements: (tag, container, left out, inside a link, named element, article).
+    stack: list[tuple[str, int, bool, bool, int, int]] = [("", 0, False, False, -1, -1)]
     held: list[str] = []
     links = 0
+    skipped = False
 
     def close_block() -> None:
         nonlocal links
@@ -95,12 +168,13 @@ def parse(page: str) -> tuple[list[Container], list[tuple[int, str, float]]]:
             text = " ".join(html.unescape("".join(held)).split())
             if text and not stack[-1][2]:
                 blocks.append((stack[-1][1], text, min(1.0, links / len(text))))
+                where.append(stack[-1][4:])
             held.clear()
         links = 0
 
     def pop_to(depth: int) -> None:
         while len(stack) > depth:
-            if stack[-1][0] in BLOCK:
+            if stack[-1][0] in BLOCK or stack[-1][4] != stack[-2][4]:
                 close_block()
             stack.pop()
 
@@ -162,26 +236,38 @@ def parse(page: str) -> tuple[list[Container], list[tuple[int, str, float]]]:
         if name in VOID:
             write(" ")
             continue
-        _, inside, out, link = stack[-1]
+        _, inside, out, link, around, article = stack[-1]
         given = _attributes(tag[4]) if tag[4] else {}
         words = _names(given.get("class", "") + " " + given.get("id", ""))
         if not out:
-            out = (name in LEFT_OUT or given.get("role", "").lower() in LEFT_OUT_ROLES or "hidden" in given
-                   or (name not in ("html", "body", "article", "main") and bool(words & LEFT_OUT_NAMES)))
+            out = name in LEFT_OUT or given.get("role", "").lower() in LEFT_OUT_ROLES or "hidden" in given
+            if by_name and not out and name not in ("html", "body", "article", "main") and words & LEFT_OUT_NAMES:
+                if name in PHRASING:
+                    out = skipped = True
+                else:
+                    close_block()
+                    named.append(Named(around, _step(name, given.get("class", "")), bool(words & THREAD_NAMES)))
+                    around = len(named) - 1
             if out and name not in BLOCK and held:
                 # An inline element that is left out does not end its block: skip to its end.
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
                 at = end.end() if end else at
                 continue
+        if name == "h1" and around >= 0 and not out:
+            named[around].titled = True
+        if name in ("article", "main") and not out and not words & LEFT_OUT_NAMES:
+            articles.append(around)
+            article = len(articles) - 1
         if name in CONTAINER and not out:
             step = _step(name, given.get("class", ""))
             path = f"{containers[inside].path}>{step}" if containers[inside].path else step
             containers.append(Container(path, inside, name in ("article", "main") or bool(words & LIKELY_NAMES)))
             inside = len(containers) - 1
-        stack.append((name, inside, out, link or name == "a"))
+        stack.append((name, inside, out, link or name == "a", around, article))
     pop_to(1)
     close_block()
-    return containers, blocks
+    left = _without_named(containers, blocks, named, where, articles) if named else blocks
+    return (containers, left) if left or not (named or skipped) else parse(page, by_name=False)
 
 
 def score(containers: list[Container], blocks: list[tuple[int, str, float]]) -> int | None:
