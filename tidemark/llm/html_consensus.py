@@ -1,6 +1,6 @@
 """Main text of web pages by consensus host paths.
 
-Every page's containers are scored; the best one votes, by its path of tags and
+Every page's containers are scored; the best one, widened to the article it is part of, votes, by its path of tags and
 classes with changing parts removed, for how pages of its host are built.  The
 votes are counted per host in Spark and each page is read again with the paths
 that won on its host.
@@ -19,6 +19,9 @@ from tidemark.llm.common import map_rows, materialize
 
 # Paths with at least this share of a host's votes win (so at most 20 a host).
 WINNING_SHARE = 0.05
+# Blocks beside the best container belong to it up to this share of link text; one of them has so many characters.
+FEW_LINKS = 0.3
+RUNNING = 20
 
 # Fixed values of HTML and of common page design.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -291,10 +294,66 @@ def _within(containers: list[Container], path: str) -> set[int]:
     return found
 
 
+def _tag(container: Container) -> str:
+    return container.path.rpartition(">")[2].partition(".")[0]
+
+
+def widen(containers: list[Container], blocks: list[tuple[int, str, float]], best: int) -> int:
+    """The container of the whole article around the best one: headline, lead and trailing text beside it belong to it.
+
+    That is the nearest article around it, or the nearest main whose other
+    blocks have few links; else its outer container, as long as the blocks that
+    this adds have few links and lie directly in it.  One named for an article
+    may also add those of other containers in it.
+    """
+    last = list(range(len(containers)))
+    for k in range(len(containers) - 1, 0, -1):
+        last[containers[k].outer] = max(last[containers[k].outer], last[k])
+    upto = [0] * (len(containers) + 1)
+    for at, _, _ in blocks:
+        upto[at + 1] += 1
+    for k in range(len(containers)):
+        upto[k + 1] += upto[k]
+
+    def held(k: int) -> int:
+        return upto[last[k] + 1] - upto[k]
+
+    inside = _within(containers, containers[best].path)
+
+    def added(k: int) -> list[tuple[int, str, float]]:
+        return [b for b in blocks if k <= b[0] <= last[k] and b[0] not in inside]
+
+    def running(more: list[tuple[int, str, float]]) -> bool:
+        size = sum(len(text) for _, text, _ in more)
+        return sum(len(text) * links for _, text, links in more) <= FEW_LINKS * size
+
+    if _tag(containers[best]) in ("article", "main"):
+        return best
+    k = containers[best].outer
+    while k > 0 and _tag(containers[k]) not in ("article", "main"):
+        k = containers[k].outer
+    if k > 0 and (_tag(containers[k]) == "article" or running(added(k))):
+        return k
+    k, seen = containers[best].outer, held(best)
+    while k >= 0:
+        if held(k) > seen:
+            more, seen = added(k), held(k)
+            if more:
+                own = [b for b in more if b[0] == k]
+                whole = len(own) == len(more) or (containers[k].likely and _tag(containers[k]) != "body")
+                if not whole or not running(more) or max(len(b[1]) for b in more) < RUNNING and not containers[k].likely:
+                    break
+                best, inside = k, _within(containers, containers[k].path)
+        k = containers[k].outer
+    return best
+
+
 def vote(page: str | None) -> str | None:
     """The path a page votes for; None for a page without text."""
     containers, blocks = parse(page or "")
     best = score(containers, blocks)
+    if best is not None:
+        best = widen(containers, blocks, best)
     return None if best is None else containers[best].path
 
 
@@ -308,7 +367,7 @@ def extract(page: str | None, winners: list[str]) -> str:
     best = score(containers, blocks)
     if best is None:
         return ""
-    own = containers[best].path
+    own = containers[widen(containers, blocks, best)].path
     for path in [own] if own in winners else [*winners, own]:
         inside = _within(containers, path)
         texts = [text for at, text, _ in blocks if at in inside]
