@@ -2,7 +2,8 @@
 
 Token weights are raked until the shares of sources, languages and topics meet
 their targets; a document is then drawn with a probability in proportion to the
-weight of its cell.  Cells are summed before anything is gathered.  Languages
+weight of its cell.  Where that would exceed 1, such cells are kept whole and the
+rest is raked again, so that the drawn tokens meet the targets.  Cells are summed before anything is gathered.  Languages
 and topics are few, sources may be many: the fit keeps one factor per language
 and topic on the driver, and a pass over the table of sources gives every
 source's factor from those.
@@ -10,6 +11,7 @@ source's factor from those.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,11 +50,14 @@ def topic_of(text: Column) -> Column:
 class Mix:
     """A fitted mix: weights per token are source factor x pair factor."""
 
-    factors: DataFrame                       # source key, factor
+    factors: DataFrame                       # source key, factor, keep_factor
     pairs: dict[tuple[str, str], float]      # (lang key, topic key) -> factor
     passes: int
     error: float                             # largest miss of a language or topic share
-    scale: float                             # probability = min(1, scale x weight)
+    scale: float                             # probability = scale x weight where that nowhere exceeds 1
+    keep_pairs: dict[tuple[str, str], float]  # probability = min(1, keep_factor x this)
+    miss: float                              # largest miss of a share among the tokens expected to be kept
+    converged: bool                          # all shares are met, or come as near as the tokens there are allow
 
 
 def _key(column: str) -> Column:
@@ -127,12 +132,108 @@ def fit(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
         sums = np.bincount(col, base * b[row], len(topics))
         c = np.divide(want_col, sums, out=np.zeros_like(c), where=sums > 0)
 
-    factors = materialize(with_factor(b[row] * c[col]).select("source", F.coalesce("factor", F.lit(0.0)).alias("factor"), "cells"), "mix-factors")
-    weight = F.expr("x.n"), F.col("factor") * F.expr("array(" + ",".join(f"{x!r}D" for x in (b[row] * c[col]).tolist()) + ")[x.at]")
+    converged = bool(error <= tolerance)
+    if not converged:
+        warnings.warn(f"raking ended after {passes} passes with a share {error:.2g} off its target", stacklevel=2)
+    pair = b[row] * c[col]
+    factors = materialize(with_factor(pair).select("source", F.coalesce("factor", F.lit(0.0)).alias("factor"), "want", "cells"), "mix-factors")
+    weight = F.expr("x.n"), F.col("factor") * F.expr(f"{_array(pair)}[x.at]")
     each = factors.select(F.explode("cells").alias("x"), "factor").select(weight[0].alias("n"), weight[1].alias("w"))
     scale = _scale(each, keep_share * float(mass.sum()), float(mass.sum()))
-    return Mix(factors.select("source", "factor"), {(langs[r], topics[k]): float(b[r] * c[k]) for r, k in zip(row, col, strict=True)},
-               passes, float(error), scale)
+    top, reach = each.where("w > 0").agg(F.max("w"), F.sum("n")).first()
+    keep, miss = pair, float(error)
+    if top * scale > 1.0:
+        axes = (row, want_row), (col, want_col)
+        factors, keep, miss, met = _keep_whole(factors, pair, scale, axes, min(keep_share * float(mass.sum()), float(reach)), tolerance, max_passes)
+        converged = converged and met
+    else:
+        factors = factors.withColumn("keep_factor", F.col("factor") * F.lit(scale))
+    named = [(langs[r], topics[k]) for r, k in zip(row, col, strict=True)]
+    return Mix(factors.select("source", "factor", "keep_factor"), dict(zip(named, pair.tolist(), strict=True)),
+               passes, float(error), scale, dict(zip(named, keep.tolist(), strict=True)), miss, converged)
+
+
+def _array(values: np.ndarray) -> str:
+    return "array(" + ",".join(f"{x!r}D" for x in values.tolist()) + ")"
+
+
+def _within_reach(want: np.ndarray, most: np.ndarray, goal: float) -> np.ndarray:
+    """Tokens of each value, sum ``goal``: in proportion to ``want``, but all there are where that is more."""
+    full = np.zeros(len(want), bool)
+    while True:
+        rest = want[~full].sum()
+        each = np.where(full, most, want * ((goal - most[full].sum()) / rest if rest > 0 else 0.0))
+        over = ~full & (each > most)
+        if not over.any():
+            return each
+        full |= over
+
+
+def _keep_whole(factors: DataFrame, pair: np.ndarray, scale: float, axes: tuple, goal: float, tolerance: float,
+                max_passes: int) -> tuple[DataFrame, np.ndarray, float, bool]:
+    """Rakes the probabilities min(1, keep_factor x pair factor) until the expected tokens meet the targets.
+
+    A value whose target exceeds its tokens keeps them all and the others share
+    the rest, so ``goal`` is met.  Returns the factors with keep_factor, the
+    pair factors, the largest miss of a target share and whether it converged.
+    """
+    live = F.expr(f"filter(cells, c -> {_array(pair)}[c.at] > 0)")
+    sources = factors.withColumn("live", F.when(F.col("factor") > 0, live).otherwise(F.expr("filter(cells, c -> false)")))
+    sources = sources.withColumn("most", F.expr("aggregate(live, 0D, (s, c) -> s + c.n)"))
+    sources = materialize(sources, "mix-live")
+    most = np.zeros(len(pair))
+    for r in sources.select(F.explode("live").alias("x")).groupBy("x.at").agg(F.sum("x.n").alias("n")).collect():
+        most[r["at"]] = r["n"]
+    aims = [_within_reach(want, np.bincount(at, most, len(want)), goal) for at, want in axes]
+
+    # The level of the source targets: the sum of min(most, level x want) is the goal.
+    some = sources.where("most > 0 AND want > 0")
+    level = _scale(some.select(F.col("most").alias("n"), (F.col("want") / F.col("most")).alias("w")), goal, goal)
+    sources = sources.withColumn("aim", F.least("most", F.col("want") * F.lit(level)))
+
+    def with_keep(g: np.ndarray) -> DataFrame:
+        # The sum of n x min(1, f x g) is the least of the lines that take the largest g as kept whole, so f is the largest solution.
+        step = ("named_struct('n', s.n + c.n, 'g', s.g + c.n * c.g, 'f', greatest(s.f, (aim - most + s.n + c.n) / (s.g + c.n * c.g)))")
+        ordered = f"array_sort(transform(live, c -> named_struct('g', {_array(g)}[c.at], 'n', c.n)))"
+        return sources.withColumn("keep_factor", F.expr(
+            f"CASE WHEN size(live) = 0 THEN 0D WHEN aim >= most * (1 - 1e-12D) THEN 1 / array_min(transform(live, c -> {_array(g)}[c.at])) "
+            f"ELSE aggregate({ordered}, named_struct('n', 0D, 'g', 0D, 'f', 0D), (s, c) -> {step}, s -> s.f) END"))
+
+    factor = [np.ones(len(want)) for _, want in axes]
+    passes, offs = 0, []
+    while True:
+        g = pair * scale * np.prod([f[at] for f, (at, _) in zip(factor, axes, strict=True)], axis=0)
+        chance = F.col("keep_factor") * F.expr(f"{_array(g)}[x.at]")
+        got = with_keep(g).select("keep_factor", F.explode("live").alias("x")).select("x.at", "x.n", chance.alias("p")).groupBy("at").agg(
+            F.sum(F.when(F.col("p") >= 1, F.col("n")).otherwise(0.0)).alias("whole"),
+            F.sum(F.when(F.col("p") < 1, F.col("n") * F.col("p")).otherwise(0.0)).alias("part")).collect()
+        whole, part = np.zeros(len(pair)), np.zeros(len(pair))
+        for r in got:
+            whole[r["at"]], part[r["at"]] = r["whole"], r["part"]
+        sums = [np.bincount(at, whole + part, len(want)) for at, want in axes]
+        off = max(np.abs(now - aim).max() for now, aim in zip(sums, aims, strict=True)) / goal
+        passes += 1
+        offs.append(off)
+        # Shares that cannot all be met together come no nearer after some passes.
+        if off <= tolerance or passes >= max_passes or passes > 12 and min(offs[-10:]) > 0.999 * min(offs[:-10]):
+            break
+        for k, (at, want) in enumerate(axes):
+            fixed, free = np.bincount(at, whole, len(want)), np.bincount(at, part, len(want))
+            ask = aims[k] - fixed
+            # With too much kept whole already, the value is lowered as a whole.
+            change = np.where(ask > 0, np.divide(ask, free, out=np.ones(len(want)), where=free > 0),
+                              np.divide(aims[k], fixed + free, out=np.ones(len(want)), where=fixed + free > 0))
+            change = np.clip(change, 0.1, 10.0)
+            factor[k] = factor[k] * change
+            part = part * change[at]
+    total = sources.agg(F.sum("want")).first()[0]
+    source_miss = sources.agg(F.max(F.abs(F.col("aim") / F.lit(goal) - F.col("want") / F.lit(total)))).first()[0]
+    miss = max([np.abs(now / now.sum() - want).max() for now, (_, want) in zip(sums, axes, strict=True)] + [source_miss])
+    if off > tolerance:
+        warnings.warn(f"raking of the probabilities ended after {passes} passes with a share {off:.2g} off what can be met", stacklevel=3)
+    if miss > tolerance:
+        warnings.warn(f"a share of the tokens to keep is {miss:.2g} off its target: too few tokens for the share kept", stacklevel=3)
+    return materialize(with_keep(g), "mix-keep"), g, float(miss), bool(off <= tolerance)
 
 
 def _scale(cells: DataFrame, goal: float, total: float) -> float:
@@ -162,11 +263,14 @@ def apply_mix(docs: DataFrame, mix: Mix | None, id_col: str = "doc_id") -> DataF
     """
     if mix is None:
         return docs.withColumns({"mix_weight": F.lit(0.0), "keep_prob": F.lit(0.0), "kept": F.lit(False)})
-    pair = F.create_map(*[F.lit(x) for (a, b), v in mix.pairs.items() for x in (f"{a}\1{b}", v)])
+    pair, keep = (F.create_map(*[F.lit(x) for (a, b), v in found.items() for x in (f"{a}\1{b}", v)]) for found in (mix.pairs, mix.keep_pairs))
     joined = docs.withColumn("__source", _key("source")).join(
-        mix.factors.select(F.col("source").alias("__source"), F.col("factor").alias("__factor")), "__source", "left")
-    weight = F.when(F.col("tokens") > 0, F.col("__factor") * pair[F.concat_ws("\1", _key("lang"), _key("topic"))])
+        mix.factors.select(F.col("source").alias("__source"), F.col("factor").alias("__factor"), F.col("keep_factor").alias("__keep")),
+        "__source", "left")
+    at = F.concat_ws("\1", _key("lang"), _key("topic"))
+    weight = F.when(F.col("tokens") > 0, F.col("__factor") * pair[at])
+    chance = F.when(F.col("tokens") > 0, F.col("__keep") * keep[at])
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col(id_col)), 11) / F.lit(float(1 << 53))
     return (joined.withColumn("mix_weight", F.coalesce(weight, F.lit(0.0)))
-            .withColumn("keep_prob", F.least(F.lit(1.0), F.col("mix_weight") * F.lit(mix.scale)))
-            .withColumn("kept", draw < F.col("keep_prob")).drop("__source", "__factor"))
+            .withColumn("keep_prob", F.least(F.lit(1.0), F.coalesce(chance, F.lit(0.0))))
+            .withColumn("kept", draw < F.col("keep_prob")).drop("__source", "__factor", "__keep"))
