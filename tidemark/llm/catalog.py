@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, cap_filters, ecoc_langid, html_consensus, mixing, secrets, sharding, simhash, stream_dedup, warc
+from tidemark.llm import (
+    bpe, cap_filters, ecoc_langid, html_consensus, mixing, prefix_trie, secrets, sharding, simhash, stream_dedup, warc,
+)
 from tidemark.llm.common import materialize, read_table, scratch_dir
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -70,6 +72,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def op11_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_splitters": op1_splitters,
     "op2_secret_entropy": op2_secret_entropy,
@@ -81,9 +87,38 @@ QUERIES = {
     "op8_caps": op8_caps,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
+    "op11_collapse": op11_collapse,
 }
 
+# CRC-32 of a string of digits: every byte is followed by eight shifts.
+_CRC32 = """(4294967295 - list_reduce(
+                list_prepend(4294967295, flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda s, y: CASE WHEN y >= 0 THEN xor(s, y) ELSE xor(s >> 1, CASE WHEN s & 1 = 1 THEN 3988292384 ELSE 0 END) END))"""
+
 SQL: dict[str, str] = {
+    "op11_collapse": """
+        WITH own AS (
+            SELECT conv_id, list((coalesce(role, ''), coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns,
+                   """ + _CRC32.format(text="conv_id::VARCHAR") + """ % 6 AS h
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        built AS (
+            SELECT a.conv_id, list_concat(coalesce(b.turns, [])[:a.h], a.turns[a.h + 1:]) AS turns
+            FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+        member AS (
+            SELECT conv_id, d, turns[:d] AS node, turns[d][2] AS last, len(turns) = d AS ends
+            FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM built)),
+        node AS (
+            SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(length(any_value(last)), 0) AS size,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+            FROM member GROUP BY d, node),
+        child AS (SELECT node[:d - 1] AS node, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+        full_node AS (SELECT node.*, coalesce(child.n, 0) AS n_children FROM node LEFT JOIN child USING (node)),
+        above AS (SELECT *, node[:k] AS top FROM (SELECT *, unnest(range(d + 1)) AS k FROM full_node)),
+        total AS (
+            SELECT top AS node, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((n_convs - 1) * size)::BIGINT AS saved_tokens
+            FROM above GROUP BY top)
+        SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, total.n_leaves, total.saved_tokens, n.ends_sha256
+        FROM full_node n JOIN total USING (node) LEFT JOIN node p ON n.d > 0 AND p.node = n.node[:n.d - 1]""",
     "op8_caps": """
         WITH RECURSIVE vec AS (
             SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
