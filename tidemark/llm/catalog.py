@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, cap_filters, ecoc_langid, html_consensus, mixing, prefix_trie, secrets, sharding, simhash, stream_dedup, warc,
+    bpe, cap_filters, ecoc_langid, html_consensus, mixing, piece_table, prefix_trie, secrets, sharding, simhash, stream_dedup,
+    warc,
 )
 from tidemark.llm.common import materialize, read_table, scratch_dir
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 SHARDS = 16
@@ -76,6 +78,11 @@ def op11_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
 
 
+def op12_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_table.share_model(spark, public_tokenizers.path(PIECES))
+    return piece_table.encode_documents(read_table(spark, sf_dir, "documents"), model)
+
+
 QUERIES = {
     "op1_splitters": op1_splitters,
     "op2_secret_entropy": op2_secret_entropy,
@@ -88,6 +95,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
     "op11_collapse": op11_collapse,
+    "op12_chunk_table": op12_chunk_table,
 }
 
 # CRC-32 of a string of digits: every byte is followed by eight shifts.
