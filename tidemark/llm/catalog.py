@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, cap_filters, ecoc_langid, html_consensus, mixing, piece_table, prefix_trie, secrets, sharding, simhash, stream_dedup,
-    warc,
+    bpe, cap_filters, ecoc_langid, html_consensus, mixing, piece_table, prefix_trie, secrets, sharding, simhash,
+    spelling_variants, stream_dedup, warc,
 )
 from tidemark.llm.common import materialize, read_table, scratch_dir
 
@@ -83,6 +83,10 @@ def op12_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_table.encode_documents(read_table(spark, sf_dir, "documents"), model)
 
 
+def op13_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_splitters": op1_splitters,
     "op2_secret_entropy": op2_secret_entropy,
@@ -96,11 +100,13 @@ QUERIES = {
     "op10_bpe": op10_bpe,
     "op11_collapse": op11_collapse,
     "op12_chunk_table": op12_chunk_table,
+    "op13_composition": op13_composition,
 }
 
-# CRC-32 of a string of digits: every byte is followed by eight shifts.
+# CRC-32 of a string's UTF-8: every byte (read from hex) is followed by eight shifts.
 _CRC32 = """(4294967295 - list_reduce(
-                list_prepend(4294967295, flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                list_prepend(4294967295::BIGINT, flatten(list_transform(regexp_extract_all(hex(encode({text})), '..'),
+                    lambda c: [('0x' || c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
                 lambda s, y: CASE WHEN y >= 0 THEN xor(s, y) ELSE xor(s >> 1, CASE WHEN s & 1 = 1 THEN 3988292384 ELSE 0 END) END))"""
 
 SQL: dict[str, str] = {
@@ -127,6 +133,38 @@ SQL: dict[str, str] = {
             FROM above GROUP BY top)
         SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, total.n_leaves, total.saved_tokens, n.ends_sha256
         FROM full_node n JOIN total USING (node) LEFT JOIN node p ON n.d > 0 AND p.node = n.node[:n.d - 1]""",
+    "op13_composition": r"""
+        WITH RECURSIVE run AS (
+            SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+            FROM documents),
+        pair AS (SELECT doc_id, run, count(*) AS n FROM run WHERE length(run) >= 6 GROUP BY ALL),
+        hashed AS (SELECT *, """ + _CRC32.format(text="(doc_id::VARCHAR || ':' || run)") + """ AS h FROM pair),
+        vocabulary AS (
+            SELECT word, sum(n)::BIGINT AS n
+            FROM (SELECT CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed)
+            WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+        cut AS (
+            SELECT word, n, place, word[:place - 1] || word[place + 1:] AS rest
+            FROM (SELECT *, unnest(range(1, length(word) + 1)) AS place FROM vocabulary)),
+        near AS (
+            SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.place = b.place AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT cut.word, cut.n, v.word, v.n FROM cut JOIN vocabulary v ON v.word = cut.rest
+            UNION SELECT v.word, v.n, cut.word, cut.n FROM cut JOIN vocabulary v ON v.word = cut.rest),
+        best AS (
+            SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+            FROM near GROUP BY word),
+        form AS (
+            SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form,
+                   CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n
+            FROM vocabulary v LEFT JOIN best USING (word)),
+        walk AS (
+            SELECT word, word AS root FROM form
+            UNION ALL
+            SELECT walk.word, form.form FROM walk JOIN form ON form.word = walk.root AND form.form IS NOT NULL)
+        SELECT form.word, form.form, walk.root, form.n, form.n_near, form.form_n
+        FROM form JOIN walk ON walk.word = form.word
+        WHERE NOT EXISTS (SELECT 1 FROM form f WHERE f.word = walk.root AND f.form IS NOT NULL)""",
     "op8_caps": """
         WITH RECURSIVE vec AS (
             SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
