@@ -24,6 +24,7 @@ from tidemark.sources.stream import decode_trades, flatten_trade_envelopes, trad
 from tidemark.plans.lake import Lake
 from tidemark.session import scratch_path
 from tidemark.streaming import questions as sq
+from tidemark.streaming.runner import rocksdb_state, start_append
 from tidemark.streaming.sinks import read_latest_windows, upsert_windows
 
 
@@ -581,3 +582,30 @@ def _sq4_stream(L: Layers):
 @register("sq5_stream")
 def _sq5_stream(L: Layers):
     return _replayed(L, "sq5", lambda t: sq.vs_prev_close(t, L.snapshot))
+
+
+def _closed(L: Layers, name: str, question, snapshots: DataFrame | None = None) -> DataFrame:
+    """Windows that an append-mode file sink has after three runs over one checkpoint."""
+    with rocksdb_state(L.spark):
+        return L.spark.read.parquet(fixtures.replay(L.spark, L.trades, question, scratch_path(L.spark, name),
+                                                    start=start_append, snapshots=snapshots))
+
+
+@register("sq1_closed_stream")
+def _sq1_closed(L: Layers):
+    return _closed(L, "sq1", sq.price_volatility)
+
+
+@register("sq2_closed_stream")
+def _sq2_closed(L: Layers):
+    return _closed(L, "sq2", lambda t: sq.market_sentiment(t, L.snapshot, emit="closed"))
+
+
+@register("sq2_refreshed")
+def _sq2_refreshed(L: Layers):
+    return sq.market_sentiment_as_of(L.trades, fixtures.daily_snapshots(L.quotes))
+
+
+@register("sq2_refreshed_stream")
+def _sq2_refreshed_stream(L: Layers):
+    return _closed(L, "sq2", sq.market_sentiment_as_of, fixtures.daily_snapshots(L.quotes))

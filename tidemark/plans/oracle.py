@@ -693,3 +693,31 @@ for _name, _of in (("sq1_stream", "sq1_price_volatility"), ("sq2_stream", "sq2_m
                    ("sq3_stream", "sq3_trade_frequency"), ("sq4_stream", "sq4_price_vs_range"),
                    ("sq5_stream", "sq5_vs_prev_close")):
     SQL[_name] = SQL[_of]
+
+
+# ------------------------------------------------ windows given once, when closed
+
+def closed(statement: str, delay: str) -> str:
+    """Only windows that the watermark has passed when all trades are in."""
+    return f"""
+SELECT * FROM ({statement}) every_window
+WHERE window_end <= (SELECT max(ts) FROM events WHERE value > 0) - INTERVAL '{delay}'"""
+
+
+SQL["sq2_refreshed"] = with_(["valid_trades", "quotes"], f"""
+SELECT window_start, window_end, exchange, rising_count, falling_count,
+       round(rising_count / (rising_count + falling_count), 4) AS sentiment_ratio
+FROM (SELECT {_bucket('1 minute')}, exchange,
+             count(*) FILTER (WHERE price > prev_close) AS rising_count,
+             count(*) FILTER (WHERE price < prev_close) AS falling_count
+      FROM (SELECT t.event_time, t.price, s.prev_close, unnest(s.exchange) AS exchange
+            FROM valid_trades t
+            ASOF JOIN (SELECT symbol, exchange, prev_close, CAST(quote_date AS TIMESTAMP) AS since
+                       FROM quotes WHERE prev_close > 0) s
+              ON t.symbol = s.symbol AND t.event_time >= s.since) met
+      GROUP BY 1, 2, exchange) w
+WHERE rising_count + falling_count > 0""")
+
+SQL["sq1_closed_stream"] = closed(SQL["sq1_price_volatility"], "5 minutes")
+SQL["sq2_closed_stream"] = closed(SQL["sq2_market_sentiment"], "2 minutes")
+SQL["sq2_refreshed_stream"] = closed(SQL["sq2_refreshed"], "2 minutes")

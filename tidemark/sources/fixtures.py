@@ -10,7 +10,7 @@ Everything is a Spark job over the whole tables; nothing is sampled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import ntz_to_epoch_ms, pct_change
@@ -197,27 +197,43 @@ def read_bar_text(lines: DataFrame, min_date: str) -> DataFrame:
     return parse_bars(raw.select("r.*", "ticker", "exchange_name"), F.col("ticker"), F.col("exchange_name"), min_date)
 
 
-def replay(spark: SparkSession, trades_df: DataFrame, question, path: str, slices: int = 3) -> str:
+def daily_snapshots(quotes: DataFrame) -> DataFrame:
+    """Quotes as snapshots that hold from the midnight (UTC) their date begins."""
+    return quotes.select("symbol", "exchange", "prev_close", F.col("quote_date").cast("timestamp_ntz").alias("valid_from"))
+
+
+SNAPSHOT_JSON = "symbol string, exchange array<string>, prev_close double, valid_from timestamp_ntz"
+
+
+def replay(spark: SparkSession, trades_df: DataFrame, question, path: str, slices: int = 3,
+           start=start_upsert, snapshots: DataFrame | None = None) -> str:
     """Run a stream question over the trades as message files, slice by slice in
     time order; the folder of window results.
 
     Each slice is written, then drained by an ``availableNow`` run that goes on
     from the checkpoint of the one before.  The last slice also holds a copy of
     the first slice's earliest trades; they are late and must be dropped.
+    ``start`` is the runner to use.  With ``snapshots`` the question gets a second
+    stream: each slice then brings the snapshots that begin to hold in its time.
     """
     cuts = trades_df.select(F.percentile_approx("timestamp_ms", [k / slices for k in range(1, slices)], 10_000)).first()[0]
     bounds = [None, *cuts, None]
     messages, out = f"{path}/messages", f"{path}/windows"
     first = trades_df.agg(F.min("timestamp_ms")).first()[0]
-    for low, high in zip(bounds[:-1], bounds[1:]):
-        part = trades_df
+
+    def between(df: DataFrame, ms: Column, low: int | None, high: int | None) -> DataFrame:
         if low is not None:
-            part = part.where(F.col("timestamp_ms") >= low)
-        if high is not None:
-            part = part.where(F.col("timestamp_ms") < high)
-        else:
+            df = df.where(ms >= low)
+        return df if high is None else df.where(ms < high)
+
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        part = between(trades_df, F.col("timestamp_ms"), low, high)
+        if high is None:
             part = part.unionByName(trades_df.where(F.col("timestamp_ms") < first + 60_000))
         trade_payloads(part).select("value").write.mode("append").text(messages)
-        query = start_upsert(question(decode_trades(trade_stream(spark, "text", messages))), out, f"{path}/checkpoint")
-        query.awaitTermination()
+        streams = [decode_trades(trade_stream(spark, "text", messages))]
+        if snapshots is not None:
+            between(snapshots, ntz_to_epoch_ms("valid_from"), low, high).write.mode("append").json(f"{path}/snapshots")
+            streams.append(spark.readStream.schema(SNAPSHOT_JSON).json(f"{path}/snapshots"))
+        start(question(*streams), out, f"{path}/checkpoint").awaitTermination()
     return out

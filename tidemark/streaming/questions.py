@@ -23,6 +23,7 @@ from tidemark.functions.expr import (
     direction, instant_to_ntz, ntz_to_instant, pct_above, pct_below, range_position,
 )
 from tidemark.operators.quality import apply_rules, trade_rules
+from tidemark.streaming.asof import SALTS, as_of
 
 
 def _is_ntz(df: DataFrame) -> bool:
@@ -114,19 +115,24 @@ def snapshot_prev_close(snapshot: DataFrame) -> DataFrame:
 
 def market_sentiment(trades: DataFrame, snapshot: DataFrame, width: str = C.SQ2_WINDOW[0],
                      delay: str | None = C.SQ2_WINDOW[1],
-                     static_join: str = "broadcast") -> DataFrame:
+                     static_join: str = "broadcast", emit: str = "update") -> DataFrame:
     """SQ2: per window and exchange, trades priced above / below their
     symbol's previous close, and rising / (rising + falling).  A symbol
     counts for every exchange it is listed on; flat trades count in neither.
 
     A trade meets one row, its symbol's previous close.  A batch counts per
-    (window, symbol) and fans the counts out to the exchanges; a stream has one
-    stateful aggregate only, so there the trade is fanned out before it.
+    (window, symbol) and fans the counts out to the exchanges.  So does a stream
+    with emit="closed": two stateful windows in a row, the second fed with the
+    windows that the first has closed, so each window comes once and complete
+    (append mode).  With emit="update" a stream gives every change of a window;
+    it has one stateful aggregate only, so there the trade is fanned out before it.
     """
+    if emit not in ("update", "closed"):
+        raise ValueError(f"emit must be 'update' or 'closed', not {emit!r}")
     listed = snapshot.filter(F.col("prev_close").isNotNull() & (F.col("prev_close") > 0))
     src = valid_trades(trades, delay)
     side = direction("price", F.col("prev_close"))
-    if src.isStreaming:
+    if src.isStreaming and emit == "update":
         listings = listed.select("symbol", "prev_close", F.explode("exchange").alias("exchange"))
         agg = (src.join(_static(listings, static_join), "symbol").groupBy(_bounds(width), "exchange")
                .agg(F.count_if(side == "up").alias("rising_count"),
@@ -137,14 +143,54 @@ def market_sentiment(trades: DataFrame, snapshot: DataFrame, width: str = C.SQ2_
                       .agg(F.count_if(side == "up").alias("rising"),
                            F.count_if(side == "down").alias("falling")))
         exchanges = listed.select("symbol", F.explode("exchange").alias("exchange"))
-        agg = (per_symbol.join(_static(exchanges, static_join), "symbol").groupBy("window", "exchange")
-               .agg(F.sum("rising").alias("rising_count"), F.sum("falling").alias("falling_count")))
+        agg = _exchange_totals(per_symbol.join(_static(exchanges, static_join), "symbol"), width)
+    return _sentiment(agg, src)
+
+
+def _exchange_totals(per_symbol: DataFrame, width: str) -> DataFrame:
+    """Counts per (window, symbol) and exchange -> counts per (window, exchange).
+
+    On a stream the window is made again from the first one's own time, so that
+    the second aggregate knows the watermark.
+    """
+    window = F.window(F.window_time("window"), width).alias("window") if per_symbol.isStreaming else F.col("window")
+    return per_symbol.groupBy(window, "exchange").agg(
+        F.sum("rising").alias("rising_count"), F.sum("falling").alias("falling_count"))
+
+
+def _sentiment(agg: DataFrame, src: DataFrame) -> DataFrame:
     moved = F.col("rising_count") + F.col("falling_count")
     return agg.filter(moved > 0).select(
         *_window_cols(src), "exchange", "rising_count", "falling_count",
         F.round(F.col("rising_count") / moved, 4).alias("sentiment_ratio"))
 
 
+def market_sentiment_as_of(trades: DataFrame, snapshots: DataFrame, valid_from: str = "valid_from",
+                           width: str = C.SQ2_WINDOW[0], delay: str | None = C.SQ2_WINDOW[1],
+                           salts: int = SALTS) -> DataFrame:
+    """SQ2 with snapshots that are refreshed while the stream runs: every trade
+    is compared with the snapshot in force at its own time.
+
+    ``snapshots`` (symbol, exchange list, prev_close, ``valid_from``) is a stream
+    where ``trades`` is one; rows without a positive previous close are left out,
+    so a symbol keeps its earlier one.  Closed windows only (append mode).
+    """
+    ntz = _is_ntz(trades)
+    src = apply_rules(trades, trade_rules()).select("symbol", "price", "event_time")
+    listed = snapshots.filter(F.col("prev_close").isNotNull() & (F.col("prev_close") > 0))
+    if ntz:
+        src = src.withColumn("event_time", ntz_to_instant("event_time"))
+    if isinstance(listed.schema[valid_from].dataType, TimestampNTZType):
+        listed = listed.withColumn(valid_from, ntz_to_instant(valid_from))
+    side = direction("price", F.col("prev_close"))
+    met = as_of(src, listed, "symbol", "event_time", valid_from, ["prev_close", "exchange"], delay, salts)
+    per_symbol = met.groupBy(_bounds(width), "symbol", "exchange").agg(
+        F.count_if(side == "up").alias("rising"), F.count_if(side == "down").alias("falling"))
+    fanned = per_symbol.withColumn("exchange", F.explode("exchange"))
+    out = _sentiment(_exchange_totals(fanned, width), met)
+    return out.withColumns({c: instant_to_ntz(c) for c in ("window_start", "window_end")}) if ntz else out
+
+
 def trade_frequency(trades: DataFrame,
                     baseline: float | DataFrame = C.TRADES_PER_WINDOW_BASELINE,
                     factor: float = C.HIGH_FREQUENCY_FACTOR, width: str = C.SQ3_WINDOW[0],

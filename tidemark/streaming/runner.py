@@ -6,14 +6,30 @@ a cluster); nothing defaults to a machine-local temp folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.streaming.sinks import run_id_of, upsert_windows
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started within keep their state in RocksDB, which as-of enrichment needs."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
+
+
 def _trigger(writer, trigger: str | None):
     if trigger is None or trigger == "availableNow":
         return writer.trigger(availableNow=True)
