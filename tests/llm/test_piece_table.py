@@ -105,9 +105,22 @@ def test_small_batches(spark, library, pieces, monkeypatch):
     assert len({r[0] for r in packed}) > 3
     words = sorted((r[0], r[1], r[4], r[5]) for r in packed if r[1] >= 0)
     ids = list(piece_table._segment_words(iter(words), pieces))
-    both = sorted([*ids, *[(*r[:5], None, None) for r in packed if r[1] < 0]], key=lambda r: (r[0], -r[1]))
-    out = sorted(piece_table._put_back(iter(both), pieces, True))
-    assert out == [(k, *digests(library, t), library.encode(t)) for k, t in rows]
+    out = []
+    for batch in {r[0] for r in packed}:
+        out += piece_table._put_back([(r[2], r[3], r[4]) for r in packed if r[0] == batch and r[1] < 0],
+                                     [r[1:] for r in ids if r[0] == batch], pieces, True)
+    assert sorted(out) == [(k, *digests(library, t), library.encode(t)) for k, t in rows]
+
+
+def test_numbers_are_not_shuffled(spark, sf_small):
+    import contextlib
+    import io
+    model = piece_table.share_model(spark, P.path(catalog.PIECES))
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        piece_table.encode_documents(spark.read.parquet(f"{sf_small}/documents.parquet"), model).explain()
+    assert plan.getvalue().count("Exchange hashpartitioning") == 2  # words to buckets, ids to batches
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tidemark_pieces")]
 
 
 def test_query(spark, sf_small, library):

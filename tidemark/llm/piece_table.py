@@ -12,9 +12,10 @@ marked words, one after the other.  Three passes:
    The ids go back to the batches they came from.
 3. A batch puts the ids in the place of the numbers and decodes them.
 
-What is shuffled is the distinct words of each batch and the numbers, packed and
-compressed; texts never are.  A task holds the words of one batch, of bounded
-size, or of one document where that is larger.
+What is shuffled is the distinct words of each batch and their ids, packed and
+compressed.  Texts are not, and the numbers are written once, bucketed by batch,
+where the third pass finds them without a shuffle.  A task holds the words and
+numbers of one batch, of bounded size, or of one document where that is larger.
 """
 
 from __future__ import annotations
@@ -22,17 +23,19 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_stream, materialize, text_or_empty
+from tidemark.llm.common import _arrow_schema, map_stream, scratch_dir, text_or_empty
 
 MARK = "▁"
 # A batch ends with the document that reaches one of these.
@@ -185,13 +188,20 @@ def pieces_of(shared: Broadcast) -> Pieces:
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """Compressed 32-bit numbers, all lowest bytes first."""
-    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
+    """Compressed 32-bit numbers: those below 255 a byte each, of the others all lowest bytes first."""
+    numbers = numbers.astype("<u4")
+    large = numbers >= 255
+    few = zstandard.compress(np.where(large, 255, numbers).astype(np.uint8).tobytes(), 3)
+    planes = np.ascontiguousarray(numbers[large].view(np.uint8).reshape(-1, 4).T)
+    return len(few).to_bytes(4, "little") + few + zstandard.compress(planes.tobytes(), 3)
 
 
 def unpack(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    cut = 4 + int.from_bytes(blob[:4], "little")
+    numbers = np.frombuffer(zstandard.decompress(blob[4:cut]), np.uint8).astype("<u4")
+    planes = np.frombuffer(zstandard.decompress(blob[cut:]), np.uint8).reshape(4, -1)
+    numbers[numbers == 255] = np.ascontiguousarray(planes.T).view("<u4").ravel()
+    return numbers
 
 
 class _Numbers(dict):
@@ -207,19 +217,23 @@ def _pack_batches(rows: Iterator[tuple], pieces: Pieces, buckets: int) -> Iterat
     first = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
     count, held, numbers, chars = 0, [], _Numbers(), 0
 
-    def document_rows() -> Iterator[tuple]:
+    def batch_rows() -> Iterator[tuple]:
+        # The most frequent word gets the smallest number, so that numbers pack well.
+        often = sum((np.bincount(found, minlength=len(numbers)) for _, found in held), np.zeros(len(numbers), np.int64))
+        order = np.argsort(-often, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
         ids, parts, size = [], [], 0
         for doc, found in [*held, (None, None)]:
             if ids and (found is None or size >= ROW_NUMBERS):
-                yield first + count, -1, ids, [len(p) for p in parts], pack(np.concatenate(parts)), None
+                yield first + count, -1, ids, [len(p) for p in parts], pack(rank[np.concatenate(parts)]), None
                 ids, parts, size = [], [], 0
             if found is not None:
                 ids.append(doc)
                 parts.append(found)
                 size += len(found)
-
-    def word_rows() -> Iterator[tuple]:
         words = list(numbers)
+        words = [words[k] for k in order.tolist()]
         of = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) % buckets for w in words), np.int64, len(words))
         order = np.argsort(of, kind="stable")
         starts = np.flatnonzero(np.r_[True, of[order][1:] != of[order][:-1]]) if len(words) else []
@@ -232,17 +246,15 @@ def _pack_batches(rows: Iterator[tuple], pieces: Pieces, buckets: int) -> Iterat
         held.append((doc, np.fromiter(map(numbers.__getitem__, pieces.marked(text)), np.uint32)))
         chars += len(text)
         if chars >= BATCH_CHARS or len(numbers) >= BATCH_WORDS:
-            yield from document_rows()
-            yield from word_rows()
+            yield from batch_rows()
             count, held, chars = count + 1, [], 0
             numbers.clear()
     if held:
-        yield from document_rows()
-        yield from word_rows()
+        yield from batch_rows()
 
 
 def _segment_words(rows: Iterator[tuple], pieces: Pieces) -> Iterator[tuple]:
-    """Ids of the words of a bucket, each distinct word segmented once."""
+    """(batch, numbers, sizes, ids) of the words of a bucket, each distinct word segmented once."""
     here, known = None, {}
     for batch, bucket, numbers, words in rows:
         if bucket != here:
@@ -255,24 +267,15 @@ def _segment_words(rows: Iterator[tuple], pieces: Pieces) -> Iterator[tuple]:
                     known.clear()
                 ids = known[word] = np.array(pieces.encode(word), "<u4").tobytes()
             found.append(ids)
-        yield (batch, bucket, None, None, numbers, pack(np.array([len(f) // 4 for f in found])),
-               pack(np.frombuffer(b"".join(found), "<u4")))
-
-
-def _put_back(rows: Iterator[tuple], pieces: Pieces, with_ids: bool) -> Iterator[tuple]:
-    """The documents of each batch, their ids in place of the numbers."""
-    here, pending, names, texts, counts = None, [], [], [], None
-    for batch, bucket, docs, lengths, numbers, sizes, ids in rows:
-        if batch != here:
-            here, pending, counts = batch, [], None
-        if bucket >= 0:
-            pending.append((numbers, sizes, ids))
-            continue
-        if counts is None:
-            names, texts, counts = _lookup(pending, pieces)
-            pending = []
+        yield batch, numbers, pack(np.array([len(f) // 4 for f in found])), pack(np.frombuffer(b"".join(found), "<u4"))
+
+
+def _put_back(docs: Iterator[tuple], ids: Iterator[tuple], pieces: Pieces, with_ids: bool) -> Iterator[tuple]:
+    """The documents of a batch, rows (docs, lengths, numbers), with the ids of its words, rows (numbers, sizes, ids)."""
+    names, texts, counts = _lookup(ids, pieces)
+    for names_of, lengths, numbers in docs:
         of, start = unpack(numbers), 0
-        for doc, length in zip(docs, lengths):
+        for doc, length in zip(names_of, lengths):
             mine = of[start:start + length]
             start += length
             id_digest, text_digest = hashlib.sha256(), hashlib.sha256()
@@ -285,7 +288,7 @@ def _put_back(rows: Iterator[tuple], pieces: Pieces, with_ids: bool) -> Iterator
             yield (*out, [int(k) for n in mine.tolist() for k in names[n].split(",")]) if with_ids else out
 
 
-def _lookup(found: list[tuple], pieces: Pieces) -> tuple[list[str], list[str], np.ndarray]:
+def _lookup(found: Iterator[tuple], pieces: Pieces) -> tuple[list[str], list[str], np.ndarray]:
     """By number: ids as decimals joined by commas, text, and count of ids."""
     parts = [(np.cumsum(unpack(n).astype(np.int64)), unpack(s).astype(np.int64), unpack(i)) for n, s, i in found]
     total = sum(len(n) for n, _, _ in parts)
@@ -311,19 +314,44 @@ def encode_documents(docs: DataFrame, model: Broadcast, id_col: str = "doc_id",
     stay, a null id stays null, other columns are ignored; an empty table gives
     an empty one.
     """
-    wide = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spark = docs.sparkSession
+    wide = 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    packed = materialize(map_stream(
+    packed = _bucketed(map_stream(
         source, ["id", "text"], f"batch long, bucket int, docs array<{kind}>, lengths array<int>, numbers binary, words binary",
-        lambda rows: _pack_batches(rows, pieces_of(model), 2 * wide)), "piece-batches")
+        lambda rows: _pack_batches(rows, pieces_of(model), wide)), wide)
 
-    schema = f"batch long, bucket int, docs array<{kind}>, lengths array<int>, numbers binary, sizes binary, ids binary"
     words = packed.where("bucket >= 0").select("batch", "bucket", "numbers", "words") \
-        .repartition(2 * wide, "bucket").sortWithinPartitions("bucket")
-    segmented = map_stream(words, ["batch", "bucket", "numbers", "words"], schema, lambda rows: _segment_words(rows, pieces_of(model)))
-    documents = packed.where("bucket < 0").select(
-        "batch", "bucket", "docs", "lengths", "numbers", F.lit(None).cast("binary").alias("sizes"), F.lit(None).cast("binary").alias("ids"))
-    met = segmented.unionByName(documents).repartition(2 * wide, "batch").sortWithinPartitions("batch", F.col("bucket").desc())
-    out = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>" if with_ids else "")
-    return map_stream(met, met.columns, out, lambda rows: _put_back(rows, pieces_of(model), with_ids)).withColumnRenamed("id", id_col)
+        .repartition(wide, "bucket").sortWithinPartitions("bucket")
+    segmented = map_stream(words, ["batch", "bucket", "numbers", "words"], "batch long, numbers binary, sizes binary, ids binary",
+                           lambda rows: _segment_words(rows, pieces_of(model)))
+    documents = packed.where("bucket < 0").select("batch", "docs", "lengths", "numbers")
+    out = spark.createDataFrame([], f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+                                + (", token_ids array<int>" if with_ids else "")).schema
+    arrow_out = _arrow_schema(out)
+
+    def put_back(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = list(zip(*_put_back(_rows(left, ["docs", "lengths", "numbers"]), _rows(right, ["numbers", "sizes", "ids"]),
+                                    pieces_of(model), with_ids)))
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(found or [[]] * len(arrow_out), arrow_out)], schema=arrow_out)
+
+    return documents.groupby("batch").cogroup(segmented.groupby("batch")).applyInArrow(put_back, out).withColumnRenamed("id", id_col)
+
+
+def _rows(table: pa.Table, columns: list[str]) -> Iterator[tuple]:
+    for batch in table.select(columns).to_batches():
+        for k in range(batch.num_rows):
+            yield tuple(c[k].as_py() for c in batch.columns)
+
+
+def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """Write ``df`` to the shared folder, bucketed by batch, and read it back.
+
+    The table is in the catalog only until its files are known to the frame.
+    """
+    spark, name = df.sparkSession, f"tidemark_pieces_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, "batch").option("path", scratch_dir(spark, "piece-batches")).saveAsTable(name)
+    written = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return written
