@@ -219,7 +219,7 @@ def _pack_batches(rows: Iterator[tuple], pieces: Pieces, buckets: int) -> Iterat
 
     def batch_rows() -> Iterator[tuple]:
         # The most frequent word gets the smallest number, so that numbers pack well.
-        often = sum((np.bincount(found, minlength=len(numbers)) for _, found in held), np.zeros(len(numbers), np.int64))
+        often = np.bincount(np.concatenate([found for _, found in held]), minlength=len(numbers))
         order = np.argsort(-often, kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
