@@ -1,6 +1,7 @@
 """Command line for cluster runs (``spark-submit -m``-style or ``python -m tidemark``).
 
     build   bar CSVs + quote JSON -> every layer under --lake, registered as tables
+    refresh the layers of --lake after bars of some months came late or changed
     export  the ten batch questions from --lake -> Parquet under --out (or JDBC)
     stream  one stream question from a Kafka topic or a folder of JSON messages
 
@@ -31,6 +32,9 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     b.add_argument("--lake", required=True)
     b.add_argument("--database", default="stock_analytics")
     b.add_argument("--min-date", default="1993-01-01")
+    r = sub.add_parser("refresh")
+    r.add_argument("--lake", required=True)
+    r.add_argument("--month", required=True, action="append", help="yyyy-MM, repeatable")
     e = sub.add_parser("export")
     e.add_argument("--lake", required=True)
     e.add_argument("--out", help="Parquet folder for the result marts")
@@ -47,6 +51,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     s.add_argument("--trigger", default=C.TRIGGER,
                    help="processing-time interval, or availableNow to drain and stop")
     s.add_argument("--baseline", help="SQ3: Parquet folder (symbol, baseline) instead of the constant")
+    s.add_argument("--fold-every", type=int, help="fold the window sink after so many batches (sq1 to sq3)")
     s.add_argument("--static-join", default="broadcast", choices=["broadcast", "auto", "shuffle"])
     args = ap.parse_args(argv)
 
@@ -62,6 +67,12 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
             action()
         return {"tables": sinks.register_tables(spark, args.lake, database=args.database)}
 
+    if args.cmd == "refresh":
+        from tidemark.plans.incremental import refresh
+
+        months = [tuple(map(int, m.split("-"))) for m in args.month]
+        return refresh(Lake(spark, args.lake), months)._asdict()
+
     if args.cmd == "export":
         if args.jdbc_url:
             sink = sinks.jdbc_sink(args.jdbc_url, _options(args.jdbc_option))
@@ -98,7 +109,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
             "sq2": lambda: sq.market_sentiment(
                 trades, layers.latest_snapshot(lake.read("streaming_daily_quotes")), static_join=how),
             "sq3": lambda: sq.trade_frequency(trades, baseline=baseline, static_join=how),
-        }[args.question](), **run)
+        }[args.question](), fold_every=args.fold_every, question=args.question, **run)
     query.awaitTermination()
     return {"query": args.question, "batches": len(query.recentProgress)}
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import aggregates as agg
 from tidemark.operators import windows as win
 from tidemark.operators.quality import bar_rules, derive_bar_columns, quality_report
-from tidemark.plans import layers, questions as q
+from tidemark.plans import incremental, layers, questions as q
 from tidemark.sources import fixtures
 from tidemark.sources.stream import decode_trades, flatten_trade_envelopes, trade_envelopes, \
     trade_payloads
@@ -25,7 +25,7 @@ from tidemark.plans.lake import Lake
 from tidemark.session import scratch_path
 from tidemark.streaming import questions as sq
 from tidemark.streaming.runner import rocksdb_state, start_append
-from tidemark.streaming.sinks import read_latest_windows, upsert_windows
+from tidemark.streaming.sinks import fold_windows, read_latest_windows, upsert_windows
 
 
 class Layers:
@@ -531,6 +531,33 @@ def _roundtrip(L: Layers):
     return lake.read("streaming_daily_quotes")
 
 
+def _late_month(L: Layers, name: str) -> Lake:
+    """A lake built without its busiest month, which then comes late."""
+    lake, bars = _lake(L, name), L.bars
+    busiest = bars.groupBy(F.date_trunc("month", "trade_date").alias("m")).agg(F.count(F.lit(1)).alias("n")) \
+        .orderBy(F.col("n").desc(), "m").first()["m"]
+    late = F.date_trunc("month", "trade_date") == F.lit(busiest)
+    lake.write("bars", bars.where(~late))
+    clean = layers.clean(lake.read("bars"))
+    lake.write("ticker_exchanges", layers.ticker_exchanges(clean))
+    lake.write("stock_prices", layers.silver(clean))
+    for layer, build in (("daily_stock_metrics", layers.daily_metrics), ("monthly_stock_performance", layers.monthly_performance),
+                         ("yearly_stock_performance", layers.yearly_performance)):
+        lake.write(layer, build(lake.read("stock_prices")))
+    incremental.refresh(lake, incremental.append_bars(lake, bars.where(late)), bars.where(late))
+    return lake
+
+
+@register("daily_metrics_incremental")
+def _daily_incremental(L: Layers):
+    return round_columns(_late_month(L, "late").read("daily_stock_metrics"), ["rolling_volatility_30d"])
+
+
+@register("yearly_performance_incremental")
+def _yearly_incremental(L: Layers):
+    return round_columns(_late_month(L, "late").read("yearly_stock_performance"), ["avg_daily_return_pct", "stddev_daily_return"])
+
+
 # ----------------------------------------------- window sinks and stream runs
 
 @register("windows_after_restart")
@@ -555,6 +582,25 @@ def _latest_sq2(L: Layers):
     return read_latest_windows(L.spark, path, "sq2")
 
 
+@register("windows_compacted")
+def _compacted(L: Layers):
+    """Six batches, of which one is replayed and some hold counts that a later one
+    corrects, folded twice while they come in."""
+    path, rows = scratch_path(L.spark, "folded"), sq.trade_frequency(L.trades, baseline=1)
+    wrong = rows.withColumn("trade_count", F.lit(-1).cast("bigint"))
+    early, write = F.minute("window_start") < 30, upsert_windows(path, "only")
+    write(wrong.filter(early), 0)
+    write(wrong.filter(~early), 1)
+    write(rows.filter(early), 2)
+    fold_windows(L.spark, path, "sq3")
+    write(rows.filter(early), 2)
+    write(wrong.filter(~early & (F.hour("window_start") < 12)), 3)
+    write(rows.filter(~early & (F.hour("window_start") < 12)), 4)
+    fold_windows(L.spark, path, "sq3")
+    write(rows.filter(~early & (F.hour("window_start") >= 12)), 5)
+    return read_latest_windows(L.spark, path, "sq3")
+
+
 def _replayed(L: Layers, name: str, question) -> DataFrame:
     return read_latest_windows(L.spark, fixtures.replay(L.spark, L.trades, question, scratch_path(L.spark, name)), name)
 

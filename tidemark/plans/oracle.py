@@ -721,3 +721,7 @@ WHERE rising_count + falling_count > 0""")
 SQL["sq1_closed_stream"] = closed(SQL["sq1_price_volatility"], "5 minutes")
 SQL["sq2_closed_stream"] = closed(SQL["sq2_market_sentiment"], "2 minutes")
 SQL["sq2_refreshed_stream"] = closed(SQL["sq2_refreshed"], "2 minutes")
+
+SQL["daily_metrics_incremental"] = SQL["daily_metrics"]
+SQL["yearly_performance_incremental"] = SQL["yearly_performance"]
+SQL["windows_compacted"] = SQL["sq3_trade_frequency"]

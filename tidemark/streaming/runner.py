@@ -45,11 +45,13 @@ def _start(result: DataFrame, batch_fn, checkpoint: str, trigger: str | None, na
 
 
 def start_upsert(result: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
-                 name: str | None = None) -> StreamingQuery:
+                 name: str | None = None, fold_every: int | None = None,
+                 question: str | None = None) -> StreamingQuery:
     """Update mode: every changed window goes to ``path`` through the
-    idempotent batch-folder sink (read back with ``read_latest_windows``)."""
+    idempotent batch-folder sink (read back with ``read_latest_windows``).  With
+    ``fold_every`` and ``question`` the sink folds itself after so many batches."""
     run = run_id_of(result.sparkSession, checkpoint)
-    return _start(result, upsert_windows(path, run), checkpoint, trigger, name)
+    return _start(result, upsert_windows(path, run, fold_every, question), checkpoint, trigger, name)
 
 
 def start_append(result: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
