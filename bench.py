@@ -26,7 +26,7 @@ def run_all(spark, lake: Lake, sf_dir: str) -> dict[str, float]:
     timings: dict[str, float] = {}
     for name, action in build_steps(
             lake,
-            bars=lambda: fixtures.bars(spark, sf_dir),
+            bars=lambda: fixtures.bars(spark, sf_dir, order="lead"),
             dim=lambda: fixtures.exchange_dim(spark, sf_dir),
             quotes=lambda: fixtures.daily_quotes(spark, sf_dir)):
         timings[f"build_{name}"] = round(timed(action), 3)

@@ -84,6 +84,12 @@ def test_quote_open_close_stays_a_hash_aggregate(spark, sf_small):
     assert count(p, "SortAggregate") == 0 and count(p, "HashAggregate") >= 2
 
 
+def test_bars_are_a_hash_aggregate_that_reads_once(spark, sf_small):
+    p = final_plan(fixtures.bars(spark, sf_small, order="lead"))
+    assert count(p, "SortAggregate") == 0 and count(p, "HashAggregate") >= 2
+    assert len(re.findall(r"FileScan parquet \[[^\]]*l_orderkey", p)) == 1 and shuffles(p) == 1  # no tie: no second pass
+
+
 def test_outperformance_reads_the_bars_once(spark, sf_small):
     from tidemark.plans.catalog import QUERIES
     text = QUERIES["q06_outperformance"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()

@@ -107,6 +107,11 @@ def _bars(L: Layers):
     return L.bars
 
 
+@register("bars_hash_order")
+def _bars_lead(L: Layers):
+    return fixtures.bars(L.spark, L.sf_dir, order="lead")
+
+
 @register("bar_quality_report")
 def _quality(L: Layers):
     return quality_report(L.bars, bar_rules())

@@ -725,3 +725,4 @@ SQL["sq2_refreshed_stream"] = closed(SQL["sq2_refreshed"], "2 minutes")
 SQL["daily_metrics_incremental"] = SQL["daily_metrics"]
 SQL["yearly_performance_incremental"] = SQL["yearly_performance"]
 SQL["windows_compacted"] = SQL["sq3_trade_frequency"]
+SQL["bars_hash_order"] = SQL["bars"]

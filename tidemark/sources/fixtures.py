@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import ntz_to_epoch_ms, pct_change
-from tidemark.operators.aggregates import first_by, last_by, pack_order
+from tidemark.operators.aggregates import first_by, first_last_total, last_by, pack_order
 from tidemark.operators.windows import lag_value
 from tidemark.schemas import BAR_CSV
 from tidemark.sources.files import parse_bars
@@ -63,22 +63,31 @@ def bar_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "l_extendedprice", "l_quantity").alias("seq")))
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw daily bars, one per (ticker, exchange, trade_date).
+def bars(spark: SparkSession, sf_dir: str, order: str = "struct") -> DataFrame:
+    """Raw daily bars, one per (ticker, exchange, trade_date), open and close by
+    the six-column line order.
 
-    One aggregate with map-side partial aggregation: open/close via
-    min_by/max_by on the six-column line order, so a hot ticker costs one
-    partial row per map task.  The struct order makes it a sort-based
-    aggregate (see README, "Known cost").
+    One aggregate with map-side partial aggregation, so a hot ticker costs one
+    partial row per map task.  order="struct" keeps the six columns in the
+    aggregate, which makes it a sort-based one.  order="lead", for building the
+    layer, is a hash aggregate by order key and line number in one BIGINT; the other
+    columns count where those two tie.  Its plan names the input three times (it is
+    read once), which larger plans on top should be spared.
     """
-    return (bar_trades(spark, sf_dir)
-            .groupBy("ticker", "exchange_id", "exchange_name", "trade_date")
-            .agg(first_by("price", "seq").alias("open_price"),
-                 F.max("price").alias("high_price"),
-                 F.min("price").alias("low_price"),
-                 last_by("price", "seq").alias("close_price"),
-                 F.sum("quantity").cast("bigint").alias("volume"))
-            .withColumn("adjusted_close_price", F.col("close_price")))
+    keys = ["ticker", "exchange_id", "exchange_name", "trade_date"]
+    rows, seq = bar_trades(spark, sf_dir), F.col("seq")
+    others = [F.max("price").alias("high_price"), F.min("price").alias("low_price"),
+              F.sum("quantity").cast("bigint").alias("volume")]
+    if order == "struct":
+        out = rows.groupBy(*keys).agg(first_by("price", "seq").alias("open_price"), last_by("price", "seq").alias("close_price"), *others)
+    elif order == "lead":
+        rest = [seq[c] for c in ("l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")]
+        out = first_last_total(rows, keys, seq["l_orderkey"] * 128 + seq["l_linenumber"], rest,
+                               {"open_price": "price"}, {"close_price": "price"}, others)
+    else:
+        raise ValueError(f"order must be 'struct' or 'lead', not {order!r}")
+    return out.select(*keys, "open_price", "high_price", "low_price", "close_price", "volume",
+                      F.col("close_price").alias("adjusted_close_price"))
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
