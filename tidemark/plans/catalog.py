@@ -8,17 +8,18 @@ tables.  Each call builds its own plan from the raw tables so Catalyst sees
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates as agg
 from tidemark.operators import windows as win
 from tidemark.operators.quality import bar_rules, derive_bar_columns, quality_report
 from tidemark.plans import incremental, layers, questions as q
-from tidemark.sources import fixtures
+from tidemark.sources import files, fixtures, sinks
 from tidemark.sources.stream import decode_trades, flatten_trade_envelopes, trade_envelopes, \
     trade_payloads
 from tidemark.plans.lake import Lake
@@ -250,29 +251,32 @@ def _q06any(L: Layers):
     return q.outperformance_rate(L.yearly, L.bridge, L.dim, min_years=1)
 
 
-def _with_gaps(df: DataFrame, period: str) -> DataFrame:
-    """Some periods of some tickers left out, so that neighbours are not adjacent."""
-    return df.filter((F.col(period) + F.length("ticker") + F.ascii(F.substring("ticker", -1, 1))) % 4 != 0)
+def _with_gaps(df: DataFrame) -> DataFrame:
+    """Periods in which a ticker trades less than its own mean left out, so that
+    neighbours are not adjacent."""
+    own = Window.partitionBy("ticker")
+    counted = df.withColumns({"_n": F.count(F.lit(1)).over(own), "_all": F.sum("total_volume").over(own)})
+    return counted.filter(F.col("total_volume") * F.col("_n") >= F.col("_all")).drop("_n", "_all")
 
 
 @register("q02_gaps")
 def _q02g(L: Layers):
-    return q.period_over_period_change(_with_gaps(L.yearly, "year"))
+    return q.period_over_period_change(_with_gaps(L.yearly))
 
 
 @register("q02_gaps_adjacent")
 def _q02ga(L: Layers):
-    return q.period_over_period_change(_with_gaps(L.yearly, "year"), require_adjacent=True)
+    return q.period_over_period_change(_with_gaps(L.yearly), require_adjacent=True)
 
 
 @register("q10_gaps")
 def _q10g(L: Layers):
-    return q.positive_streaks(_with_gaps(L.monthly, "month"), min_len=2)
+    return q.positive_streaks(_with_gaps(L.monthly), min_len=2)
 
 
 @register("q10_gaps_adjacent")
 def _q10ga(L: Layers):
-    return q.positive_streaks(_with_gaps(L.monthly, "month"), min_len=2, require_adjacent=True)
+    return q.positive_streaks(_with_gaps(L.monthly), min_len=2, require_adjacent=True)
 
 
 @register("q05_compound_total_loss")
@@ -563,6 +567,51 @@ def _yearly_incremental(L: Layers):
     return round_columns(_late_month(L, "late").read("yearly_stock_performance"), ["avg_daily_return_pct", "stddev_daily_return"])
 
 
+@register("bars_from_files")
+def _bars_files(L: Layers):
+    """Ticker and exchange come from percent-encoded paths; one exchange has no
+    folder, another is missing in the dimension."""
+    root = scratch_path(L.spark, "bar-files")
+    names = [r.exchange_name for r in L.dim.collect()]
+    fixtures.write_bar_files(L.bars.where("exchange_name <> 'AFRICA'"), root)
+    bronze = files.read_bars_csv(L.spark, root, exchanges=names)
+    return files.bars_from_bronze(bronze, L.dim.where("exchange_name <> 'ASIA'"))
+
+
+@register("quotes_from_files")
+def _quotes_files(L: Layers):
+    root = scratch_path(L.spark, "quote-files")
+    fixtures.write_quote_files(L.quotes, root)
+    return files.read_quotes_json(L.spark, f"{root}/*/quotes.json")
+
+
+@register("q02_from_catalog")
+def _q02_catalog(L: Layers):
+    """Registered tables with discovered partitions; the question reads some of them."""
+    lake = _lake(L, "catalog")
+    lake.write("yearly_stock_performance", L.yearly)
+    database = f"tidemark_{uuid.uuid4().hex[:12]}"
+    sinks.register_tables(L.spark, lake.root, database=database, names=["yearly_stock_performance"])
+    return q.period_over_period_change(L.spark.table(f"{database}.yearly_stock_performance").where("year >= 1995"))
+
+
+def _exported(L: Layers, frame: DataFrame, *order: str) -> DataFrame:
+    """A result in its exported order, with the row count observed while it was written."""
+    root = scratch_path(L.spark, "marts")
+    counts = sinks.run_exports({"report": q.present(frame, *order)}, sinks.parquet_sink(root))
+    return sinks.read_in_order(L.spark, f"{root}/report").withColumn("exported_rows", F.lit(counts["report"]).cast("bigint"))
+
+
+@register("q02_exported")
+def _q02_exported(L: Layers):
+    return _exported(L, q.period_over_period_change(L.yearly), "ticker", "year")
+
+
+@register("q05_exported")
+def _q05_exported(L: Layers):
+    return _exported(L, q.cumulative_rank(L.monthly), "year", "month", "cumulative_rank", "-ticker")
+
+
 # ----------------------------------------------- window sinks and stream runs
 
 @register("windows_after_restart")

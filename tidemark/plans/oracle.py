@@ -621,14 +621,13 @@ SQL["q07_rounded"] = swap("q07_above_mean", (
     "WHERE round(rolling_volatility_30d - annual_avg_volatility, 6) > 0"))
 SQL["q06_any_year"] = swap("q06_outperformance", ("WHERE years_outperformed >= 5", "WHERE years_outperformed >= 1"))
 
-_GAP = "({} + length(ticker) + ascii(right(ticker, 1))) % 4 <> 0"
+_GAP = """FROM (SELECT * FROM {} QUALIFY total_volume * count(*) OVER (PARTITION BY ticker)
+              >= sum(total_volume) OVER (PARTITION BY ticker)) busy WHERE"""
 for _name in ("q02_gaps", "q02_gaps_adjacent"):
-    SQL[_name] = swap({"q02_gaps": "q02_period_change"}.get(_name, "q02_adjacent"), (
-        "FROM yearly WHERE", "FROM yearly WHERE " + _GAP.format("year") + " AND"))
+    SQL[_name] = swap({"q02_gaps": "q02_period_change"}.get(_name, "q02_adjacent"), ("FROM yearly WHERE", _GAP.format("yearly")))
 for _name in ("q10_gaps", "q10_gaps_adjacent"):
     SQL[_name] = swap({"q10_gaps": "q10_streaks"}.get(_name, "q10_adjacent"), (
-        "WHERE monthly_return_pct IS NOT NULL", "WHERE " + _GAP.format("month") + " AND monthly_return_pct IS NOT NULL"),
-        ("count(*) >= 6", "count(*) >= 2"))
+        "FROM monthly\n    WHERE", _GAP.format("monthly")), ("count(*) >= 6", "count(*) >= 2"))
 
 SQL["q05_compound_total_loss"] = swap(
     "q05_compound",
@@ -726,3 +725,22 @@ SQL["daily_metrics_incremental"] = SQL["daily_metrics"]
 SQL["yearly_performance_incremental"] = SQL["yearly_performance"]
 SQL["windows_compacted"] = SQL["sq3_trade_frequency"]
 SQL["bars_hash_order"] = SQL["bars"]
+
+
+# ------------------------------------------------------- files, catalog, exports
+
+SQL["bars_from_files"] = with_(["bars"], """
+SELECT * REPLACE (CASE WHEN exchange_name <> 'ASIA' THEN exchange_id END AS exchange_id)
+FROM bars WHERE exchange_name <> 'AFRICA' AND trade_date >= DATE '1993-01-01'""")
+SQL["quotes_from_files"] = with_(["quotes"], "SELECT * FROM quotes WHERE current_price > 0")
+SQL["q02_from_catalog"] = swap("q02_period_change", ("FROM yearly WHERE", "FROM yearly WHERE year >= 1995 AND"))
+
+
+def exported(name: str, order: str) -> str:
+    return f"""
+SELECT *, row_number() OVER (ORDER BY {order}) AS position, count(*) OVER () AS exported_rows
+FROM ({SQL[name]}) report"""
+
+
+SQL["q02_exported"] = exported("q02_period_change", "ticker, year")
+SQL["q05_exported"] = exported("q05_cumulative_rank", "year, month, cumulative_rank, ticker DESC")

@@ -10,6 +10,8 @@ Everything is a Spark job over the whole tables; nothing is sampled.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from tidemark.functions.expr import ntz_to_epoch_ms, pct_change
 from tidemark.operators.aggregates import first_by, first_last_total, last_by, pack_order
 from tidemark.operators.windows import lag_value
 from tidemark.schemas import BAR_CSV
+from tidemark.sources import folders
 from tidemark.sources.files import parse_bars
 from tidemark.sources.stream import decode_trades, trade_payloads, trade_stream
 from tidemark.streaming.runner import start_upsert
@@ -206,6 +209,43 @@ def read_bar_text(lines: DataFrame, min_date: str) -> DataFrame:
     return parse_bars(raw.select("r.*", "ticker", "exchange_name"), F.col("ticker"), F.col("exchange_name"), min_date)
 
 
+def _one_file_each(df: DataFrame, writer, by: list[str], root: str, place) -> None:
+    """Write one file per value of ``by`` and move it to ``<root>/<place(values)>``."""
+    spark, staging = df.sparkSession, f"{root.rstrip('/')}-staging"
+    writer(df.repartition(*by).write.partitionBy(*by)).save(staging)
+
+    def down(path: str, values: list[str]) -> None:
+        for entry in folders.entries(spark, path):
+            name, sep, value = entry.name.partition("=")
+            if sep and len(values) < len(by):
+                down(f"{path}/{entry.name}", [*values, unquote(value)])
+            elif entry.name.startswith("part-") and len(values) == len(by):
+                folders.move(spark, f"{path}/{entry.name}", f"{root.rstrip('/')}/{place(*values)}")
+
+    down(staging, [])
+
+
+def write_bar_files(bars_df: DataFrame, root: str) -> None:
+    """Bars as the original files, ``<root>/<exchange>/csv/<TICKER>.csv``; one file
+    per ticker and exchange (a ticker's bars of an exchange are one row a day)."""
+    cells = [F.date_format("trade_date", "dd-MM-yyyy").alias("Date"), F.col("low_price").alias("Low"), F.col("open_price").alias("Open"),
+             F.col("volume").alias("Volume"), F.col("high_price").alias("High"), F.col("close_price").alias("Close"),
+             F.col("adjusted_close_price").alias("Adjusted Close")]
+    _one_file_each(bars_df.select("exchange_name", "ticker", *cells), lambda w: w.format("csv").option("header", True),
+                   ["exchange_name", "ticker"], root, lambda exchange, ticker: f"{exchange}/csv/{ticker}.csv")
+
+
+def write_quote_files(quotes: DataFrame, root: str) -> None:
+    """Quotes as the original documents, ``<root>/<yyyy-MM-dd>/quotes.json``: one
+    JSON array over many lines a day, with one element per listed symbol."""
+    quote = F.struct(*[F.col(c).alias(k) for k, c in (
+        ("c", "current_price"), ("d", "change"), ("dp", "change_pct"), ("h", "high_price"), ("l", "low_price"),
+        ("o", "open_price"), ("pc", "prev_close"), ("t", "api_timestamp"))])
+    days = quotes.groupBy("quote_date").agg(F.to_json(
+        F.collect_list(F.struct("symbol", "exchange", quote.alias("quote"))), {"pretty": "true"}).alias("value"))
+    _one_file_each(days, lambda w: w.format("text"), ["quote_date"], root, lambda day: f"{day}/quotes.json")
+
+
 def daily_snapshots(quotes: DataFrame) -> DataFrame:
     """Quotes as snapshots that hold from the midnight (UTC) their date begins."""
     return quotes.select("symbol", "exchange", "prev_close", F.col("quote_date").cast("timestamp_ntz").alias("valid_from"))

@@ -33,3 +33,12 @@ def written_at(spark: SparkSession, path: str) -> int | None:
 def remove(spark: SparkSession, path: str) -> None:
     files, target = _open(spark, path)
     files.delete(target, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file or folder another place in the same file system; the folders above it are made."""
+    files, at = _open(spark, source)
+    _, to = _open(spark, target)
+    files.mkdirs(to.getParent())
+    if not files.rename(at, to):
+        raise OSError(f"cannot move {source} to {target}")

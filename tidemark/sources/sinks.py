@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.schemas import LAYER_TABLES
@@ -88,6 +88,19 @@ def jdbc_sink(url: str, properties: Mapping[str, str]) -> Sink:
     return write
 
 
+def read_in_order(spark: SparkSession, path: str, position: str = "position") -> DataFrame:
+    """An exported result with the place that each row has in the written order.
+
+    A sorted write numbers its files by range, so the place is a row's index in
+    its file after the rows of the files before.  Only the row counts per file (as
+    many as the write had tasks) are put in one order.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(files), "_file").withColumn(position, F.col("_before") + F.col("_at") + 1).drop("_file", "_at", "_before")
+
+
 def run_exports(exports: Mapping[str, DataFrame], sink: Sink) -> dict[str, int]:
     """Write each result with ``sink``; row counts are observed during the
     write itself instead of re-running the query."""
