@@ -21,6 +21,30 @@ def brute(cells, temper, targets=None, rounds=2000):
     return weight
 
 
+def brute_keep(cells, weight, temper, most=M.KEEP_SHARE, rounds=200):
+    """Probabilities min(1, product of factors) over the full table of cells, one value solved after the other,
+    at the largest share of the tokens that asks no value for more than it has."""
+    total, wants = sum(cells.values()), []
+    for axis, name in enumerate(("source", "lang", "topic")):
+        has = {v: sum(n for c, n in cells.items() if c[axis] == v) for v in {c[axis] for c in cells}}
+        whole = sum(n ** temper[name] for n in has.values())
+        wants.append({v: (n ** temper[name] / whole, n) for v, n in has.items()})
+    goal = min([most * total] + [n / want for axis in wants for want, n in axis.values()])
+    chance = {c: goal * weight[c] for c in cells}
+    for _ in range(rounds if max(chance.values()) > 1 else 0):
+        for axis in range(3):
+            for v, (want, _) in wants[axis].items():
+                mine = [c for c in cells if c[axis] == v]
+                low, high = 0.0, max(1 / chance[c] for c in mine)
+                for _ in range(60):
+                    mid = (low + high) / 2
+                    enough = sum(cells[c] * min(1.0, chance[c] * mid) for c in mine) >= want * goal
+                    low, high = (low, mid) if enough else (mid, high)
+                for c in mine:
+                    chance[c] *= high
+    return {c: min(1.0, p) for c, p in chance.items()}, goal / total
+
+
 def cells_of(rows):
     cells = {}
     for r in rows:
@@ -37,9 +61,12 @@ def test_query_against_brute_force(spark, sf_small):
     want = brute(cells_of(rows), M.TEMPER, rounds=300)
     for r in rows:
         assert np.isclose(r.mix_weight, want[r.source, r.lang, r.topic] if r.tokens else 0.0, rtol=1e-3)
+    chance, share = brute_keep(cells_of(rows), want, M.TEMPER)
+    for r in rows:
+        assert np.isclose(r.keep_prob, chance[r.source, r.lang, r.topic] if r.tokens else 0.0, atol=2e-3)
     total = sum(r.tokens for r in rows)
-    assert np.isclose(sum(r.tokens * r.keep_prob for r in rows), M.KEEP_SHARE * total, rtol=1e-4)
-    assert abs(sum(r.tokens for r in rows if r.kept) / total - M.KEEP_SHARE) < 0.15
+    assert np.isclose(sum(r.tokens * r.keep_prob for r in rows), share * total, rtol=1e-3)
+    assert abs(sum(r.tokens for r in rows if r.kept) / total - share) < 0.15
 
 
 def table(spark, n=4000):
@@ -75,9 +102,12 @@ def test_source_targets_and_caps(spark):
 
 def test_awkward(spark):
     rows = docs(spark, AWKWARD).select("doc_id", "source", "lang", M.topic_of(F.col("text")).alias("topic"),
-                                      M.word_count(F.col("text")).alias("tokens"), "factor", "kept")
-    mix = M.fit(rows.drop("kept"))
-    out = M.apply_mix(rows.drop("kept"), mix).collect()
+                                      M.word_count(F.col("text")).alias("tokens"), "factor", "kept",
+                                      F.lit("x").alias("keep_prob"), F.lit("x").alias("mix_weight"), F.lit("x").alias("at"), F.lit("x").alias("want"))
+    mix = M.fit(rows)
+    found = M.apply_mix(rows, mix)
+    out = found.collect()
+    assert sorted(found.columns) == sorted(rows.columns) and dict(found.dtypes)["kept"] == "boolean" and out[0].want == "x"
     assert len(out) == len(AWKWARD) and all((r.keep_prob > 0) == (r.tokens > 0) for r in out)
-    none = rows.drop("kept").limit(0)
+    none = rows.limit(0)
     assert M.fit(none) is None and M.apply_mix(none, None).count() == 0

@@ -5,7 +5,7 @@ import public_tokenizers as P
 import pytest
 import tiktoken
 from cases import AWKWARD, docs
-from test_mixing import brute as brute_mix
+from test_mixing import brute as brute_mix, brute_keep
 from test_simhash import brute_components, brute_fingerprint
 
 import corpus_pipeline
@@ -40,8 +40,7 @@ def test_stages_against_brute_force(spark, sf_small, outputs):
     def fine(text):
         if not ecoc_langid.has_letter(text):
             return False
-        counts = ecoc_langid.ngram_counts(text)
-        return counts.sum() < ecoc_langid.ENOUGH or not model.decode(counts)[2]
+        return not model.decode(ecoc_langid.ngram_counts(text), ecoc_langid.ENOUGH)[2]
     want = {i: r for i, r in rows(before).items() if fine(r.text)}
     assert rows(told) == want
     last = {}
@@ -58,15 +57,10 @@ def test_stages_against_brute_force(spark, sf_small, outputs):
     for i, r in want.items():
         key = (r.source, r.lang, topic[i])
         cells[key] = cells.get(key, 0) + len(r.text.split())
-    weight = brute_mix(cells, mixing.TEMPER, rounds=300)
-    total = sum(cells.values())
-    low, high = 0.0, 1 / min(weight.values())
-    for _ in range(100):
-        mid = (low + high) / 2
-        low, high = (mid, high) if sum(n * min(1, mid * weight[c]) for c, n in cells.items()) < mixing.KEEP_SHARE * total else (low, mid)
+    chance_of, _ = brute_keep(cells, brute_mix(cells, mixing.TEMPER, rounds=300), mixing.TEMPER)
     draw = {r.doc_id: r.u for r in apart.selectExpr("doc_id", f"shiftrightunsigned(xxhash64({mixing.SEED}, doc_id), 11) / {float(1 << 53)!r}D AS u").collect()}
-    chance = {i: min(1.0, high * weight[r.source, r.lang, topic[i]]) for i, r in want.items()}
-    sure = {i: draw[i] < p for i, p in chance.items() if abs(draw[i] - p) > 1e-3}
+    chance = {i: chance_of[r.source, r.lang, topic[i]] for i, r in want.items()}
+    sure = {i: draw[i] < p for i, p in chance.items() if abs(draw[i] - p) > 2e-3}
     got = rows(mixed)
     assert len(sure) > 0.9 * len(want) and all((i in got) == kept for i, kept in sure.items()) and all(got[i] == want[i] for i in got)
     with open(P.path(catalog.VOCABULARY), "rb") as f:

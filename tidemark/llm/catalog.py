@@ -38,7 +38,7 @@ def op3_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
     warc.write_archives(read_table(spark, sf_dir, "pages"), path)
-    return warc.read_archives(spark, path).where("gap_reason IS NULL").select(
+    return warc.without_gaps(warc.read_archives(spark, path)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import ensure_checkpoint_dir
+
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 BATCH_BYTES = 16 * 1024 ** 2
 
@@ -22,16 +24,9 @@ SLICE_ROWS = 64
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for written intermediate tables.
-
-    It lies below ``spark.checkpoint.dir``, which all executors share; where
-    the session names none (tests), below a new temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-llm-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/tidemark-llm/{name}-{uuid.uuid4().hex}"
+    """A fresh folder for written intermediate tables, below the shared checkpoint
+    folder (a cluster session without one raises)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-llm/{name}-{uuid.uuid4().hex}"
 
 
 _shipped: set[str] = set()

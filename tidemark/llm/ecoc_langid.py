@@ -93,13 +93,16 @@ class Model:
     weights: np.ndarray       # buckets x bits
     trust: np.ndarray         # languages x bits, rows sum to 1
 
-    def margins(self, counts: np.ndarray) -> np.ndarray:
+    def margins(self, counts: np.ndarray, evidence: int | None = None) -> np.ndarray:
+        """Margins of the classifiers, as of ``evidence`` n-grams like these (by
+        default as many as there are, ``ENOUGH`` at most)."""
         total = counts.sum()
-        return counts @ self.weights * (min(total, ENOUGH) / max(total, 1))
+        return counts @ self.weights * ((evidence or min(total, ENOUGH)) / max(total, 1))
 
-    def decode(self, counts: np.ndarray) -> tuple[str, float, bool]:
+    def decode(self, counts: np.ndarray, evidence: int | None = None) -> tuple[str, float, bool]:
         """Language, its share among the codewords, and whether it is ambiguous."""
-        loss = (self.trust * np.logaddexp(0.0, -self.code * self.margins(counts))).sum(axis=1)
+        margins = self.margins(counts, evidence) if evidence else self.margins(counts)
+        loss = (self.trust * np.logaddexp(0.0, -self.code * margins)).sum(axis=1)
         share = np.exp(-self.code.shape[1] * (loss - loss.min()))
         share /= share.sum()
         best = int(np.argmax(share))
@@ -196,11 +199,12 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", evidence: int = ENOUGH) -> DataFrame:
     """The rows of ``docs`` whose language can be told, with their own columns.
 
-    Rejected are texts that are null or have no letter, and those of at least
-    ``ENOUGH`` n-grams that are still ambiguous; short texts are not held to that.
+    Rejected are texts that are null or have no letter, and those that are
+    ambiguous.  A text is judged by how its n-grams are mixed, not by their number:
+    texts of all lengths are decoded as if they had ``evidence`` n-grams.
     """
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -210,10 +214,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> Da
         model = shared.value
 
         def one(text: str) -> bool:
-            if not model.languages or not has_letter(text):
-                return False
-            counts = ngram_counts(text)
-            return counts.sum() < ENOUGH or not model.decode(counts)[2]
+            return bool(model.languages) and has_letter(text) and not model.decode(ngram_counts(text), evidence)[2]
         return texts.map(one)
 
     return docs.where(told(text_or_empty(text_col)))

@@ -3,7 +3,9 @@
 Token weights are raked until the shares of sources, languages and topics meet
 their targets; a document is then drawn with a probability in proportion to the
 weight of its cell.  Where that would exceed 1, such cells are kept whole and the
-rest is raked again, so that the drawn tokens meet the targets.  Cells are summed before anything is gathered.  Languages
+rest is raked again, so that the drawn tokens meet the targets.  The share of all
+tokens that is drawn is the largest, up to a wanted one, at which they can: no
+value is asked for more tokens than it has.  Cells are summed before anything is gathered.  Languages
 and topics are few, sources may be many: the fit keeps one factor per language
 and topic on the driver, and a pass over the table of sources gives every
 source's factor from those.
@@ -23,7 +25,11 @@ from tidemark.llm.common import materialize
 # A marginal's target share of a value is its token share to this power, so
 # large values shrink; targets can also be given outright.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
+# At most this share of the tokens is kept; less where the targets ask for it.
 KEEP_SHARE = 0.6
+# A share at which the targets cannot be met together is lowered by this factor.
+LOWER = 0.95
+MISS = 1e-4
 TOLERANCE = 1e-6
 MAX_PASSES = 100
 SEED = 5
@@ -57,7 +63,8 @@ class Mix:
     scale: float                             # probability = scale x weight where that nowhere exceeds 1
     keep_pairs: dict[tuple[str, str], float]  # probability = min(1, keep_factor x this)
     miss: float                              # largest miss of a share among the tokens expected to be kept
-    converged: bool                          # all shares are met, or come as near as the tokens there are allow
+    converged: bool                          # all shares are met
+    keep_share: float                        # share of the tokens expected to be kept
 
 
 def _key(column: str) -> Column:
@@ -139,57 +146,69 @@ def fit(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
     factors = materialize(with_factor(pair).select("source", F.coalesce("factor", F.lit(0.0)).alias("factor"), "want", "cells"), "mix-factors")
     weight = F.expr("x.n"), F.col("factor") * F.expr(f"{_array(pair)}[x.at]")
     each = factors.select(F.explode("cells").alias("x"), "factor").select(weight[0].alias("n"), weight[1].alias("w"))
-    scale = _scale(each, keep_share * float(mass.sum()), float(mass.sum()))
-    top, reach = each.where("w > 0").agg(F.max("w"), F.sum("n")).first()
-    keep, miss = pair, float(error)
-    if top * scale > 1.0:
+    total, top = float(mass.sum()), each.agg(F.max("w")).first()[0]
+    live = each.where("w > 0")
+    # At this share every probability is scale x weight, so it can always be kept.
+    least = min(keep_share, float(live.agg(F.sum(F.col("n") * F.col("w"))).first()[0]) / top / total)
+    share = min(keep_share, _reach(factors, pair, ((row, want_row), (col, want_col))) / total)
+    keep, miss, met = pair, float(error), True
+    while True:
+        share = max(share, least)
+        scale = share * total / float(live.agg(F.sum(F.col("n") * F.col("w"))).first()[0])
+        if top * scale <= 1.0 + 1e-12:
+            kept = factors.withColumn("keep_factor", F.col("factor") * F.lit(scale))
+            keep, miss, met = pair, float(error), True
+            break
         axes = (row, want_row), (col, want_col)
-        factors, keep, miss, met = _keep_whole(factors, pair, scale, axes, min(keep_share * float(mass.sum()), float(reach)), tolerance, max_passes)
-        converged = converged and met
-    else:
-        factors = factors.withColumn("keep_factor", F.col("factor") * F.lit(scale))
+        kept, keep, miss, met = _keep_whole(factors, pair, scale, axes, share * total, tolerance, max_passes)
+        if miss <= max(MISS, float(error)):
+            met = True
+            break
+        share *= LOWER
+    factors = kept
+    converged = converged and met
+    if share < keep_share:
+        warnings.warn(f"the targets can be met with {share:.3g} of the tokens, not with {keep_share:.3g}", stacklevel=2)
     named = [(langs[r], topics[k]) for r, k in zip(row, col, strict=True)]
     return Mix(factors.select("source", "factor", "keep_factor"), dict(zip(named, pair.tolist(), strict=True)),
-               passes, float(error), scale, dict(zip(named, keep.tolist(), strict=True)), miss, converged)
+               passes, float(error), scale, dict(zip(named, keep.tolist(), strict=True)), miss, converged, share)
 
 
 def _array(values: np.ndarray) -> str:
     return "array(" + ",".join(f"{x!r}D" for x in values.tolist()) + ")"
 
 
-def _within_reach(want: np.ndarray, most: np.ndarray, goal: float) -> np.ndarray:
-    """Tokens of each value, sum ``goal``: in proportion to ``want``, but all there are where that is more."""
-    full = np.zeros(len(want), bool)
-    while True:
-        rest = want[~full].sum()
-        each = np.where(full, most, want * ((goal - most[full].sum()) / rest if rest > 0 else 0.0))
-        over = ~full & (each > most)
-        if not over.any():
-            return each
-        full |= over
+def _reach(factors: DataFrame, pair: np.ndarray, axes: tuple) -> float:
+    """The most tokens that can be kept before some source, language or topic is
+    asked for more than it has."""
+    live = factors.where("factor > 0").select("source", "want", F.explode(
+        F.expr(f"filter(cells, c -> {_array(pair)}[c.at] > 0)")).alias("x"))
+    sources = live.groupBy("source").agg(F.sum("x.n").alias("most"), F.max("want").alias("want"))
+    whole = factors.agg(F.sum("want")).first()[0]
+    found = [sources.where("want > 0").agg(F.min(F.col("most") / F.col("want")) * F.lit(whole)).first()[0]]
+    most = np.zeros(len(pair))
+    for r in live.groupBy("x.at").agg(F.sum("x.n").alias("n")).collect():
+        most[r["at"]] = r["n"]
+    for at, want in axes:
+        has = np.bincount(at, most, len(want))
+        found.append(float((has[want > 0] / want[want > 0]).min()))
+    return min(found)
 
 
 def _keep_whole(factors: DataFrame, pair: np.ndarray, scale: float, axes: tuple, goal: float, tolerance: float,
                 max_passes: int) -> tuple[DataFrame, np.ndarray, float, bool]:
-    """Rakes the probabilities min(1, keep_factor x pair factor) until the expected tokens meet the targets.
+    """Rakes the probabilities min(1, keep_factor x pair factor) until the expected tokens, sum ``goal``, meet the targets.
 
-    A value whose target exceeds its tokens keeps them all and the others share
-    the rest, so ``goal`` is met.  Returns the factors with keep_factor, the
-    pair factors, the largest miss of a target share and whether it converged.
+    Returns the factors with keep_factor, the pair factors, the largest miss of a
+    target share and whether it converged.
     """
     live = F.expr(f"filter(cells, c -> {_array(pair)}[c.at] > 0)")
     sources = factors.withColumn("live", F.when(F.col("factor") > 0, live).otherwise(F.expr("filter(cells, c -> false)")))
     sources = sources.withColumn("most", F.expr("aggregate(live, 0D, (s, c) -> s + c.n)"))
     sources = materialize(sources, "mix-live")
-    most = np.zeros(len(pair))
-    for r in sources.select(F.explode("live").alias("x")).groupBy("x.at").agg(F.sum("x.n").alias("n")).collect():
-        most[r["at"]] = r["n"]
-    aims = [_within_reach(want, np.bincount(at, most, len(want)), goal) for at, want in axes]
-
-    # The level of the source targets: the sum of min(most, level x want) is the goal.
-    some = sources.where("most > 0 AND want > 0")
-    level = _scale(some.select(F.col("most").alias("n"), (F.col("want") / F.col("most")).alias("w")), goal, goal)
-    sources = sources.withColumn("aim", F.least("most", F.col("want") * F.lit(level)))
+    aims = [want * goal for _, want in axes]
+    total = sources.agg(F.sum("want")).first()[0]
+    sources = sources.withColumn("aim", F.least("most", F.col("want") * F.lit(goal / total)))
 
     def with_keep(g: np.ndarray) -> DataFrame:
         # The sum of n x min(1, f x g) is the least of the lines that take the largest g as kept whole, so f is the largest solution.
@@ -226,37 +245,15 @@ def _keep_whole(factors: DataFrame, pair: np.ndarray, scale: float, axes: tuple,
             change = np.clip(change, 0.1, 10.0)
             factor[k] = factor[k] * change
             part = part * change[at]
-    total = sources.agg(F.sum("want")).first()[0]
     source_miss = sources.agg(F.max(F.abs(F.col("aim") / F.lit(goal) - F.col("want") / F.lit(total)))).first()[0]
     miss = max([np.abs(now / now.sum() - want).max() for now, (_, want) in zip(sums, axes, strict=True)] + [source_miss])
-    if off > tolerance:
-        warnings.warn(f"raking of the probabilities ended after {passes} passes with a share {off:.2g} off what can be met", stacklevel=3)
-    if miss > tolerance:
-        warnings.warn(f"a share of the tokens to keep is {miss:.2g} off its target: too few tokens for the share kept", stacklevel=3)
     return materialize(with_keep(g), "mix-keep"), g, float(miss), bool(off <= tolerance)
 
 
-def _scale(cells: DataFrame, goal: float, total: float) -> float:
-    """The scale at which the expected tokens, sum of n x min(1, scale x w), reach ``goal``.
-
-    Each pass tries 32 scales at once, so six passes give about nine digits.
-    """
-    top, reach = cells.where("w > 0").agg(1 / F.min("w"), F.sum("n")).first()
-    if top is None or goal >= reach:
-        return float(top or 0.0)
-    low, high = 0.0, float(top)
-    for _ in range(6):
-        tries = np.linspace(low, high, 33)[1:].tolist()
-        sums = cells.agg(*[F.sum(F.col("n") * F.least(F.lit(1.0), F.col("w") * F.lit(x))) for x in tries]).first()
-        k = next((k for k, s in enumerate(sums) if s >= goal), len(tries) - 1)
-        low, high = (tries[k - 1] if k else low), tries[k]
-    return high
-
-
 def apply_mix(docs: DataFrame, mix: Mix | None, id_col: str = "doc_id") -> DataFrame:
     """``docs`` with mix_weight, keep_prob and kept.
 
-    Rows without tokens weigh nothing and are not drawn.  A document's draw
+    Columns of these names are replaced.  Rows without tokens weigh nothing and are not drawn.  A document's draw
     depends on its id alone, so repeated rows share their fate.  The source
     factors are a written table: broadcast only where Spark finds it small,
     otherwise joined by sorting, with a large source split.

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_stream, materialize
+from tidemark.llm.common import map_stream, materialize, scratch_dir
 
 ARCHIVE_BYTES = 16 * 1024 ** 2
 WARC_DATE = "1970-01-01T00:00:00Z"
@@ -228,3 +228,18 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     files = spark.read.schema("path string, modificationTime timestamp, length long, content binary") \
                  .format("binaryFile").load(path)
     return map_stream(files, ["path", "content"], schema, run)
+
+
+def without_gaps(found: DataFrame) -> DataFrame:
+    """The records of archives that must be sound.
+
+    Where a reader had to quarantine bytes, the gaps are written to the scratch
+    folder as a log and the job stops with its place.
+    """
+    found = materialize(found, "warc-records")
+    gaps = found.where("gap_reason IS NOT NULL").select("path", "start", "length", "gap_reason")
+    if not gaps.isEmpty():
+        log = scratch_dir(found.sparkSession, "warc-gaps")
+        gaps.write.parquet(log)
+        raise ValueError(f"archives have unreadable bytes, listed in {log}")
+    return found
