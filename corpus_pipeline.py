@@ -41,8 +41,9 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Draws documents by the probabilities raked to source, language and topic targets."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "lang",
-                       mixing.topic_of(text).alias("topic"), mixing.word_count(text).alias("tokens"))
+    # Written, so that topics and tokens are worked out once for the fit and the draw.
+    rows = materialize(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "lang",
+                                   mixing.topic_of(text).alias("topic"), mixing.word_count(text).alias("tokens")), "mix-rows")
     return mixing.apply_mix(rows, mixing.fit(rows)).where("kept").select("row.*")
 
 
