@@ -29,7 +29,6 @@ HEX = r"[0-9a-f]{16,}"
 # Candidates, their classes (the first that fits counts) and least bits a character.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
-LEAST_DIGITS = 0  # the entropy decides, keys without digits are candidates too
 CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 CLASSES = (
     ("[0-9a-f]+|[0-9A-F]+", 3.0),
@@ -40,15 +39,26 @@ CLASSES = (
 # delimiters; windows that touch allowed parts only add nothing.
 DELIMITER = "[-_/+=]"
 UUID = r"(?<![A-Za-z0-9])(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})(?![A-Za-z0-9])"
+
+def _one_case(letters: str, consonants: str, usual: str, rare: str) -> str:
+    """Words of one case.  Those as long as a window must look like words: no four
+    consonants in a row, and at most two rare letters."""
+    return (rf"[{letters}]{{1,{WINDOW - 1}}}(?![{letters}])|(?![{letters}]*?[{consonants}]{{4}})"
+            rf"(?!(?:[{usual}]*+[{rare}]){{3}})[{letters}]{{{WINDOW},}}")
+
+
 # Words of one case or in camel case, without six consonants in a row, and a short number.
+# Repeated groups are possessive: the regular expressions of the JVM match those in a loop, others by recursion.
 _WORD = (r"(?![A-Za-z]*?(?i:[bcdfghjklmnpqrstvwxz]{6}))"
-         r"(?:[a-z]+|[A-Z]+|[a-z]*(?:[A-Z]{1,6}[a-z]{2,}|(?:As|At|By|Do|Id|If|In|Is|My|No|Of|On|Or|To|Up))++[A-Z]{0,4})[0-9]{0,4}")
+         rf"(?:{_one_case('a-z', 'bcdfghjklmnpqrstvwxz', 'abcdefghilmnoprstuy', 'jkqvwxz')}"
+         rf"|{_one_case('A-Z', 'BCDFGHJKLMNPQRSTVWXZ', 'ABCDEFGHILMNOPRSTUY', 'JKQVWXZ')}"
+         r"|[a-z]*(?:[A-Z]{1,6}[a-z]{2,}|(?:As|At|By|Do|Id|If|In|Is|My|No|Of|On|Or|To|Up))++[A-Z]{0,4})[0-9]{0,4}")
 PARTS = (
     _WORD,
     r"[0-9]{1,8}|(?:19|20)[0-9]{10}(?:[0-9]{2})?",      # numbers, and dates with their parts or in one piece
     r"[0-9]{2,8}T[0-9]{2,6}Z?",                          # a day and the hour after it
     r"[0-9]{1,4}[A-Za-z]{1,2}|[A-Za-z0-9]{1,3}",
-    r"0+|[xX]+|(?i:abcdefghijklmnopqrstuvwxyz|0123456789|1234567890|0123456789abcdef)+",
+    r"0+|[xX]+|(?i:abcdefghijklmnopqrstuvwxyz|0123456789abcdef|0123456789|1234567890)++",
 )
 # Candidates of nothing but allowed parts.
 ALLOWED = (rf"(?:{DELIMITER}*+(?:{UUID}|{'|'.join(PARTS)})(?![A-Za-z0-9]))*+{DELIMITER}*+",)
@@ -162,7 +172,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     rows = rows.select("*", F.expr(base).alias("__base"), F.expr(
         f"filter(zip_with(zip_with(__cand, __cand_len, (m, x) -> named_struct('text', m, 'gap', x.gap, 'least', {_least('m')})), __cand_sum, "
         f"(c, b) -> named_struct('text', c.text, 'start', b + c.gap, 'least', c.least)), "
-        f"c -> char_length(regexp_replace(c.text, '[^0-9]', '')) >= {LEAST_DIGITS} AND NOT ({allowed}))").alias("__kept"))
+        f"c -> NOT ({allowed}))").alias("__kept"))
     extra = (f"flatten(transform(__kept, c -> transform({_entropy('c')}, w -> {_span(3, 'c.start + w.from', 'c.start + w.to')})))")
     rows = rows.select("*", F.expr(f"CASE WHEN size(__kept) > 0 THEN {extra} ELSE cast(array() as array<struct<start:int,kind:int,end:int>>) END").alias("__extra"))
     both = F.expr("array_sort(concat(__base, filter(__extra, e -> NOT exists(__base, b -> b.start <= e.start AND b.end >= e.end))))")
