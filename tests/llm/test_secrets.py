@@ -161,7 +161,7 @@ from tidemark.session import local_session
 spark = local_session(2, 2)
 pieces = ["0123456789", "0123456789abcdef", "1234567890", "abcdefghijklmnopqrstuvwxyz", "0", "xX", "Word", "ToOf", "word", "WORD", "a1-", "12T34Z-", "1999", "ABCDEFg"]
 rows = [(k, "x-" + piece * (size // len(piece)), "en", "a") for size in (20_000, 200_000, 2_000_000) for k, piece in enumerate(pieces)
-        if size < 2_000_000 or piece[0] in "0a"]
+        if size < 2_000_000 or k in (0, 3)]
 print("spans", sum(len(r.spans) > 0 for r in secrets.scan_secrets(docs(spark, rows)).collect()), len(rows))
 """
 
