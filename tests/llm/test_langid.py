@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from cases import AWKWARD, docs
 
 from tidemark.llm import catalog, ecoc_langid as L
@@ -72,3 +73,56 @@ def test_parts_of_a_long_text_add_up(monkeypatch):
     whole = L.ngram_counts(text)
     monkeypatch.setattr(L, "PART", 7)
     assert (L.ngram_counts(text) == whole).all()
+
+
+def plain_ngrams(text):
+    """1-, 2- and 3-grams in a dictionary: small letters, any run of other characters as one space, one before the text."""
+    letters, out = " ", {}
+    for c in text.lower():
+        letters += c if c.isalpha() else "" if letters[-1] == " " else " "
+    for n in (1, 2, 3):
+        for k in range(len(letters) - n + 1):
+            if n > 1 or letters[k] != " ":
+                out[letters[k:k + n]] = out.get(letters[k:k + n], 0) + 1
+    return out
+
+
+def test_query_against_plain_codes(spark, sf_small):
+    """The same code matrix, classifiers and weights from plain dictionaries of n-grams that are not hashed."""
+    rows = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text", "lang").collect()
+    learn = [r for r in rows if r.lang and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    languages = sorted({r.lang for r in learn})
+    totals = {x: {} for x in languages}
+    for r in learn:
+        for gram, n in plain_ngrams(r.text).items():
+            totals[r.lang][gram] = totals[r.lang].get(gram, 0) + n
+    code = L.codewords(len(languages))
+    sums = {x: sum(t.values()) + L.SMOOTHING * L.BUCKETS for x, t in totals.items()}
+    weights = {}
+    for gram in set().union(*totals.values()):
+        share = np.array([(totals[x].get(gram, 0) + L.SMOOTHING) / sums[x] for x in languages])
+        weights[gram] = [math.log(share[bit > 0].mean() / share[bit < 0].mean()) for bit in code.T]
+
+    def margins(text):
+        grams = plain_ngrams(text)
+        total = sum(grams.values())
+        return sum((n * np.array(weights[g]) for g, n in grams.items() if g in weights), np.zeros(code.shape[1])) * min(total, L.ENOUGH) / max(total, 1)
+
+    right = {x: np.mean([margins(r.text) * code[k] > 0 for r in learn if r.lang == x], axis=0) for k, x in enumerate(languages)}
+    trust = np.array([np.maximum(right[x], 0.01) / np.maximum(right[x], 0.01).sum() for x in languages])
+    same = told = 0
+    found = {r.doc_id: r for r in catalog.op7_ecoc(spark, sf_small).collect()}
+    for r in rows:
+        if not L.has_letter(r.text):
+            assert found[r.doc_id].lang_pred == "und"
+            continue
+        loss = (trust * np.logaddexp(0, -code * margins(r.text))).sum(axis=1)
+        told += 1
+        same += languages[int(np.argmin(loss))] == found[r.doc_id].lang_pred
+    assert same / told > 0.99
+
+
+def test_labels_that_are_no_languages(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 3)
+    with pytest.raises(ValueError):
+        L.train(docs(spark, [(k, "words", f"l{k}", None) for k in range(4)]))

@@ -26,6 +26,8 @@ SMOOTHING = 0.5
 ENOUGH = 150
 AMBIGUOUS_BELOW = 0.6
 UNDETERMINED = "und"
+# The driver holds a row of counts per language; more labels than this are refused.
+MAX_LANGUAGES = 1000
 SEED = 11
 PART = 1 << 20
 
@@ -112,7 +114,9 @@ class Model:
 def training_sample(docs: DataFrame, text_col: str, label_col: str, id_col: str, per_language: int) -> DataFrame:
     """(text, lang) of about ``per_language`` documents of each language, drawn by a hash of the id."""
     known = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r["lang"]: r["n"] for r in known.groupBy(F.col(label_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in known.groupBy(F.col(label_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labels: the label column does not hold languages")
     if not sizes:
         return known.select(F.col(text_col).alias("text"), F.col(label_col).alias("lang")).limit(0)
     chance = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, per_language / n))])

@@ -32,6 +32,8 @@ LOWER = 0.95
 MISS = 1e-4
 TOLERANCE = 1e-6
 MAX_PASSES = 100
+# The driver holds a factor for each pair of a language and a topic; more than these are refused.
+MAX_PAIRS = 10_000
 SEED = 5
 NONE = "\0none"
 
@@ -90,7 +92,9 @@ def fit(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
     cells = materialize(docs.where("tokens > 0").groupBy(_key("source").alias("source"), _key("lang").alias("lang"), _key("topic").alias("topic"))
                         .agg(F.sum("tokens").cast("double").alias("n")), "mix-cells")
     pairs = [(r["lang"], r["topic"], r["n"]) for r in
-             cells.groupBy("lang", "topic").agg(F.sum("n").alias("n")).orderBy("lang", "topic").collect()]
+             cells.groupBy("lang", "topic").agg(F.sum("n").alias("n")).orderBy("lang", "topic").limit(MAX_PAIRS + 1).collect()]
+    if len(pairs) > MAX_PAIRS:
+        raise ValueError(f"more than {MAX_PAIRS} pairs of a language and a topic: fold the rare values first")
     if not pairs:
         return None
     langs, topics = sorted({p[0] for p in pairs}), sorted({p[1] for p in pairs})

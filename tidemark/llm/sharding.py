@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, ship_package
 
+# No task numbers more rows than this, and the driver holds one offset for as many.
+PART_ROWS = 1_000_000
 RANGES_PER_SHARD = 64
 SAMPLES_PER_RANGE = 32
 OVERFULL = 2.0
@@ -105,6 +107,7 @@ def find_splitters(rows: DataFrame, total: int, shards: int) -> Splitters:
 def shard_by_splitters(rows: DataFrame, shards: int) -> DataFrame:
     """``rows`` (id, size long, key long, further columns) with ``shard`` and ``slot``.
 
+    The driver holds one number per part of at most ``PART_ROWS`` rows.
     Sizes must be positive.  ``slot`` counts from 0 within a shard without
     gaps, by key and id.  Null ids and repeated rows are placed like any other;
     an empty table gives an empty one.
@@ -117,7 +120,7 @@ def shard_by_splitters(rows: DataFrame, shards: int) -> DataFrame:
     split = find_splitters(rows, total, shards)
 
     # A unit of many small rows is numbered in parts, so that no task numbers more.
-    part_rows = max(1, -(-2 * count // (shards * RANGES_PER_SHARD)))
+    part_rows = max(1, min(PART_ROWS, -(-2 * count // (shards * RANGES_PER_SHARD))))
     placed = rows.withColumn("unit", _unit_column(split))
     sums = placed.groupBy("unit").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
     shard_of, parts = np.zeros(split.units, np.int32), np.ones(split.units, np.int64)
