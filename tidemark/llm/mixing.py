@@ -165,7 +165,8 @@ def fit(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
             break
         axes = (row, want_row), (col, want_col)
         kept, keep, miss, met = _keep_whole(factors, pair, scale, axes, share * total, tolerance, max_passes)
-        if miss <= max(MISS, float(error)):
+        # Targets that contradict each other are missed whatever the share, so they do not lower it further.
+        if miss <= max(MISS, 2 * float(error)):
             met = True
             break
         share *= LOWER
