@@ -88,3 +88,27 @@ def test_list_decoding_is_complete():
                     sums = (sums[:, None] + (w @ turned[a:b])[None, :]).ravel()
                 want = set(np.flatnonzero(sums >= code.height).tolist()) | {int(np.argmax(sums))}
                 assert set(code.decode(v)) == want
+
+
+def test_many_vectors_decode_as_one_by_one():
+    rng = np.random.default_rng(2)
+    for dims, n in ((64, 50_000), (12, 300), (1, 3)):
+        units = rng.standard_normal((20, dims))
+        units /= np.linalg.norm(units, axis=1, keepdims=True)
+        codes = C.product_codes(dims, n)
+        for row, got_row in zip(units, C.directions(codes, units), strict=True):
+            want = np.unique(np.concatenate([C._numbered(dims, c.number, np.array(c.decode(row), np.uint64)) for c in codes]))
+            assert got_row.tolist() == want.tolist()
+
+
+def test_sketches_keep_pairs_at_the_border():
+    rng, most = np.random.default_rng(3), C.sketch_distance(0.9)
+    x = rng.standard_normal((20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.standard_normal(x.shape)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(0.19) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    x_signs, y_signs = (C.sign_sketches(v).view(np.uint64) for v in (x, y))
+    far = np.bitwise_count(x_signs ^ y_signs).sum(axis=1)
+    assert far.max() <= most < C.SKETCH_BITS // 2
+    assert (np.bitwise_count(x_signs[1:] ^ x_signs[:-1]).sum(axis=1) > most).mean() > 0.98

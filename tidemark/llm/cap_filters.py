@@ -7,6 +7,10 @@ the list of all directions whose inner product with it exceeds the cap's
 height; close vectors exceed common directions.  Rows join on directions and
 every pair that meets is checked by its cosine in double precision.
 
+What travels to a direction is a row's id and a short sign sketch.  Rows of
+which no sketch comes near end there; the others form candidate sets, a set found
+under many directions is one, and only their members' vectors are fetched, once a set.
+
 The height follows the number of vectors, so that a cap holds a few unrelated
 vectors at any size; several independent codes keep the chance to miss a pair
 small (``expected_recall``).
@@ -15,6 +19,7 @@ small (``expected_recall``).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import acos, comb, pi
 
 import numpy as np
 import pandas as pd
@@ -37,6 +42,12 @@ LIST_LENGTH = 4.0
 CAP_ROWS = 2.0
 MAX_BLOCK_WORDS = 8192
 CHUNK_ROWS = 1000
+# Scores that list decoding compares at once.
+DECODE_CELLS = 1 << 20
+# Signs of a vector on random hyperplanes travel with its directions; pairs that meet are looked at
+# further unless their signs differ in more places than a pair at the least cosine does with this chance.
+SKETCH_BITS = 128
+SKETCH_MISS = 1e-9
 SEED = 23
 
 
@@ -65,28 +76,31 @@ class ProductCode:
 
     def decode(self, vector: np.ndarray) -> list[int]:
         """Directions with an inner product of at least the height, and always the best one."""
-        turned = self.rotation @ vector
-        scores = [w @ turned[a:b] for w, a, b in zip(self.words, self.cuts[:-1], self.cuts[1:], strict=True)]
-        tops = [s.max() for s in scores]
-        sums, ids, rest = np.zeros(1), np.zeros(1, np.int64), sum(tops)
-        best = 0
+        return self.decode_many(vector[None, :])[1].tolist()
+
+    def decode_many(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for a matrix of vectors: row of the vector and direction, sorted and without repeats."""
+        turned = units @ self.rotation.T
+        scores = [turned[:, a:b] @ w.T for w, a, b in zip(self.words, self.cuts[:-1], self.cuts[1:], strict=True)]
+        tops = [s.max(axis=1) for s in scores]
+        owner, sums, ids = np.arange(len(units)), np.zeros(len(units)), np.zeros(len(units), np.int64)
+        rest, best = np.sum(tops, axis=0), np.zeros(len(units), np.int64)
         for s, top in zip(scores, tops, strict=True):
-            rest -= top
-            best = best * len(s) + int(np.argmax(s))
+            rest = rest - top
+            best = best * s.shape[1] + s.argmax(axis=1)
             # Only beginnings that the best words of the other blocks can still lift over the height.
-            need = self.height - rest - sums
-            rows, cols = np.nonzero(s[None, :] >= need[:, None]) if len(sums) * len(s) <= 1 << 20 else _pairs(s, need)
-            ids = ids[rows] * len(s) + cols
-            sums = sums[rows] + s[cols]
-        return np.union1d(ids, [best]).tolist()
-
-
-def _pairs(s: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(-s)
-    counts = np.searchsorted(-s[order], -need, side="right")
-    rows = np.repeat(np.arange(len(need)), counts)
-    cols = order[np.concatenate([np.arange(k) for k in counts])] if len(rows) else np.zeros(0, np.int64)
-    return rows, cols
+            need = self.height - rest[owner] - sums
+            step, parts = max(1, DECODE_CELLS // s.shape[1]), []
+            for k in range(0, len(owner), step):
+                rows, cols = np.nonzero(s[owner[k:k + step]] >= need[k:k + step, None])
+                parts.append((rows + k, cols))
+            rows, cols = (np.concatenate(p) for p in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 2
+            ids, sums, owner = ids[rows] * s.shape[1] + cols, sums[rows] + s[owner[rows], cols], owner[rows]
+        owner, ids = np.r_[owner, np.arange(len(units))], np.r_[ids, best]
+        order = np.lexsort((ids, owner))
+        owner, ids = owner[order], ids[order]
+        new = np.r_[True, (owner[1:] != owner[:-1]) | (ids[1:] != ids[:-1])] if len(owner) else np.zeros(0, bool)
+        return owner[new], ids[new]
 
 
 def product_codes(dims: int, vectors: int, codes: int | None = None, list_length: float = LIST_LENGTH,
@@ -149,6 +163,57 @@ def dimensions(packed: bytes) -> int:
     return (len(packed) - 1) // (4 if packed[:1] == b"f" else 8)
 
 
+def sign_sketches(units: np.ndarray) -> np.ndarray:
+    """``SKETCH_BITS`` signs of each row on random hyperplanes, as two longs."""
+    planes = np.random.default_rng([SEED, SKETCH_BITS, units.shape[1]]).standard_normal((SKETCH_BITS, units.shape[1]))
+    return np.packbits(units @ planes.T >= 0, axis=1).view(np.int64)
+
+
+def sketch_distance(min_cosine: float) -> int:
+    """The number of signs in which a pair at ``min_cosine`` differs at most, but for ``SKETCH_MISS``."""
+    p = acos(max(-1.0, min(1.0, min_cosine))) / pi
+    tail, bits = 0.0, SKETCH_BITS
+    while bits > 0 and tail + (chance := comb(SKETCH_BITS, bits) * p ** bits * (1 - p) ** (SKETCH_BITS - bits)) <= SKETCH_MISS:
+        tail, bits = tail + chance, bits - 1
+    return bits
+
+
+def _candidates(max_bits: int):
+    """For all buckets of a batch at once: the candidate set of every row, 0 for none.
+
+    A set is named by its members, so that the same one found under several
+    directions has one name; what a chunked bucket finds is named by the bucket.
+    """
+    def prepare(frame: pd.DataFrame) -> Arrays:
+        key, own = frame[["bucket", "a", "b"]].to_numpy(), frame["own"].to_numpy()
+        high, low = (frame[c].to_numpy().view(np.uint64) for c in ("high", "low"))  # of signed numbers NumPy counts the bits of the absolute value
+        ids = frame["id"].to_numpy()
+        ends = np.flatnonzero(np.r_[(key[1:] != key[:-1]).any(axis=1), True]) + 1
+        end = np.repeat(ends, np.diff(np.r_[0, ends]))
+        crossed = key[:, 1] != key[:, 2]
+        at, left, right, step = np.arange(len(frame)), [], [], 0
+        while len(at):
+            step += 1
+            at = at[at + step < end[at]]
+            to = at + step
+            near = np.bitwise_count(high[at] ^ high[to]) + np.bitwise_count(low[at] ^ low[to]) <= max_bits
+            near &= ~crossed[at] | (own[at] != own[to])
+            left.append(at[near])
+            right.append(to[near])
+        root = local_roots(len(frame), np.concatenate(left), np.concatenate(right))
+        names, members = np.zeros(len(frame), np.uint64), np.bincount(root, minlength=len(frame))
+        np.add.at(names, root, _spread(ids.astype(np.uint64)))
+        group = np.where(key[:, 2] > 0, key[:, 0], names[root].view(np.int64))
+        return {"id": ids, "group": np.where(members[root] > 1, np.where(group == 0, 1, group), 0)}
+
+    return prepare
+
+
+def _found(group: Arrays, left: np.ndarray, right: np.ndarray) -> Arrays | None:
+    found = group["group"] != 0
+    return {c: v[found] for c, v in group.items()} if found.any() else None
+
+
 def _arrays(frame: pd.DataFrame) -> Arrays:
     """Columns for the pair check; the vectors as one matrix where they are alike."""
     packed = frame["vector"].tolist()
@@ -180,8 +245,8 @@ def _pair_checker(min_cosine: float):
         i, j = i[exact >= min_cosine], j[exact >= min_cosine]
         if not len(i):
             return None
-        # A pair counts in the first direction it shares: rows of ``before`` are
-        # the directions below this bucket's that a vector also exceeds.
+        # A pair counts in the first candidate set it shares: rows of ``before`` are
+        # the sets below this one that a vector also belongs to.
         bucket = group["bucket"][0]
         lists = [np.asarray(f, np.int64) for f in group["buckets"]]
         known, at = np.unique(np.concatenate([f[f < bucket] for f in lists]), return_inverse=True)
@@ -230,13 +295,24 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     def make_lists():
         codes = {dims: product_codes(dims, n, **options) for dims, n in sizes.items()}
 
-        def step(ids, vectors, copies):
-            return [ids, vectors, copies, [directions(codes, unit_vector(v)).tolist() for v in vectors]]
+        def step(ids, vectors):
+            found, sketches = [None] * len(ids), np.zeros((len(ids), 2), np.int64)
+            for dims in {dimensions(v) for v in vectors}:
+                rows = [k for k, v in enumerate(vectors) if dimensions(v) == dims]
+                units = np.stack([unit_vector(vectors[k]) for k in rows])
+                sketches[rows] = sign_sketches(units)
+                for k, buckets in zip(rows, directions(codes[dims], units), strict=True):
+                    found[k] = buckets
+            return [ids, sketches[:, 0], sketches[:, 1], found]
         return step
 
-    lists = materialize(map_rows(points, ["id", "vector", "copies"],
-                                 "id long, vector binary, copies long, buckets array<long>", make_lists), "cap-lists")
-    met = materialize(check_buckets(lists.withColumn("bucket", F.explode("buckets")), "id", "id long, links long, root long",
+    lists = materialize(map_rows(points, ["id", "vector"], "id long, high long, low long, buckets array<long>", make_lists), "cap-lists")
+    met = check_buckets(lists.select("id", "high", "low", F.explode("buckets").alias("bucket")), "id", "id long, group long",
+                        _found, chunk_rows, _candidates(sketch_distance(min_cosine)))
+    # A vector is in no more sets than directions (and chunked buckets), so its list is short.
+    sets = materialize(met.distinct().groupBy("id").agg(F.collect_list("group").alias("buckets")), "candidate-sets")
+    members = materialize(sets.join(points.select("id", "vector", "copies"), "id"), "candidates")
+    met = materialize(check_buckets(members.withColumn("bucket", F.explode("buckets")), "id", "id long, links long, root long",
                                     _pair_checker(min_cosine), chunk_rows, _arrays), "cap-links")
     linked = connected_components(met.where("id <> root").select(F.col("id").alias("src"), F.col("root").alias("dst")))
     links = met.groupBy("id").agg(F.sum("links").alias("links"))
@@ -251,15 +327,23 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
                         F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def directions(codes: dict[int, list[ProductCode]], unit: np.ndarray) -> np.ndarray:
-    """The sorted bucket numbers of all directions a unit vector exceeds."""
-    return np.unique(np.concatenate([_numbered(len(unit), c.number, np.array(c.decode(unit), np.uint64)) for c in codes[len(unit)]]))
+def directions(codes: list[ProductCode], units: np.ndarray) -> list[np.ndarray]:
+    """For each unit vector, the sorted bucket numbers of all directions that it exceeds."""
+    found = [c.decode_many(units) for c in codes]
+    owner = np.concatenate([o for o, _ in found])
+    buckets = np.concatenate([_numbered(units.shape[1], c.number, ids.astype(np.uint64)) for c, (_, ids) in zip(codes, found, strict=True)])
+    order = np.argsort(owner, kind="stable")
+    return [np.unique(b) for b in np.split(buckets[order], np.cumsum(np.bincount(owner, minlength=len(units)))[:-1])]
 
 
 def _numbered(dims: int, code: int, words: np.ndarray) -> np.ndarray:
     """Spread (dims, code, word) over the longs; two that meet there only make a larger bucket."""
     with np.errstate(over="ignore"):
-        x = words * np.uint64(0x9E3779B97F4A7C15) + np.uint64(dims * 1_000_003 + code * 7919 + 1)
+        return _spread(words * np.uint64(0x9E3779B97F4A7C15) + np.uint64(dims * 1_000_003 + code * 7919 + 1)).view(np.int64)
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))).view(np.int64)
+        return x ^ (x >> np.uint64(31))
