@@ -8,8 +8,9 @@ height; close vectors exceed common directions.  Rows join on directions and
 every pair that meets is checked by its cosine in double precision.
 
 What travels to a direction is a row's id and a short sign sketch.  Rows of
-which no sketch comes near end there; the others form candidate sets, a set found
-under many directions is one, and only their members' vectors are fetched, once a set.
+which no sketch comes near end there; the others form candidate sets, alike ones
+found under many directions become one, and only their members' vectors are fetched,
+once a set.
 
 The height follows the number of vectors, so that a cap holds a few unrelated
 vectors at any size; several independent codes keep the chance to miss a pair
@@ -181,8 +182,10 @@ def sketch_distance(min_cosine: float) -> int:
 def _candidates(max_bits: int):
     """For all buckets of a batch at once: the candidate set of every row, 0 for none.
 
-    A set is named by its members, so that the same one found under several
-    directions has one name; what a chunked bucket finds is named by the bucket.
+    A set is named by its member of the least hash, so that the much alike sets
+    that close vectors leave under their directions are mostly one; it holds no
+    vector that was not found together with that member.  What a chunked bucket
+    finds is named by the bucket.
     """
     def prepare(frame: pd.DataFrame) -> Arrays:
         key, own = frame[["bucket", "a", "b"]].to_numpy(), frame["own"].to_numpy()
@@ -201,8 +204,8 @@ def _candidates(max_bits: int):
             left.append(at[near])
             right.append(to[near])
         root = local_roots(len(frame), np.concatenate(left), np.concatenate(right))
-        names, members = np.zeros(len(frame), np.uint64), np.bincount(root, minlength=len(frame))
-        np.add.at(names, root, _spread(ids.astype(np.uint64)))
+        names, members = np.full(len(frame), ~np.uint64(0)), np.bincount(root, minlength=len(frame))
+        np.minimum.at(names, root, _spread(ids.astype(np.uint64)))
         group = np.where(key[:, 2] > 0, key[:, 0], names[root].view(np.int64))
         return {"id": ids, "group": np.where(members[root] > 1, np.where(group == 0, 1, group), 0)}
 
