@@ -46,7 +46,7 @@ def test_state_goes_on_where_it_stopped(spark, tmp_path):
     state, updates = str(tmp_path / "state"), str(tmp_path / "updates")
     for part in range(3):
         rows = [(10 * part + k, f"t{k}" if k < 5 else f"t{part}-{k}") for k in range(8)]
-        arrived = D.arrivals(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+        arrived = D.arrivals(materialize(spark.createDataFrame(rows, "doc_id long, text string"), "part"), "doc_id", "text")
         arrived.repartition(2).write.mode("append").parquet(log)
         # Tiny batches: every file is a batch of its own.
         found = D.run_state(spark.read.parquet(log), state, updates, bytes_per_batch=1).collect()
@@ -58,5 +58,26 @@ def test_state_goes_on_where_it_stopped(spark, tmp_path):
 
 def test_kept_rows_have_their_own_columns(spark):
     table = materialize(docs(spark, ROWS), "rows")
-    kept = D.keep_first(table, D.exact_dedup(table))
+    kept = D.keep_first(table, D.exact_dedup(table, in_files=True))
     assert kept.columns == table.columns and kept.count() == len({r[1] or "" for r in ROWS})
+    weak = D.keep_first(table, D.exact_dedup(table, digest=lambda t: F.unhex(F.hex(F.length(t) % 3)), in_files=True))
+    assert sorted(r.text or "" for r in weak.collect()) == sorted({r[1] or "" for r in ROWS})
+
+
+def test_locators_point_to_the_text(spark):
+    table = materialize(docs(spark, ROWS).repartition(3), "rows")
+    found = D.exact_dedup(table, in_files=True)
+    keepers = found.select(F.col("keep_file").alias("file"), F.col("keep_row").alias("row"), "digest").distinct()
+    fetched = D.fetch(table, keepers).select(F.coalesce("text", F.lit("")).alias("text"))
+    assert sorted(r.text for r in fetched.collect()) == sorted({r[1] or "" for r in ROWS})
+    assert fetched.count() == keepers.count()
+
+
+def test_two_arrivals_at_a_state_equal_one(spark, tmp_path):
+    for name, digest in (("sha", D.sha256_digest), ("weak", lambda t: F.unhex(F.hex(F.length(t) % 3)))):
+        for part in (ROWS[::2], ROWS[1::2], []):
+            found = D.exact_dedup(docs(spark, part), digest=digest, state_dir=str(tmp_path / name))
+        want = D.exact_dedup(docs(spark, ROWS), digest=digest)
+        key = ["doc_id", "keep_id", "group_size", "digest"]
+        assert sorted(map(repr, found.select(key).collect())) == sorted(map(repr, want.select(key).collect()))
+        assert found.where("kept").count() == len({r[1] or "" for r in ROWS})

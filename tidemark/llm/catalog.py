@@ -50,7 +50,7 @@ def op5_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = stream_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
+    found = stream_dedup.exact_dedup(read_table(spark, sf_dir, "documents"), in_files=True)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
