@@ -28,7 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the largest id of each group of equal texts."""
-    return stream_dedup.keep_first(docs, stream_dedup.exact_dedup(docs))
+    return stream_dedup.keep_first(docs, stream_dedup.exact_dedup(docs, in_files=True))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
