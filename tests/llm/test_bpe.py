@@ -1,7 +1,9 @@
 import hashlib
 import random
+import time
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from cases import AWKWARD, docs
@@ -86,3 +88,22 @@ def test_awkward(spark, library):
     got = sorted((repr(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256, list(r.token_ids)) for r in out)
     assert got == sorted((repr(r[0]), *digests(library, r[1]), library.encode_ordinary(r[1] or "")) for r in AWKWARD)
     assert bpe.encode_documents(docs(spark, []), vocabulary, P.PATTERN).count() == 0
+
+
+def test_idle_workers_keep_no_tables_of_texts(spark):
+    rows = [(k, f"zqx{k}vw ahgk{k * k}uel") for k in range(400)]
+    found = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    vocabulary = bpe.share_vocabulary(spark, P.path(catalog.VOCABULARY))
+    assert bpe.encode_documents(found, vocabulary, P.PATTERN).count() == len(rows)
+    assert len(bpe.encode_documents(found, vocabulary, P.PATTERN).collect()) == len(rows)
+
+    def held(batches):
+        for _ in batches:
+            time.sleep(0.05)
+        sizes = [(len(c.pieces), len(c.transducer.moves), len(c.transducer.neighbours)) for c in bpe._codecs.values()]
+        yield pa.RecordBatch.from_pydict({"codecs": [len(sizes)], "entries": pa.array([sum(map(sum, sizes))], pa.int64())})
+
+    # Idle workers take turns, so those that have encoded are met.
+    workers = spark.range(64, numPartitions=64).mapInArrow(held, "codecs long, entries long").collect()
+    assert any(w["codecs"] for w in workers)
+    assert not any(w["entries"] for w in workers)

@@ -81,6 +81,10 @@ class Transducer:
             self.ends[node] = rank
         if max(ranks.values()) >= 1 << TOKEN_BITS:
             raise ValueError(f"ids must be below {1 << TOKEN_BITS}")
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what was worked out from the texts; the vocabulary's own tables stay."""
         self.neighbours: dict[int, bool] = {}
         self._clear()
 
@@ -241,6 +245,11 @@ class Codec:
         self.max_pieces = max_pieces
         self.bytes_of = {str(rank): token for rank, token in self.transducer.token_bytes.items()}
 
+    def forget(self) -> None:
+        """Drop the tables of what was met in the texts."""
+        self.transducer.forget()
+        self.pieces = {}
+
     def _piece(self, piece: str) -> str:
         ids = ",".join(map(str, self.transducer.encode(piece.encode("utf-8", "replace"))))
         if len(piece) <= LONGEST_CACHED_PIECE:
@@ -276,6 +285,16 @@ def codec_of(blob: bytes, pattern: str) -> Codec:
     return _codecs[key]
 
 
+def forget_texts() -> None:
+    """Free what this worker process learned from a task's texts.
+
+    Idle workers outlive their stage, and full tables would add a few hundred MB
+    a worker to what later stages need.
+    """
+    for codec in _codecs.values():
+        codec.forget()
+
+
 def share_vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """The rank file, read on the driver (a vocabulary is a megabyte or so) for all executors."""
     with open(path, "rb") as f:
@@ -318,4 +337,4 @@ def encode_documents(docs: DataFrame, vocabulary: Broadcast, pattern: str, id_co
     kind = docs.schema[id_col].dataType.simpleString()
     schema = "id " + kind + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>" if with_ids else "")
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return map_rows(source, ["id", "text"], schema, make).withColumnRenamed("id", id_col)
+    return map_rows(source, ["id", "text"], schema, make, end=forget_texts).withColumnRenamed("id", id_col)

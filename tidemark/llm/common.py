@@ -78,11 +78,12 @@ def utf8_bytes(text: Column) -> Column:
 
 
 def map_rows(df: DataFrame, columns: list[str], schema: str,
-             make: Callable[[], Callable[[list], list]]) -> DataFrame:
+             make: Callable[[], Callable[[list], list]], end: Callable[[], None] | None = None) -> DataFrame:
     """Run a Python function over slices of rows, with bounded memory.
 
     ``make`` runs once per task and returns a function from one list per input
-    column to one list per output column.
+    column to one list per output column.  ``end`` runs after a task's last row:
+    the worker process stays for other tasks, with all that its modules hold.
     """
     ship_package(df.sparkSession)
     out_schema = df.sparkSession.createDataFrame([], schema).schema
@@ -90,13 +91,17 @@ def map_rows(df: DataFrame, columns: list[str], schema: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(start, SLICE_ROWS)
-                out = step(*[c.to_pylist() for c in part.columns])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t.type) for v, t in zip(out, arrow_schema, strict=True)],
-                    schema=arrow_schema)
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, SLICE_ROWS):
+                    part = batch.slice(start, SLICE_ROWS)
+                    out = step(*[c.to_pylist() for c in part.columns])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(v, t.type) for v, t in zip(out, arrow_schema, strict=True)],
+                        schema=arrow_schema)
+        finally:
+            if end:
+                end()
 
     return df.select(*columns).mapInArrow(run, out_schema)
 
