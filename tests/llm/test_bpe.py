@@ -2,6 +2,7 @@ import hashlib
 import random
 import time
 
+import numpy as np
 import public_tokenizers as P
 import pyarrow as pa
 import pytest
@@ -107,3 +108,47 @@ def test_idle_workers_keep_no_tables_of_texts(spark):
     workers = spark.range(64, numPartitions=64).mapInArrow(held, "codecs long, entries long").collect()
     assert any(w["codecs"] for w in workers)
     assert not any(w["entries"] for w in workers)
+
+
+def test_rare_words_are_read_together(ranks, library, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("aeioutnsrléß日") for _ in range(rng.randint(1, 20))) for _ in range(50)) for _ in range(100)]
+    texts += ["", " ", "a", "x" * 300 + " zq", texts[0]]
+    codec, steps = bpe.Codec(ranks, P.PATTERN, max_pieces=1000), []
+    move = codec.transducer._move
+    monkeypatch.setattr(codec.transducer, "_move", lambda *args: steps.append(args) or move(*args))
+    for text in texts[:100]:
+        assert codec.encode(text) == ",".join(map(str, library.encode_ordinary(text)))
+    assert not steps  # a state for every few bytes of a rare word cost most of the time
+    codec.transducer.max_moves = 500  # the table of pairs is emptied on the way
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 3000)
+    monkeypatch.setattr(bpe, "GROUP_PIECES", 40)
+    assert codec.encode_all(texts) == [",".join(map(str, library.encode_ordinary(t))) for t in texts]
+    assert len(codec.pieces) + len(codec.older) <= 1000
+    codec.forget()
+    assert not (codec.pieces or codec.older or len(codec.transducer.pairs))
+
+
+def test_short_pieces_of_a_small_vocabulary():
+    rng = random.Random(6)
+    for _ in range(20):
+        tokens = [bytes([b]) for b in range(256)]
+        while len(tokens) < 290:
+            new = rng.choice(tokens[97:100] + tokens[256:]) + rng.choice(tokens[97:100] + tokens[256:])
+            if new not in tokens:
+                tokens.append(new)
+        transducer = bpe.Transducer({t: k for k, t in enumerate(tokens)})
+        pieces = [bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 20))) for _ in range(200)]
+        assert transducer.encode_together(pieces) == [transducer.encode(p) for p in pieces]
+
+
+def test_number_table():
+    rng, table, known = random.Random(7), bpe.NumberTable(4), {}
+    for _ in range(60):
+        new = {rng.randrange(1 << 40): rng.randrange(1 << 40) for _ in range(rng.randint(0, 80))}
+        new = {k: v for k, v in new.items() if k not in known}
+        table.add(np.array(list(new), np.int64), np.array(list(new.values()), np.int64))
+        known |= new
+        asked = [*known, *(rng.randrange(1 << 40) for _ in range(100))]
+        assert table.get(np.array(asked, np.int64)).tolist() == [known.get(k, -1) for k in asked]
+    assert len(table) == len(known)
